@@ -11,7 +11,7 @@ from pyspark.sql.window import Window, WindowSpec
 HOUR_US = 3_600_000_000
 
 
-def trailing(keys: Sequence[str], hours: float, order: str = "_t") -> WindowSpec:
+def trailing_hours(keys: Sequence[str], hours: float, order: str = "_t") -> WindowSpec:
     """Rows of the entity in the closed trailing interval; ``order`` is in microseconds."""
     return Window.partitionBy(*keys).orderBy(order).rangeBetween(-int(hours * HOUR_US), 0)
 

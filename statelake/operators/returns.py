@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .dwell import trailing
+from .dwell import trailing_hours
 
 # Fixed value: hours per year.
 HOURS_PER_YEAR = 8760
@@ -24,6 +24,6 @@ def rolling_volatility(df: DataFrame, value: str, keys: Sequence[str], days: dic
     look-back), annualised. ``days`` maps an output name to a window length."""
     out = df.withColumn("_t", F.unix_micros(ts))
     for name, n in days.items():
-        window = trailing(keys, 24 * n)
+        window = trailing_hours(keys, 24 * n)
         out = out.withColumn(name, F.stddev_samp(value).over(window) * F.sqrt(F.lit(float(HOURS_PER_YEAR))))
     return out.drop("_t")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from statelake.functions import apy_at_target, borrow_rate, compound_three_terms, double, human, micros, text_price, wad
 from statelake.operators import (
     ago, asof_join, avg_where, indicator, latch, latest_rows, latest_value, spans, spread_to_leader,
-    throughout, tier, trailing,
+    throughout, tier, trailing_hours,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -168,7 +168,7 @@ def health_panel(t: Tables) -> DataFrame:
         .withColumn("_dust", F.coalesce(F.col("supply_usd") < DUST_USD, F.lit(False)))
         .withColumn("_ratchet_event", F.when(apy > RATCHET_ENTER_APY, 1).when(apy < RATCHET_EXIT_APY, 0))
     )
-    day, two_days = trailing(MARKET, PINNED_HOURS), trailing(MARKET, CALM_HOURS)
+    day, two_days = trailing_hours(MARKET, PINNED_HOURS), trailing_hours(MARKET, CALM_HOURS)
     pinned = throughout(F.col("u") >= PINNED_LEVEL, day, PINNED_SPAN_HOURS)
     calm = (F.max("u").over(two_days) < CALM_LEVEL) & spans(two_days, CALM_SPAN_HOURS)
     return (
