@@ -18,21 +18,52 @@ from statelake.sources.store import coerce
 STATE_BUCKET, PRICE_BUCKET = 300, 900
 
 
+# Declared, so that opening a table reads no footers.
+GIVEN_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+_OPENED: dict[tuple, "Given"] = {}
+
+
+def given(spark: SparkSession, sf_dir: str) -> "Given":
+    """One ``Given`` per session and folder; its DataFrames are plans and can be shared."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _OPENED:
+        _OPENED[key] = Given(spark, sf_dir)
+    configure(spark)
+    return _OPENED[key]
+
+
 class Given:
     """Lazy access to one scale's tables, raw and adapted."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark = configure(spark)
+        self.spark = spark
         self.dir = sf_dir
+        self._adapted: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(GIVEN_SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 
     def events(self) -> DataFrame:
         return self.raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
 
+    def table(self, name: str) -> DataFrame:
+        if name not in self._adapted:
+            self._adapted[name] = coerce(getattr(self, name)(), TABLES[name])
+        return self._adapted[name]
+
     def tables(self, *names: str) -> dict[str, DataFrame]:
-        return {n: coerce(getattr(self, n)(), TABLES[n]) for n in names}
+        return {n: self.table(n) for n in names}
 
     # --- adapted tables ------------------------------------------------------
 

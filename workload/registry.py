@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .payload_queries import PAYLOAD_QUERIES
 from .view_queries import VIEW_QUERIES
 
-QUERIES = {q.name: q for q in [*VIEW_QUERIES]}
+QUERIES = {q.name: q for q in [*VIEW_QUERIES, *PAYLOAD_QUERIES]}

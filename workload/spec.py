@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .adapters import Given
+from .adapters import Given, given
 
 
 @dataclass(frozen=True)
@@ -25,7 +25,7 @@ class Query:
     exact: tuple[str, ...] = ()
 
     def spark(self, spark, sf_dir: str) -> DataFrame:
-        df = self.run(Given(spark, sf_dir))
+        df = self.run(given(spark, sf_dir))
         cols = []
         for f in df.schema:
             c = F.col(f"`{f.name}`")
