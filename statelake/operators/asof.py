@@ -47,8 +47,8 @@ def asof_join(
     of one instant the greatest ``tie_break`` columns win.
     """
     width = chunk_seconds * 1_000_000
-    names = [f"_k{i}" for i in range(len(keys))]
-    group = [*names, "_chunk"]
+    names = [f"_asof_k{i}" for i in range(len(keys))]
+    group = [*names, "_asof_chunk"]
 
     def as_col(c: Column | str) -> Column:
         return F.col(c) if isinstance(c, str) else c
@@ -56,74 +56,74 @@ def asof_join(
     lt = left.select(
         "*",
         *[as_col(lc).alias(n) for n, (lc, _) in zip(names, keys)],
-        F.unix_micros(left_ts).alias("_t"),
-    ).withColumn("_chunk", F.floor(F.col("_t") / F.lit(width)))
+        F.unix_micros(left_ts).alias("_asof_t"),
+    ).withColumn("_asof_chunk", F.floor(F.col("_asof_t") / F.lit(width)))
 
     rt = (
         right.select(
             *[as_col(rc).alias(n) for n, (_, rc) in zip(names, keys)],
-            F.unix_micros(right_ts).alias("_t"),
-            F.struct(*[F.col(src).alias(out) for src, out in take.items()]).alias("_v"),
-            F.struct(F.lit(0).alias("_tie"), *[F.col(c) for c in tie_break]).alias("_rank"),
+            F.unix_micros(right_ts).alias("_asof_t"),
+            F.struct(*[F.col(src).alias(out) for src, out in take.items()]).alias("_asof_v"),
+            F.struct(F.lit(0).alias("_asof_tie"), *[F.col(c) for c in tie_break]).alias("_asof_rank"),
         )
-        .dropna(subset=[*names, "_t"])
-        .withColumn("_chunk", F.floor(F.col("_t") / F.lit(width)))
+        .dropna(subset=[*names, "_asof_t"])
+        .withColumn("_asof_chunk", F.floor(F.col("_asof_t") / F.lit(width)))
     )
 
     # One row per (key, chunk) with left rows, and how many; read twice below.
-    seen = lt.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    salts = F.ceil(F.col("_n") / F.lit(max_rows)).cast("int")
+    seen = lt.groupBy(*group).agg(F.count(F.lit(1)).alias("_asof_n"))
+    salts = F.ceil(F.col("_asof_n") / F.lit(max_rows)).cast("int")
 
     # At most (left rows / max_rows) groups can exceed max_rows, so this is small
     # whatever the data looks like: 10^12 left rows give at most 250,000.
-    hot = seen.where(F.col("_n") > F.lit(max_rows)).select(
-        *[F.col(c).alias(f"_h{c}") for c in group], salts.alias("_salts")
+    hot = seen.where(F.col("_asof_n") > F.lit(max_rows)).select(
+        *[F.col(c).alias(f"_hot{c}") for c in group], salts.alias("_asof_salts")
     )
     is_hot = F.lit(True)
     for c in group:
-        is_hot = is_hot & F.col(c).eqNullSafe(F.col(f"_h{c}"))
+        is_hot = is_hot & F.col(c).eqNullSafe(F.col(f"_hot{c}"))
 
     def salted(df: DataFrame) -> DataFrame:
         marked = df.join(F.broadcast(hot), is_hot, "left")
-        return marked.drop(*[f"_h{c}" for c in group]).withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+        return marked.drop(*[f"_hot{c}" for c in group]).withColumn("_asof_salts", F.coalesce("_asof_salts", F.lit(1)))
 
     left_rows = salted(lt).select(
-        *left.columns, *group, "_t",
-        F.pmod(F.xxhash64(*left.columns), F.col("_salts")).cast("int").alias("_salt"),
-        F.lit(1).alias("_is_left"),
+        *left.columns, *group, "_asof_t",
+        F.pmod(F.xxhash64(*left.columns), F.col("_asof_salts")).cast("int").alias("_asof_salt"),
+        F.lit(1).alias("_asof_is_left"),
     )
     right_rows = salted(rt).select(
-        *group, "_t", "_v", "_rank",
-        F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
-        F.lit(0).alias("_is_left"),
+        *group, "_asof_t", "_asof_v", "_asof_rank",
+        F.explode(F.sequence(F.lit(0), F.col("_asof_salts") - 1)).alias("_asof_salt"),
+        F.lit(0).alias("_asof_is_left"),
     )
 
-    closing = rt.groupBy(*group).agg(F.max_by("_v", F.struct("_t", "_rank")).alias("_close"))
-    earlier = Window.partitionBy(*names).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    closing = rt.groupBy(*group).agg(F.max_by("_asof_v", F.struct("_asof_t", "_asof_rank")).alias("_asof_close"))
+    earlier = Window.partitionBy(*names).orderBy("_asof_chunk").rowsBetween(Window.unboundedPreceding, -1)
     openings = (
         seen.unionByName(closing, allowMissingColumns=True)
         .groupBy(*group)
-        .agg(F.max("_n").alias("_n"), F.first("_close", ignorenulls=True).alias("_close"))
-        .withColumn("_v", F.last("_close", ignorenulls=True).over(earlier))
-        .where(F.col("_n").isNotNull() & F.col("_v").isNotNull())
+        .agg(F.max("_asof_n").alias("_asof_n"), F.first("_asof_close", ignorenulls=True).alias("_asof_close"))
+        .withColumn("_asof_v", F.last("_asof_close", ignorenulls=True).over(earlier))
+        .where(F.col("_asof_n").isNotNull() & F.col("_asof_v").isNotNull())
         .select(
             *group,
-            (F.col("_chunk") * F.lit(width) - 1).alias("_t"),
-            "_v",
-            F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"),
-            F.lit(0).alias("_is_left"),
+            (F.col("_asof_chunk") * F.lit(width) - 1).alias("_asof_t"),
+            "_asof_v",
+            F.explode(F.sequence(F.lit(0), salts - 1)).alias("_asof_salt"),
+            F.lit(0).alias("_asof_is_left"),
         )
     )
 
     scan = (
-        Window.partitionBy(*group, "_salt")
-        .orderBy("_t", "_is_left", F.col("_rank").asc_nulls_first())
+        Window.partitionBy(*group, "_asof_salt")
+        .orderBy("_asof_t", "_asof_is_left", F.col("_asof_rank").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         left_rows.unionByName(right_rows, allowMissingColumns=True)
         .unionByName(openings, allowMissingColumns=True)
-        .withColumn("_hit", F.last("_v", ignorenulls=True).over(scan))
-        .where(F.col("_is_left") == 1)
-        .select(*left.columns, *[F.col("_hit")[out].alias(out) for out in take.values()])
+        .withColumn("_asof_hit", F.last("_asof_v", ignorenulls=True).over(scan))
+        .where(F.col("_asof_is_left") == 1)
+        .select(*left.columns, *[F.col("_asof_hit")[out].alias(out) for out in take.values()])
     )

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statelake.operators.dedupe import keep_one
 from statelake.tables import TABLES, TableSpec
@@ -83,9 +84,9 @@ class Lake:
         if not self.has_data(spec):
             df = self.spark.createDataFrame([], spec.schema)
             return df.withColumn("date", F.lit(None).cast("date")) if spec.partitioned else df
-        kind = "date" if spec.partitioned else "int"
-        schema = spec.schema.simpleString()[len("struct<") : -1]
-        df = self.spark.read.schema(f"{schema},{spec.partition_column}:{kind}").parquet(self.path(spec))
+        kind = T.DateType() if spec.partitioned else T.IntegerType()
+        schema = T.StructType([*spec.schema, T.StructField(spec.partition_column, kind)])
+        df = self.spark.read.schema(schema).parquet(self.path(spec))
         return df if spec.partitioned else df.drop("slot")
 
     def tables(self) -> dict[str, DataFrame]:
@@ -160,7 +161,7 @@ class Lake:
 def _with_order(spec: TableSpec, ranked: DataFrame) -> TableSpec:
     """The spec plus the carried ranking column."""
     extended = TableSpec(spec.name, spec.ddl, spec.key, spec.partitioned)
-    object.__setattr__(extended, "schema", spec.schema.__class__([*spec.schema, ranked.schema["_order"]]))
+    object.__setattr__(extended, "schema", T.StructType([*spec.schema, ranked.schema["_order"]]))
     return extended
 
 

@@ -368,7 +368,7 @@ PAYLOAD_QUERIES = [
                   CAST((700 + c_custkey % 250) || repeat('0', 15) AS DECIMAL(38,0)) AS lltv,
                   TIMESTAMP '1970-01-01' + to_seconds(1690000000 + c_custkey * 60) AS creation_ts, c_acctbal > 0 AS listed,
                   TIMESTAMP '2024-01-31 00:00:00' AS fetched_at
-           FROM customer""", exact=("lltv", "listed"),
+           FROM customer""", exact=("lltv", "listed", "collateral_decimals"),
     ),
     Query(
         "payload_vault_allocations_live", lambda g: payloads.vault_allocations_live(allocation_documents(g)),
