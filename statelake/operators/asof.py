@@ -6,8 +6,8 @@ cut into groups small enough for one task:
 
 * time is cut into chunks; each (key, chunk) group starts from an *opening* row
   that carries the newest right value of any earlier chunk. Openings come from
-  one partial aggregate per side, so a key's carry is as long as its number of
-  chunks, never its number of rows;
+  the right side alone, one per key and chunk from its first row on, so they add
+  at most one row where a clock-sampled series has a chunk's worth of samples;
 * a (key, chunk) that holds more than ``max_rows`` left rows is salted: its left
   rows are spread by a hash of their content, its right rows and its opening are
   repeated for every salt.
@@ -38,28 +38,24 @@ def asof_join(
     right_ts: str = "ts",
     tie_break: Sequence[str] = (),
     chunk_seconds: int = DAY,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Left columns plus ``take`` (right column -> output name).
 
     ``keys`` pairs a left expression with a right expression. A left row with a
     NULL key part, or older than every right row, gets NULLs. Among right rows
-    of one instant the greatest ``tie_break`` columns win.
+    of one instant the greatest ``tie_break`` columns win. ``max_rows=None``
+    skips the count for left sides that are known to be small.
     """
     width = chunk_seconds * 1_000_000
     names = [f"_asof_k{i}" for i in range(len(keys))]
     group = [*names, "_asof_chunk"]
+    chunk_of = F.floor(F.col("_asof_t") / F.lit(width))
 
     def as_col(c: Column | str) -> Column:
         return F.col(c) if isinstance(c, str) else c
 
-    lt = left.select(
-        "*",
-        *[as_col(lc).alias(n) for n, (lc, _) in zip(names, keys)],
-        F.unix_micros(left_ts).alias("_asof_t"),
-    ).withColumn("_asof_chunk", F.floor(F.col("_asof_t") / F.lit(width)))
-
-    rt = (
+    samples = (
         right.select(
             *[as_col(rc).alias(n) for n, (_, rc) in zip(names, keys)],
             F.unix_micros(right_ts).alias("_asof_t"),
@@ -67,63 +63,60 @@ def asof_join(
             F.struct(F.lit(0).alias("_asof_tie"), *[F.col(c) for c in tie_break]).alias("_asof_rank"),
         )
         .dropna(subset=[*names, "_asof_t"])
-        .withColumn("_asof_chunk", F.floor(F.col("_asof_t") / F.lit(width)))
-    )
-
-    # One row per (key, chunk) with left rows, and how many; read twice below.
-    seen = lt.groupBy(*group).agg(F.count(F.lit(1)).alias("_asof_n"))
-    salts = F.ceil(F.col("_asof_n") / F.lit(max_rows)).cast("int")
-
-    # At most (left rows / max_rows) groups can exceed max_rows, so this is small
-    # whatever the data looks like: 10^12 left rows give at most 250,000.
-    hot = seen.where(F.col("_asof_n") > F.lit(max_rows)).select(
-        *[F.col(c).alias(f"_hot{c}") for c in group], salts.alias("_asof_salts")
+        .withColumn("_asof_chunk", chunk_of)
     )
-    is_hot = F.lit(True)
-    for c in group:
-        is_hot = is_hot & F.col(c).eqNullSafe(F.col(f"_hot{c}"))
-
-    def salted(df: DataFrame) -> DataFrame:
-        marked = df.join(F.broadcast(hot), is_hot, "left")
-        return marked.drop(*[f"_hot{c}" for c in group]).withColumn("_asof_salts", F.coalesce("_asof_salts", F.lit(1)))
+    # Chunks after the right side's last one share a single chunk.
+    end = F.floor(right.select(F.max(F.unix_micros(right_ts))).scalar() / F.lit(width)) + 1
 
-    left_rows = salted(lt).select(
-        *left.columns, *group, "_asof_t",
-        F.pmod(F.xxhash64(*left.columns), F.col("_asof_salts")).cast("int").alias("_asof_salt"),
-        F.lit(1).alias("_asof_is_left"),
-    )
-    right_rows = salted(rt).select(
-        *group, "_asof_t", "_asof_v", "_asof_rank",
-        F.explode(F.sequence(F.lit(0), F.col("_asof_salts") - 1)).alias("_asof_salt"),
-        F.lit(0).alias("_asof_is_left"),
-    )
-
-    closing = rt.groupBy(*group).agg(F.max_by("_asof_v", F.struct("_asof_t", "_asof_rank")).alias("_asof_close"))
-    earlier = Window.partitionBy(*names).orderBy("_asof_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    following = F.lead("_asof_chunk").over(Window.partitionBy(*names).orderBy("_asof_chunk"))
     openings = (
-        seen.unionByName(closing, allowMissingColumns=True)
-        .groupBy(*group)
-        .agg(F.max("_asof_n").alias("_asof_n"), F.first("_asof_close", ignorenulls=True).alias("_asof_close"))
-        .withColumn("_asof_v", F.last("_asof_close", ignorenulls=True).over(earlier))
-        .where(F.col("_asof_n").isNotNull() & F.col("_asof_v").isNotNull())
-        .select(
-            *group,
-            (F.col("_asof_chunk") * F.lit(width) - 1).alias("_asof_t"),
-            "_asof_v",
-            F.explode(F.sequence(F.lit(0), salts - 1)).alias("_asof_salt"),
-            F.lit(0).alias("_asof_is_left"),
+        samples.groupBy(*group)
+        .agg(F.max_by("_asof_v", F.struct("_asof_t", "_asof_rank")).alias("_asof_v"))
+        .withColumn("_asof_until", F.coalesce(following, end))
+        .select(*names, "_asof_v", F.explode(F.sequence(F.col("_asof_chunk") + 1, "_asof_until")).alias("_asof_chunk"))
+        .withColumn("_asof_t", F.col("_asof_chunk") * F.lit(width) - 1)
+    )
+    rows = (
+        left.select(
+            "*", *[as_col(lc).alias(n) for n, (lc, _) in zip(names, keys)], F.unix_micros(left_ts).alias("_asof_t"),
         )
+        .withColumn("_asof_chunk", F.least(chunk_of, end))
+        .withColumn("_asof_left", F.lit(1))
     )
+    tagged = rows.unionByName(samples, allowMissingColumns=True).unionByName(openings, allowMissingColumns=True)
+    if max_rows is not None:
+        tagged = _salted(tagged, rows, group, left.columns, max_rows)
+        group = [*group, "_asof_salt"]
 
     scan = (
-        Window.partitionBy(*group, "_asof_salt")
-        .orderBy("_asof_t", "_asof_is_left", F.col("_asof_rank").asc_nulls_first())
+        Window.partitionBy(*group)
+        .orderBy("_asof_t", F.col("_asof_left").asc_nulls_first(), F.col("_asof_rank").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        left_rows.unionByName(right_rows, allowMissingColumns=True)
-        .unionByName(openings, allowMissingColumns=True)
-        .withColumn("_asof_hit", F.last("_asof_v", ignorenulls=True).over(scan))
-        .where(F.col("_asof_is_left") == 1)
+        tagged.withColumn("_asof_hit", F.last("_asof_v", ignorenulls=True).over(scan))
+        .where(F.col("_asof_left") == 1)
         .select(*left.columns, *[F.col("_asof_hit")[out].alias(out) for out in take.values()])
     )
+
+
+def _salted(tagged: DataFrame, rows: DataFrame, group: list[str], content: list[str], max_rows: int) -> DataFrame:
+    """Adds ``_asof_salt``: 0 everywhere but in groups with too many left rows."""
+    count = F.count(F.lit(1))
+    # At most (left rows / max_rows) groups can exceed max_rows, so this is small
+    # whatever the data looks like: 10^12 left rows give at most 250,000.
+    hot = (
+        rows.groupBy(*group)
+        .agg(F.ceil(count / F.lit(max_rows)).cast("int").alias("_asof_salts"))
+        .where("_asof_salts > 1")
+        .select(*[F.col(c).alias(f"_hot{c}") for c in group], "_asof_salts")
+    )
+    same = F.lit(True)
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_hot{c}"))
+    spread = F.coalesce("_asof_salts", F.lit(1))
+    own = F.array(F.pmod(F.xxhash64(*content), spread).cast("int"))
+    every = F.sequence(F.lit(0), spread - 1)
+    return tagged.join(F.broadcast(hot), same, "left").withColumn(
+        "_asof_salt", F.explode(F.when(F.col("_asof_left") == 1, own).otherwise(every))
+    )

@@ -48,7 +48,8 @@ def latest_market_panel(t: Tables, as_of: Column | None = None) -> DataFrame:
     newest_rows = latest_rows(rated, MARKET).where(
         F.col("ts") >= ago(newest(t["market_state"]), hours=FRESH_HOURS)
     )
-    checked = oracle_deviation(newest_rows.withColumn("loan_token", F.col("_loan_token")), t["prices"])
+    # One row per market: no group can be large.
+    checked = oracle_deviation(newest_rows.withColumnRenamed("_loan_token", "loan_token"), t["prices"], max_rows=None)
     regime = v_utilization_regime(t, as_of).select(*MARKET, *[(F.col(c) / 100.0).alias(c) for c in _REGIME])
     volatility = latest_rows(v_price_returns(t), TOKEN).select(
         "chain_id", F.col("token_address").alias("_collateral"),

@@ -227,13 +227,13 @@ def v_benchmark(t: Tables) -> DataFrame:
     )
 
 
-def oracle_deviation(state: DataFrame, prices: DataFrame) -> DataFrame:
+def oracle_deviation(state: DataFrame, prices: DataFrame, **options) -> DataFrame:
     """Oracle price against the reference cross rate for samples that carry both
-    the dimension columns and an oracle price."""
+    the dimension columns and an oracle price. ``options`` go to the as-of joins."""
     priced = state.withColumn("_loan", F.lower("loan_token")).withColumn("_coll", F.lower("collateral_token"))
     for key, out in (("_loan", "loan_price_usd"), ("_coll", "collateral_price_usd")):
         priced = asof_join(
-            priced, prices, keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out}
+            priced, prices, keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out}, **options
         )
     reference = F.col("collateral_price_usd") / F.nullif("loan_price_usd", F.lit(0.0))
     return (
