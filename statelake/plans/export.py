@@ -6,6 +6,7 @@ written element by element in their order, so no document is ever one row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statelake.functions import iso_utc, wad, text_price
+from statelake.session import shared_dir
 from statelake.operators import ago, count_where, latest_rows, newest, spread_to_leader, sum_where
 
 from .book_views import v_position_risk, v_supplier_concentration
@@ -174,6 +176,12 @@ def _number(c: str) -> Column:
     return F.when(~bad, v).alias(c)
 
 
+def place(*order: Column | str) -> Column:
+    """Where an element stands in its document: ascending, no two alike."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    return F.struct(*[c.alias(f"p{i}") for i, c in enumerate(cols)]).alias("place")
+
+
 def _history(points: DataFrame, name: str, *values: str) -> DataFrame:
     """Points nested per market, oldest first (at most one per hour of the look-back)."""
     point = F.struct(F.col("ts").alias("_at"), iso_utc("ts").alias("ts"), *[_number(v) for v in values])
@@ -211,9 +219,7 @@ def market_health_elements(t: Tables, as_of: Column | None = None) -> DataFrame:
     after = ["spread_to_best", "oracle_price", "collateral_vol_7d", "collateral_vol_30d"]
     return df.select(
         "chain_id",
-        F.struct(
-            F.col("is_broken"), F.col("supply_usd").isNull(), -F.col("supply_usd"), F.col("chain_id"), F.col("market_id")
-        ).alias("place"),
+        place("is_broken", F.col("supply_usd").isNull(), -F.col("supply_usd"), "chain_id", "market_id"),
         F.struct(
             "market_id", "loan_symbol", "collateral_symbol", _number("lltv"), iso_utc("ts").alias("ts"),
             _number("utilization"), *[_number(c) for c in numbers], "is_broken", "broken_reason",
@@ -235,7 +241,7 @@ def market_flow_elements(t: Tables) -> DataFrame:
     numbers = [c for c in summary.columns if c[-3:] in ("24h", "_7d") and c != "n_liquidations_30d"]
     return summary.join(history, MARKET, "left").select(
         "chain_id",
-        F.struct(-F.abs("net_supply_24h"), F.col("chain_id"), F.col("market_id")).alias("place"),
+        place(-F.abs("net_supply_24h"), "chain_id", "market_id"),
         F.struct(
             "market_id", "loan_symbol", *[_number(c) for c in numbers], "n_liquidations_30d",
             _or_empty("flow_history", history),
@@ -247,7 +253,7 @@ def feed_elements(feed: DataFrame, texts: Sequence[str], numbers: Sequence[str])
     """Newest first."""
     return feed.select(
         "chain_id",
-        F.struct(-F.unix_micros("ts"), F.col("tx_hash"), F.xxhash64(*feed.columns)).alias("place"),
+        place(-F.unix_micros("ts"), "tx_hash", F.xxhash64(*feed.columns)),
         F.struct(
             iso_utc("ts").alias("ts"), "market_id", *[F.col(c) for c in texts], *[_number(c) for c in numbers]
         ).alias("element"),
@@ -267,7 +273,7 @@ def liquidation_elements(t: Tables) -> DataFrame:
 def spell_elements(spells: DataFrame, *numbers: str) -> DataFrame:
     return spells.select(
         "chain_id",
-        F.struct(-F.unix_micros("end_ts"), F.col("chain_id"), F.col("market_id"), F.col("threshold"), F.col("start_ts")).alias("place"),
+        place(-F.unix_micros("end_ts"), "chain_id", "market_id", "threshold", "start_ts"),
         F.struct(
             "market_id", _number("threshold"), iso_utc("start_ts").alias("start_ts"),
             iso_utc("end_ts").alias("end_ts"), "duration_min", *[_number(c) for c in numbers], "open",
@@ -278,58 +284,58 @@ def spell_elements(spells: DataFrame, *numbers: str) -> DataFrame:
 # --- documents ---------------------------------------------------------------
 
 
+def settle(elements: DataFrame) -> DataFrame:
+    """(chain_id, place, line): elements computed once, kept as a table in the
+    shared folder. What follows reads them several times."""
+    spark = elements.sparkSession
+    path = f"{shared_dir(spark)}/elements-{uuid.uuid4().hex}"
+    body = F.to_json("element", {"ignoreNullFields": "false"}).alias("line")
+    df = elements.select("chain_id", "place", body)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def sole_chain(df: DataFrame) -> DataFrame:
     """One row: the only chain present, NULL when there is none or more than one."""
     lo, hi = F.min("chain_id"), F.max("chain_id")
     return df.agg(F.when(lo == hi, lo).alias("chain_id"))
 
 
-def element_lines(elements: DataFrame) -> DataFrame:
-    """(place, line): one line of JSON per element, comma-separated.
-
-    The element whose place is the smallest one has no comma before it.
-    """
-    first = elements.select(F.min("place")).scalar()
+def separated(lines: DataFrame) -> DataFrame:
+    """Puts a comma before every line but that of the smallest place."""
+    first = lines.select(F.min("place")).scalar()
     comma = F.when(F.col("place") == first, F.lit("")).otherwise(F.lit(","))
-    body = F.to_json("element", {"ignoreNullFields": "false"})
-    return elements.select("place", F.concat(comma, body).alias("line"))
+    return lines.withColumn("line", F.concat(comma, "line"))
 
 
-def write_document(
-    spark: SparkSession, path: str, header: DataFrame, lists: Mapping[str, DataFrame]
-) -> None:
-    """Writes one JSON document: the header's fields, then each list of elements.
+def write_document(path: str, header: DataFrame, lists: Mapping[str, DataFrame]) -> None:
+    """Writes one JSON document: the header's fields, then each list of settled lines.
 
-    Elements are computed in parallel; one task streams the sorted lines into
-    the single file the format asks for. The file appears under its name only
-    after the job has committed.
+    One task streams the sorted lines into the single file the format asks for.
+    The file appears under its name only after the job has committed.
     """
+    spark = header.sparkSession
+
+    def fixed(part: int, line: Column) -> DataFrame:
+        return spark.range(1).select(F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("row"), line.alias("line"))
+
     fields = F.regexp_replace(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}), r"\}$", "")
-    parts = [header.select(F.lit(0).alias("part"), F.lit(0).alias("row"), fields.alias("line"))]
-    pieces = []
-    for i, (name, elements) in enumerate(lists.items()):
-        opening = spark.range(1).select(
-            F.lit(2 * i + 1).alias("part"), F.lit(0).alias("row"), F.lit(f',"{name}":[').alias("line")
+    text = header.select(F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("row"), fields.alias("line"))
+    part = 0
+    for name, lines in lists.items():
+        # A sorted list numbers its lines in order, whatever partition they sit in.
+        body = separated(lines).orderBy("place").select(
+            F.lit(part + 2).alias("part"), F.monotonically_increasing_id().alias("row"), "line"
         )
-        closing = spark.range(1).select(
-            F.lit(2 * i + 3).alias("part"), F.lit(-1).alias("row"), F.lit("]").alias("line")
+        text = (
+            text.unionByName(fixed(part + 1, F.lit(f',"{name}":[')))
+            .unionByName(body)
+            .unionByName(fixed(part + 3, F.lit("]")))
         )
-        parts += [opening, closing]
-        pieces.append((2 * i + 2, elements))
-    last = spark.range(1).select(F.lit(2 * len(lists) + 3).alias("part"), F.lit(1).alias("row"), F.lit("}").alias("line"))
-    text = parts[0]
-    for p in [*parts[1:], last]:
-        text = text.unionByName(p)
-    # A sorted list numbers its lines in order, whatever partition they sit in.
-    frames = [text.select("part", F.col("row").cast("bigint").alias("row"), "line")]
-    for number, elements in pieces:
-        lines = element_lines(elements).orderBy("place")
-        frames.append(lines.select(F.lit(number).alias("part"), F.monotonically_increasing_id().alias("row"), "line"))
-    whole = frames[0]
-    for f in frames[1:]:
-        whole = whole.unionByName(f)
+        part += 3
+    text = text.unionByName(fixed(part + 1, F.lit("}")))
     staging = f"{path}.staging"
-    whole.repartition(1).sortWithinPartitions("part", "row").select("line").write.mode("overwrite").text(staging)
+    text.repartition(1).sortWithinPartitions("part", "row").select("line").write.mode("overwrite").text(staging)
     _publish(spark, staging, path)
 
 
@@ -351,34 +357,31 @@ def run_export(spark: SparkSession, tables: Tables, folder: str, generated_at: d
     stamp = F.lit(generated_at).cast("timestamp")
     written: list[str] = []
 
-    def header(elements: DataFrame, **more: Column) -> DataFrame:
-        return sole_chain(elements).select(
+    def write(name: str, lists: Mapping[str, DataFrame | None], **more: Column) -> None:
+        settled = {n: settle(df) if df is not None else None for n, df in lists.items()}
+        main = next(iter(settled.values()))
+        header = sole_chain(main).select(
             F.lit(SCHEMA_VERSION).alias("schema_version"), iso_utc(stamp).alias("generated_at"),
             *[c.alias(n) for n, c in more.items()], "chain_id",
         )
-
-    def write(name: str, head: DataFrame, lists: Mapping[str, DataFrame]) -> None:
-        write_document(spark, f"{folder.rstrip('/')}/{name}", head, lists)
+        empty = main.where(F.lit(False))
+        write_document(f"{folder.rstrip('/')}/{name}", header, {n: df or empty for n, df in settled.items()})
         written.append(name)
 
     if {"v_market_health", "v_market_apy"} <= have:
-        markets = market_health_elements(tables, stamp)
-        write("market_health.json", header(markets), {"markets": markets})
+        write("market_health.json", {"markets": market_health_elements(tables, stamp)})
     if "v_util_spells" in have:
-        spells = spell_elements(open_util_spells(tables), "peak_u")
-        write("util_spells.json", header(spells), {"spells": spells})
+        write("util_spells.json", {"spells": spell_elements(open_util_spells(tables), "peak_u")})
     if "v_market_flows" in have:
         through = newest(tables["market_flows"])
-        synced = F.coalesce(through >= ago(stamp, hours=SYNCED_HOURS), F.lit(False))
-        markets = market_flow_elements(tables)
-        empty = markets.where(F.lit(False))
         lists = {
-            "markets": markets,
-            "whale_flows": whale_elements(tables) if "v_whale_flows" in have else empty,
-            "liquidations": liquidation_elements(tables) if "v_liquidations" in have else empty,
+            "markets": market_flow_elements(tables),
+            "whale_flows": whale_elements(tables) if "v_whale_flows" in have else None,
+            "liquidations": liquidation_elements(tables) if "v_liquidations" in have else None,
         }
-        write("market_flows.json", header(markets, data_through=iso_utc(through), synced=synced), lists)
+        synced = F.coalesce(through >= ago(stamp, hours=SYNCED_HOURS), F.lit(False))
+        write("market_flows.json", lists, data_through=iso_utc(through), synced=synced)
     if "v_depeg_spells" in have:
-        spells = spell_elements(open_depeg_spells(tables), "peak_abs_deviation", "peak_deviation")
-        write("depeg_spells.json", header(spells), {"spells": spells})
+        elements = spell_elements(open_depeg_spells(tables), "peak_abs_deviation", "peak_deviation")
+        write("depeg_spells.json", {"spells": elements})
     return written

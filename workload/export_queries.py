@@ -78,7 +78,7 @@ def flow_elements(g: Given) -> DataFrame:
 def spell_lines(g: Given) -> DataFrame:
     """The lines of the document, parsed back: commas are between elements only."""
     spells = export.open_util_spells(g.tables("market_state"), max_hole_seconds=SPELL_HOLE)
-    lines = export.element_lines(export.spell_elements(spells, "peak_u"))
+    lines = export.separated(export.settle(export.spell_elements(spells, "peak_u")))
     text = F.regexp_replace("line", "^,", "")
     parsed = F.from_json(text, "market_id string, threshold double, start_ts string, end_ts string, duration_min bigint, peak_u double, open boolean")
     return lines.select((~F.startswith("line", F.lit(","))).alias("is_first"), parsed.alias("p")).select("is_first", "p.*")
