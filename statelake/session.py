@@ -35,6 +35,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sta
         .config("spark.driver.memory", os.environ.get("STATELAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
