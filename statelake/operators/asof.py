@@ -59,7 +59,8 @@ def asof_join(
         right.select(
             *[as_col(rc).alias(n) for n, (_, rc) in zip(names, keys)],
             F.unix_micros(right_ts).alias("_asof_t"),
-            F.struct(*[F.col(src).alias(out) for src, out in take.items()]).alias("_asof_v"),
+            # Source names: several lookups into one table then share its exchanges.
+            F.struct(*take).alias("_asof_v"),
             F.struct(F.lit(0).alias("_asof_tie"), *[F.col(c) for c in tie_break]).alias("_asof_rank"),
         )
         .dropna(subset=[*names, "_asof_t"])
@@ -96,7 +97,7 @@ def asof_join(
     return (
         tagged.withColumn("_asof_hit", F.last("_asof_v", ignorenulls=True).over(scan))
         .where(F.col("_asof_left") == 1)
-        .select(*left.columns, *[F.col("_asof_hit")[out].alias(out) for out in take.values()])
+        .select(*left.columns, *[F.col("_asof_hit")[src].alias(out) for src, out in take.items()])
     )
 
 

@@ -79,16 +79,19 @@ def read_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_lines(lines: DataFrame) -> DataFrame:
-    """Adds ``event`` (typed struct) and ``ok``; bad or unknown lines have ok = false."""
-    parsed = lines.withColumn("event", F.from_json("line", _EVENT, {"mode": "PERMISSIVE"})).withColumn(
-        "_v", F.try_parse_json("line")
+    """Adds ``event`` (typed envelope), ``fields`` (all of the line's fields) and
+    ``ok``; unreadable lines and unknown types have ok = false."""
+    both = F.struct(
+        F.from_json("line", _EVENT, {"mode": "PERMISSIVE"}).alias("event"), F.try_parse_json("line").alias("fields")
     )
+    # Generated, so that a filter on the result does not parse the line again.
+    parsed = lines.select("*", F.inline(F.array(both)))
     ok = (
-        F.col("_v").isNotNull()
+        F.col("fields").isNotNull()
         & F.coalesce(F.col("event.type").isin(KNOWN_TYPES), F.lit(False))
         & instant("event.ts").isNotNull()
     )
-    return parsed.withColumn("ok", ok).drop("_v")
+    return parsed.withColumn("ok", ok)
 
 
 def score_rows(split: DataFrame) -> DataFrame:
@@ -120,12 +123,12 @@ def event_rows(split: DataFrame) -> DataFrame:
     """One row per other event; fields outside the envelope become sorted-key JSON."""
     e = F.col("event")
     events = split.where(F.col("ok") & (e["type"] != "scores"))
-    fields = F.from_json("line", "map<string,variant>")
-    extra = F.map_filter(fields, lambda k, _: ~k.isin(ENVELOPE))
-    by_key = F.transform(
-        F.array_sort(F.map_keys(extra)), lambda k: F.struct(k.alias("key"), F.element_at(extra, k).alias("value"))
+    entries = F.map_entries(F.col("fields").cast("map<string,variant>"))
+    extra = F.filter(entries, lambda x: ~x["key"].isin(ENVELOPE))
+    in_order = F.array_sort(
+        extra, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
     )
-    payload = F.when(F.size(extra) > 0, F.to_json(F.map_from_entries(by_key)))
+    payload = F.when(F.size(extra) > 0, F.to_json(F.map_from_entries(in_order)))
     return events.select(
         instant("event.ts").alias("ts"),
         e["chainId"].cast("int").alias("chain_id"),
@@ -133,7 +136,7 @@ def event_rows(split: DataFrame) -> DataFrame:
         "seq",
         e["type"].alias("type"),
         e["txHash"].alias("tx_hash"),
-        F.try_variant_get(F.try_parse_json("line"), "$.tx.blockNumber", "decimal(38,0)").alias("block_number"),
+        F.try_variant_get("fields", "$.tx.blockNumber", "decimal(38,0)").alias("block_number"),
         payload.alias("payload"),
         "source_file",
     )

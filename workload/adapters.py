@@ -68,7 +68,9 @@ class Given:
     # --- adapted tables ------------------------------------------------------
 
     def market_state(self) -> DataFrame:
-        ev = self.events().withColumn("bucket", floor_to("ts", STATE_BUCKET))
+        ev = self.events().select(
+            "user_id", floor_to("ts", STATE_BUCKET).alias("bucket"), "ts", "event_id", "event_type", "value"
+        )
         ev = keep_one(ev, ["user_id", "bucket"], F.struct("ts", "event_id"))
         v, kind = F.col("value"), F.col("event_type")
         full = F.least(v / 50.0, F.lit(1.0))
@@ -196,7 +198,9 @@ class Given:
         )
 
     def bot_scores(self) -> DataFrame:
-        ev = self.events().where("event_type = 'purchase' and value > 60").withColumn("bucket", floor_to("ts", 60))
+        ev = self.events().where("event_type = 'purchase' and value > 60").select(
+            "user_id", floor_to("ts", 60).alias("bucket"), "ts", "event_id", "value"
+        )
         ev = keep_one(ev, ["user_id", "bucket"], F.struct("ts", "event_id"))
         return ev.select(
             F.col("bucket").alias("ts"), chain(F.col("user_id")), F.lit("0xV").alias("vault"),

@@ -140,23 +140,31 @@ ASOF = """
       ON v.user_id = c.user_id AND c.ts >= v.ts"""
 
 
-def event_runs(g: Given) -> DataFrame:
-    panel = g.events().select("user_id", "ts", "value")
-    runs = threshold_runs(panel, ["user_id"], F.least(F.col("value") / 50.0, F.lit(1.0)), [0.92, 0.95], 72 * 3600)
-    return runs.groupBy("user_id", "threshold", "run_id").agg(
+# Ordered kernels run on the clock-sampled panel: an entity has one row per
+# cadence bucket there, which bounds its series by the time span.
+MARKET = ["chain_id", "market_id"]
+
+
+def panel_runs(g: Given) -> DataFrame:
+    panel = g.table("market_state").select(*MARKET, "ts", "utilization")
+    runs = threshold_runs(panel, MARKET, F.col("utilization"), [0.92, 0.95], 72 * 3600)
+    return runs.groupBy(*MARKET, "threshold", "run_id").agg(
         F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("n")
     ).drop("run_id")
 
 
+def _levels(g: Given) -> DataFrame:
+    return g.table("market_state").select(*MARKET, "ts", F.unix_micros("ts").alias("_t"), F.col("utilization").alias("u"))
+
+
 def latched(g: Given) -> DataFrame:
-    panel = g.events().select("event_id", "user_id", F.unix_micros("ts").alias("_t"), "value")
-    event = F.when(F.col("value") > 80, 1).when(F.col("value") < 10, 0)
-    return panel.select("event_id", latch(event, ["user_id"]).alias("inside"))
+    event = F.when(F.col("u") > 0.98, 1).when(F.col("u") < 0.2, 0)
+    return _levels(g).select(*MARKET, "ts", latch(event, MARKET).alias("inside"))
 
 
 def dwelling(g: Given) -> DataFrame:
-    panel = g.events().select("event_id", "user_id", F.unix_micros("ts").alias("_t"), "value")
-    return panel.select("event_id", throughout(F.col("value") < 60, trailing_hours(["user_id"], 72), 48).alias("held"))
+    held = throughout(F.col("u") < 0.99, trailing_hours(MARKET, 72), 24)
+    return _levels(g).select(*MARKET, "ts", held.alias("held"))
 
 
 def top_customers(g: Given) -> DataFrame:
@@ -335,24 +343,32 @@ OPERATOR_QUERIES = [
         "SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value FROM events GROUP BY ALL", {"value": 6},
     ),
     Query(
-        "threshold_runs", event_runs,
-        """SELECT user_id, threshold, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n
-           FROM (SELECT *, count(*) FILTER (breaks) OVER (PARTITION BY threshold, user_id ORDER BY ts) AS island
-                 FROM (SELECT user_id, ts, threshold, least(value / 50.0, 1.0) >= threshold AS inside,
-                              NOT inside OR coalesce(lag(ts) OVER w < ts - INTERVAL 72 HOURS, true) AS breaks
-                       FROM events, (SELECT unnest([0.92, 0.95]) AS threshold)
-                       WINDOW w AS (PARTITION BY threshold, user_id ORDER BY ts)))
-           WHERE inside GROUP BY threshold, user_id, island""", {"threshold": 4},
+        "threshold_runs", panel_runs,
+        with_tables("""
+            SELECT chain_id, market_id, threshold, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n
+            FROM (SELECT *, count(*) FILTER (breaks) OVER (PARTITION BY threshold, chain_id, market_id ORDER BY ts) AS island
+                  FROM (SELECT chain_id, market_id, ts, threshold, coalesce(utilization >= threshold, false) AS inside,
+                               NOT inside OR coalesce(lag(ts) OVER w < ts - INTERVAL 72 HOURS, true) AS breaks
+                        FROM market_state, (SELECT unnest([0.92, 0.95]) AS threshold)
+                        WINDOW w AS (PARTITION BY threshold, chain_id, market_id ORDER BY ts)))
+            WHERE inside GROUP BY threshold, chain_id, market_id, island""", "market_state"), {"threshold": 4},
     ),
     Query(
         "hysteresis_latch", latched,
-        """SELECT event_id, coalesce(last_value(CASE WHEN value > 80 THEN 1 WHEN value < 10 THEN 0 END IGNORE NULLS)
-                  OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING), 0) = 1 AS inside FROM events""",
+        with_tables("""
+            SELECT chain_id, market_id, ts,
+                   coalesce(last_value(CASE WHEN utilization > 0.98 THEN 1 WHEN utilization < 0.2 THEN 0 END IGNORE NULLS)
+                            OVER (PARTITION BY chain_id, market_id ORDER BY ts ROWS UNBOUNDED PRECEDING), 0) = 1 AS inside
+            FROM market_state""", "market_state"),
     ),
     Query(
         "dwell_test", dwelling,
-        """SELECT event_id, count(*) FILTER (value >= 60) OVER w = 0 AND ts - min(ts) OVER w >= INTERVAL 48 HOURS AS held FROM events
-           WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 72 HOURS PRECEDING AND CURRENT ROW)""",
+        with_tables("""
+            SELECT chain_id, market_id, ts,
+                   count(*) FILTER (utilization >= 0.99 OR utilization IS NULL) OVER w = 0 AND ts - min(ts) OVER w >= INTERVAL 24 HOURS AS held
+            FROM market_state
+            WINDOW w AS (PARTITION BY chain_id, market_id ORDER BY ts RANGE BETWEEN INTERVAL 72 HOURS PRECEDING AND CURRENT ROW)""",
+            "market_state"),
     ),
     Query(
         "share_within",

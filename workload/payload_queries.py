@@ -15,6 +15,7 @@ from .prelude import with_tables
 from .spec import Query
 
 PAGE = 100
+LONG_PAGE = 1000  # points of a history document at most
 
 
 def js(template: str, **values: Column | str) -> Column:
@@ -81,8 +82,8 @@ HISTORY_SERIES = {
 
 
 def history_documents(g: Given) -> DataFrame:
-    """One document per market and day; every event is one point of one series,
-    purchases also of utilization. Points are listed out of time order."""
+    """One document per market and page of events; every event is one point of one
+    series, purchases also of utilization. Points are listed out of time order."""
     point = js('{"x":<x>,"y":<y>}', x=F.unix_seconds("ts"), y=mixed(digits(F.col("value") * 100)))
     level = js('{"x":<x>,"y":<y>}', x=F.unix_seconds("ts"), y=F.col("value") / 500.0)
     rank = F.struct(F.col("event_id") % 7, "event_id")
@@ -92,12 +93,12 @@ def history_documents(g: Given) -> DataFrame:
         return F.concat_ws(",", F.transform(listed, lambda s: s["j"]))
 
     texts = [F.concat(F.lit(f'"{name}":['), series(kind, point), F.lit("],")) for kind, name in HISTORY_SERIES.items()]
-    docs = g.events().groupBy("user_id", F.to_date("ts").alias("d")).agg(
+    docs = g.events().groupBy((F.col("user_id") % 5).alias("k"), F.floor(F.col("event_id") / LONG_PAGE).alias("n")).agg(
         F.concat(*texts, F.lit('"utilization":['), series("purchase", level), F.lit("]")).alias("body")
     )
     return docs.select(
-        (F.col("user_id") % 3 + 1).cast("int").alias("chain_id"),
-        js('{"marketId":"m<k>","creationTimestamp":1,"historicalState":{<body>}}', k="user_id", body="body").alias("payload"),
+        F.lit(999).alias("chain_id"),
+        js('{"marketId":"m<k>_<n>","creationTimestamp":1,"historicalState":{<body>}}', k="k", n="n", body="body").alias("payload"),
     )
 
 
@@ -130,9 +131,8 @@ def allocation_documents(g: Given) -> DataFrame:
 
 
 def allocation_history_documents(g: Given) -> DataFrame:
-    """One document per vault and month; half-hourly points, listed by order key."""
-    month = F.date_trunc("month", F.col("l_shipdate").cast("timestamp"))
-    x = F.unix_seconds(month) + (F.col("l_orderkey") % 48) * 1800
+    """One document per four orders, whose lines are half-hourly points in line order."""
+    x = F.lit(1704067200) + (F.col("l_linenumber") % 3) * 1800
     rank = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     point = lambda y: js('{"x":<x>,"y":<y>}', x=x, y=y)
     pair = F.struct(
@@ -141,13 +141,13 @@ def allocation_history_documents(g: Given) -> DataFrame:
     )
     listed = F.array_sort(F.collect_list(pair))
     join = lambda f: F.concat_ws(",", F.transform(listed, lambda s: s[f]))
-    slots = g.raw("lineitem").groupBy("l_suppkey", month.alias("month"), line_slot().alias("slot")).agg(
+    slots = g.raw("lineitem").groupBy(F.floor(F.col("l_orderkey") / 4).alias("v"), line_slot().alias("slot")).agg(
         js('{"market":{"marketId":"m<m>"},"supplyAssets":[<a>],"supplyCap":[<c>]}', m="slot", a=join("a"), c=join("c")).alias("j")
     )
-    docs = slots.groupBy("l_suppkey", "month").agg(F.concat_ws(",", F.array_sort(F.collect_list("j"))).alias("body"))
+    docs = slots.groupBy("v").agg(F.concat_ws(",", F.array_sort(F.collect_list("j"))).alias("body"))
     return docs.select(
         F.lit(999).alias("chain_id"),
-        js('{"address":"0xV<v>","historicalState":{"allocation":[<b>]}}', v="l_suppkey", b="body").alias("payload"),
+        js('{"address":"0xV<v>","historicalState":{"allocation":[<b>]}}', v="v", b="body").alias("payload"),
     )
 
 
@@ -221,13 +221,13 @@ def coin_documents(g: Given) -> DataFrame:
     )
 
 
-def _token_days(g: Given, point: Column) -> DataFrame:
-    """Points per token and day out of the purchase events, listed by event."""
+def _token_pages(g: Given, point: Column) -> DataFrame:
+    """Points per token and page out of the purchase events, listed by event."""
     listed = F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("o"), point.alias("j"))))
     return (
         g.events().where("event_type = 'purchase'")
-        .groupBy((F.col("user_id") % 3 + 1).cast("int").alias("chain_id"), token(F.col("user_id")), F.to_date("ts").alias("d"),
-                 (F.col("user_id") % 50).alias("part"))
+        .groupBy((F.col("user_id") % 3 + 1).cast("int").alias("chain_id"), token(F.col("user_id")),
+                 F.floor(F.col("event_id") / LONG_PAGE).alias("part"))
         .agg(F.concat_ws(",", F.transform(listed, lambda s: s["j"])).alias("points"))
     )
 
@@ -238,14 +238,14 @@ def _known_price() -> Column:
 
 def chart_documents(g: Given) -> DataFrame:
     point = js('{"timestamp":<t>,"price":<p>,"confidence":0.9}', t=F.unix_seconds("ts"), p=_known_price())
-    return _token_days(g, point).select(
+    return _token_pages(g, point).select(
         "chain_id", F.concat_ws("_", F.upper("token_address"), "part").alias("address"), js('{"prices":[<p>]}', p="points").alias("payload")
     )
 
 
 def fallback_history_documents(g: Given) -> DataFrame:
     point = js('{"x":<t>,"y":<p>}', t=F.unix_seconds("ts"), p=_known_price())
-    return _token_days(g, point).select(
+    return _token_pages(g, point).select(
         "chain_id", js('{"address":"<a>_<n>","historicalPriceUsd":[<p>]}', a=F.upper("token_address"), n="part", p="points").alias("payload")
     )
 
@@ -317,12 +317,12 @@ X100 = "CAST(round(value * 100) AS BIGINT)"
 HOUR = "date_trunc('hour', ts)"
 CHAIN = "CAST(user_id % 3 + 1 AS INTEGER)"
 SEC = "date_trunc('second', ts)"
-TOKEN_DAY = "'tok' || (user_id // 3) % 12 || '_' || user_id % 50"
+TOKEN_PAGE = f"'tok' || (user_id // 3) % 12 || '_' || event_id // {LONG_PAGE}"
 
 
 def last_priced(source: str, confidence: str) -> str:
     return f"""
-        SELECT {HOUR} AS ts, {CHAIN} AS chain_id, {TOKEN_DAY} AS token_address, arg_max(value, event_id) AS price_usd,
+        SELECT {HOUR} AS ts, {CHAIN} AS chain_id, {TOKEN_PAGE} AS token_address, arg_max(value, event_id) AS price_usd,
                '{source}' AS source, {confidence} AS confidence
         FROM events WHERE event_type = 'purchase' AND event_id % 9 <> 0 GROUP BY ALL"""
 
@@ -348,12 +348,12 @@ PAYLOAD_QUERIES = [
     ),
     Query(
         "payload_market_state_history", lambda g: payloads.market_state_history(history_documents(g)),
-        f"""SELECT {HOUR} AS ts, {CHAIN} AS chain_id, 'm' || user_id AS market_id,
+        f"""SELECT {HOUR} AS ts, 999 AS chain_id, 'm' || user_id % 5 || '_' || event_id // {LONG_PAGE} AS market_id,
                    {newest_point('view', X100)} AS total_supply_assets, {newest_point('signup', X100)} AS total_supply_shares,
                    {newest_point('click', X100)} AS total_borrow_assets, {newest_point('purchase', X100)} AS total_borrow_shares,
                    {newest_point('error', X100)} AS rate_at_target, {newest_point('purchase', 'value / 500.0')} AS utilization,
                    CAST(NULL AS VARCHAR) AS oracle_price_raw, CAST(NULL AS TIMESTAMP) AS api_timestamp, 'backfill' AS source
-            FROM events GROUP BY {HOUR}, user_id""",
+            FROM events GROUP BY {HOUR}, user_id % 5, event_id // {LONG_PAGE}""",
         {"utilization": 9},
         ("total_supply_assets", "total_supply_shares", "total_borrow_assets", "total_borrow_shares", "rate_at_target"),
     ),
@@ -379,13 +379,13 @@ PAYLOAD_QUERIES = [
     ),
     Query(
         "payload_vault_allocations_history", lambda g: payloads.vault_allocations_history(allocation_history_documents(g)),
-        """SELECT date_trunc('hour', ts) AS ts, 999 AS chain_id, '0xv' || l_suppkey AS vault, 'm' || slot AS market_id,
+        """SELECT date_trunc('hour', ts) AS ts, 999 AS chain_id, '0xv' || l_orderkey // 4 AS vault, 'm' || slot AS market_id,
                   arg_max(q, (l_orderkey, l_linenumber, l_partkey, l_quantity)) AS supply_assets, CAST(NULL AS VARCHAR) AS supply_shares,
                   arg_max(p, (l_orderkey, l_linenumber, l_partkey, l_quantity)) FILTER (l_linenumber % 2 = 0) AS supply_cap, 'backfill' AS source
-           FROM (SELECT *, date_trunc('month', l_shipdate) + to_seconds((l_orderkey % 48) * 1800) AS ts,
+           FROM (SELECT *, TIMESTAMP '2024-01-01' + to_seconds((l_linenumber % 3) * 1800) AS ts,
                         CASE l_returnflag WHEN 'N' THEN 0 WHEN 'R' THEN 1 ELSE 2 END + CASE l_linestatus WHEN 'O' THEN 0 ELSE 3 END AS slot,
                         CAST(round(l_quantity) AS BIGINT) AS q, CAST(round(l_extendedprice) AS BIGINT) AS p
-                 FROM lineitem) GROUP BY date_trunc('hour', ts), l_suppkey, slot""",
+                 FROM lineitem) GROUP BY date_trunc('hour', ts), l_orderkey // 4, slot""",
         exact=("supply_assets", "supply_shares", "supply_cap"),
     ),
     Query(
