@@ -11,12 +11,12 @@ from .selection import (
 )
 from .shares import share_within, top_k_sum, with_previous
 from .tiers import spread_to_leader, tier
-from .trailing import ago, avg_where, count_where, indicator, newest, sum_where
+from .trailing import ago, avg_where, count_where, indicator, newest, since, sum_where
 
 __all__ = [
     "above_floor", "ago", "asof_join", "avg_where", "count_where",
     "heal_candidates", "indicator", "keep_one", "latch", "latest_per_group", "latest_rows",
     "latest_value", "log_return", "newest", "not_covered", "rolling_volatility", "share_within",
-    "spans", "spread_to_leader", "sum_where", "threshold_runs", "throughout", "tier", "top_k_sum",
+    "since", "spans", "spread_to_leader", "sum_where", "threshold_runs", "throughout", "tier", "top_k_sum",
     "tracked_set", "tracked_tokens", "trailing_hours", "with_fallback", "with_previous",
 ]

@@ -39,13 +39,16 @@ def asof_join(
     tie_break: Sequence[str] = (),
     chunk_seconds: int = DAY,
     max_rows: int | None = MAX_ROWS,
+    identity: Sequence[str] = (),
 ) -> DataFrame:
     """Left columns plus ``take`` (right column -> output name).
 
     ``keys`` pairs a left expression with a right expression. A left row with a
     NULL key part, or older than every right row, gets NULLs. Among right rows
     of one instant the greatest ``tie_break`` columns win. ``max_rows=None``
-    skips the count for left sides that are known to be small.
+    skips the count for left sides that are known to be small. ``identity`` names
+    the left columns that tell rows apart; hashing these instead of whole rows
+    leaves the others free to be pruned.
     """
     width = chunk_seconds * 1_000_000
     names = [f"_asof_k{i}" for i in range(len(keys))]
@@ -86,7 +89,7 @@ def asof_join(
     )
     tagged = rows.unionByName(samples, allowMissingColumns=True).unionByName(openings, allowMissingColumns=True)
     if max_rows is not None:
-        tagged = _salted(tagged, rows, group, left.columns, max_rows)
+        tagged = _salted(tagged, rows, group, list(identity) or left.columns, max_rows)
         group = [*group, "_asof_salt"]
 
     scan = (

@@ -7,10 +7,21 @@ from pyspark.sql import functions as F
 
 
 def newest(df: DataFrame, ts: str = "ts") -> Column:
-    """The table's newest instant as a scalar subquery (one value, no join)."""
+    """The table's newest instant as a scalar subquery (one value, no join).
+
+    On a day-partitioned table only the newest day is read.
+    """
+    if "date" in df.columns:
+        df = df.where(F.col("date") == df.select(F.max("date")).scalar())
     return df.select(F.max(ts)).scalar()
 
 
+def since(df: DataFrame, start: Column, ts: str = "ts") -> DataFrame:
+    """Rows from ``start`` on; a day-partitioned table skips earlier days."""
+    recent = df.where(F.col(ts) >= start)
+    return recent.where(F.col("date") >= F.to_date(start)) if "date" in df.columns else recent
+
+
 def ago(anchor: Column, **span: int) -> Column:
     """``anchor`` minus days/hours."""
     return anchor - F.make_dt_interval(F.lit(span.get("days", 0)), F.lit(span.get("hours", 0)))

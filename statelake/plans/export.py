@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from statelake.functions import iso_utc, wad, text_price
 from statelake.session import shared_dir
-from statelake.operators import ago, count_where, latest_rows, newest, spread_to_leader, sum_where
+from statelake.operators import ago, count_where, latest_rows, newest, since, spread_to_leader, sum_where
 
 from .book_views import v_position_risk, v_supplier_concentration
 from .catalog import buildable
@@ -100,11 +100,16 @@ def lender_concentration(t: Tables) -> DataFrame:
     )
 
 
+def recent_tape(t: Tables, anchor: Column, days: int) -> Tables:
+    """The tables with the event tape cut to the look-back before anything is joined."""
+    return {**t, "market_flows": since(t["market_flows"], ago(anchor, days=days))}
+
+
 def flow_summary(t: Tables) -> DataFrame:
     """Gross and net flow per market over windows that end at the newest event."""
     anchor = newest(t["market_flows"])
     ts, s, b = F.col("ts"), F.col("supply_flow"), F.col("borrow_flow")
-    recent = v_market_flows(t).where(ts >= ago(anchor, days=30))
+    recent = v_market_flows(recent_tape(t, anchor, LIQUIDATION_DAYS))
     aggs = [F.any_value("loan_symbol", ignoreNulls=True).alias("loan_symbol")]
     for label, start in (("24h", ago(anchor, hours=24)), ("7d", ago(anchor, days=7))):
         inside = ts >= start
@@ -120,13 +125,15 @@ def flow_summary(t: Tables) -> DataFrame:
 
 def flow_history(t: Tables) -> DataFrame:
     anchor = newest(t["market_flows"])
-    df = v_market_netflow(t).where(F.col("ts") >= ago(anchor, days=FLOW_HISTORY_DAYS))
+    # An hour is listed when it starts inside the look-back, so its events do too.
+    tape = recent_tape(t, anchor, FLOW_HISTORY_DAYS)
+    df = v_market_netflow(tape).where(F.col("ts") >= ago(anchor, days=FLOW_HISTORY_DAYS))
     return df.select(*MARKET, "ts", "net_supply_flow", "net_borrow_flow")
 
 
 def whale_feed(t: Tables) -> DataFrame:
     anchor = newest(t["market_flows"])
-    return v_whale_flows(t).where(F.col("ts") >= ago(anchor, days=WHALE_DAYS)).select(
+    return v_whale_flows(recent_tape(t, anchor, WHALE_DAYS)).select(
         "ts", *MARKET, "loan_symbol", "tx_hash", "type", "account", "flow",
         (F.col("pct_of_supply") / 100.0).alias("pct_of_supply"),
     )
@@ -134,7 +141,7 @@ def whale_feed(t: Tables) -> DataFrame:
 
 def liquidation_feed(t: Tables) -> DataFrame:
     anchor = newest(t["market_flows"])
-    return v_liquidations(t).where(F.col("ts") >= ago(anchor, days=LIQUIDATION_DAYS)).select(
+    return v_liquidations(recent_tape(t, anchor, LIQUIDATION_DAYS)).select(
         "ts", *MARKET, "loan_symbol", "collateral_symbol", "tx_hash", "borrower", "liquidator",
         "repaid_assets", "seized_assets", "bad_debt_assets", "repaid_usd", "seized_usd",
     )
@@ -161,8 +168,8 @@ def open_depeg_spells(t: Tables, **options) -> DataFrame:
 
 def sparkline(t: Tables) -> DataFrame:
     """On-the-hour APY and utilization of the last 7 days."""
-    apy = v_market_apy(t)
-    recent = apy.where((F.minute("ts") == 0) & (F.col("ts") >= ago(newest(apy), days=SPARKLINE_DAYS)))
+    start = ago(newest(t["market_state"].where("rate_at_target is not null and utilization is not null")), days=SPARKLINE_DAYS)
+    recent = v_market_apy({"market_state": since(t["market_state"], start)}).where(F.minute("ts") == 0)
     return recent.select(*MARKET, "ts", "supply_apy", "u")
 
 

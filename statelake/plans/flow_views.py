@@ -16,6 +16,7 @@ COLLATERAL_TYPES = ["SupplyCollateral", "WithdrawCollateral"]
 LIQUIDATION = "Liquidation"
 WHALE_SHARE = 0.05
 
+EVENT = ["tx_hash", "log_index"]
 _DIMS = ["loan_symbol", "collateral_symbol", "loan_decimals", "collateral_decimals"]
 
 
@@ -88,7 +89,8 @@ def v_liquidations(t: Tables) -> DataFrame:
     )
     for key, out in (("_loan", "_loan_price"), ("_coll", "_coll_price")):
         df = asof_join(
-            df, t["prices"], keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out}
+            df, t["prices"], keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out},
+            identity=EVENT,
         )
     return df.select(
         "ts", *MARKET, "loan_symbol", "collateral_symbol", "tx_hash", "borrower", "liquidator",
@@ -112,6 +114,7 @@ def v_whale_flows(t: Tables) -> DataFrame:
         flows.where("flow is not null"), t["market_state"],
         keys=[("chain_id", "chain_id"), ("market_id", "market_id")],
         take={"total_supply_assets": "_supply"},
+        identity=EVENT,
     ).withColumn("market_supply", human("_supply", "loan_decimals"))
     supply = F.col("market_supply")
     large = sized.where((supply > 0) & (F.abs("flow") >= F.lit(WHALE_SHARE) * supply))

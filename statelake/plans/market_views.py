@@ -158,6 +158,7 @@ def health_panel(t: Tables) -> DataFrame:
         state, t["prices"],
         keys=[("chain_id", "chain_id"), ("_loan_token", "token_address")],
         take={"price_usd": "_loan_price"},
+        identity=[*MARKET, "ts"],
     )
     apy = F.col("apy_at_target")
     df = (
@@ -233,7 +234,8 @@ def oracle_deviation(state: DataFrame, prices: DataFrame, **options) -> DataFram
     priced = state.withColumn("_loan", F.lower("loan_token")).withColumn("_coll", F.lower("collateral_token"))
     for key, out in (("_loan", "loan_price_usd"), ("_coll", "collateral_price_usd")):
         priced = asof_join(
-            priced, prices, keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out}, **options
+            priced, prices, keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out},
+            identity=[*MARKET, "ts"], **options,
         )
     reference = F.col("collateral_price_usd") / F.nullif("loan_price_usd", F.lit(0.0))
     return (

@@ -44,6 +44,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sta
     return configure(spark)
 
 
+_PRIVATE_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and written intermediates.
 
@@ -53,8 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="statelake-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _PRIVATE_DIRS:
+        _PRIVATE_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="statelake-")
+    return _PRIVATE_DIRS[context.applicationId]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +18,9 @@ def keyed_merge(lake: Lake, spec: TableSpec) -> Callable[[DataFrame, int], None]
     replayed after a failure changes nothing."""
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
+        batch.persist()  # a merge reads its batch more than once
         lake.upsert(spec, batch)
+        batch.unpersist()
 
     return merge
 
@@ -41,11 +43,12 @@ def ingest_logs(spark: SparkSession, folder: str, lake: Lake, rejected: str, che
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        split = split_lines(number_lines(batch))
+        split = split_lines(number_lines(batch)).persist()
         lake.upsert(BOT_SCORES, score_rows(split), F.col("seq"))
         lake.upsert(BOT_EVENTS, event_rows(split))
         bad = split.where(~F.col("ok")).select("source_file", "seq", "line")
         bad.write.mode("overwrite").json(f"{rejected}/batch={batch_id}")
+        split.unpersist()
 
     return (
         log_source(spark.readStream.option("maxFilesPerTrigger", 1000), folder)
@@ -70,3 +73,11 @@ def last_in_bucket(
         .agg(F.max_by(F.struct(*values), F.col(ts)).alias("_last"))
         .select(F.col("window.start").alias(ts), *keys, "_last.*")
     )
+
+
+def online_latch(stream: DataFrame, keys: Sequence[str], event: Column, ts: str = "ts") -> DataFrame:
+    """Hysteresis state per entity as samples arrive: the newest non-NULL event
+    decides, whatever order samples come in. State is one row per entity; use
+    update or complete mode."""
+    last = F.max_by(event, F.when(event.isNotNull(), F.col(ts)))
+    return stream.groupBy(*keys).agg((F.coalesce(last, F.lit(0)) == 1).alias("inside"))

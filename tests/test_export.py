@@ -6,7 +6,9 @@ from datetime import timedelta
 import pytest
 from conftest import CHAIN, T0, dim, flow, hours, price, state
 
-from statelake.plans.export import run_export
+from statelake.plans.export import flow_summary, run_export
+from statelake.sources import Lake
+from statelake.tables import MARKET_FLOWS, MARKETS
 
 HIGH = 16_000_000_000
 NOW = T0 + hours(30)
@@ -87,3 +89,15 @@ def test_empty_tape_is_not_synced(spark, tables, table, tmp_path):
 
 def test_documents_are_skipped_when_their_tables_are_absent(spark, tables, tmp_path):
     assert run_export(spark, {"market_state": tables["market_state"]}, str(tmp_path), NOW) == ["util_spells.json"]
+
+
+def test_feeds_skip_days_before_their_look_back(spark, table, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    tape = [flow(NOW - hours(h), "Supply", h, "good", assets=10**9) for h in (0, 24, 24 * 40, 24 * 90)]
+    lake.upsert(MARKET_FLOWS, table("market_flows", tape))
+    lake.upsert(MARKETS, table("markets", [dim("good")]))
+    df = flow_summary(lake.tables())
+    (r,) = df.collect()
+    assert (r["supply_in_24h"], r["supply_in_7d"]) == (2_000.0, 2_000.0)
+    plan = df._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan

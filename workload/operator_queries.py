@@ -17,7 +17,7 @@ from statelake.plans.reader import Reader
 from statelake.session import shared_dir
 from statelake.sources import Lake, resume_from
 from statelake.sources.store import coerce, merge_rows, missing_rows
-from statelake.streaming import deduplicated, hourly_net_flow, last_in_bucket, start_merge
+from statelake.streaming import deduplicated, hourly_net_flow, last_in_bucket, online_latch, start_merge
 from statelake.tables import MARKET_FLOWS, MARKETS, PRICES, TABLES
 
 from .adapters import GIVEN_SCHEMAS, Given, chain, market
@@ -254,6 +254,20 @@ def streamed_buckets(g: Given) -> DataFrame:
     return run_to_table(g, last_in_bucket(samples, ["user_id"], 900), "buckets")
 
 
+def streamed_latch(g: Given) -> DataFrame:
+    """Each micro-batch replaces the table of current states, one row per entity."""
+    base = f"{shared_dir(g.spark)}/latch-{uuid.uuid4().hex}"
+    event = F.when(F.col("value") > 80, 1).when(F.col("value") < 10, 0)
+    states = online_latch(stream_of(g, "events"), ["user_id"], event)
+    query = (
+        states.writeStream.outputMode("complete")
+        .foreachBatch(lambda df, _id: df.write.mode("overwrite").parquet(f"{base}/out"))
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return g.spark.read.schema(states.schema).parquet(f"{base}/out")
+
+
 # --- registration ------------------------------------------------------------
 
 QUALITY_COLUMNS = ["ts", "chain_id", "market_id", "rate_at_target", "utilization", "oracle_price_raw"]
@@ -482,4 +496,9 @@ OPERATOR_QUERIES = [
            HAVING time_bucket(INTERVAL 900 SECONDS, min(ts)) + INTERVAL 900 SECONDS <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
         {"value": 6},
     ),
+    Query(
+        "stream_latch", streamed_latch,
+        """SELECT user_id, coalesce(arg_max(CASE WHEN value > 80 THEN 1 WHEN value < 10 THEN 0 END, ts), 0) = 1 AS inside
+           FROM events GROUP BY user_id""",
+    ),
 ]
