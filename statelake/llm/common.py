@@ -20,6 +20,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of long texts must fit a Python worker."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(rows):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read
+from .common import read, tokenizer_path
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .prefix_join import shingle_components
 from .repeats import cut_repeats
 
@@ -14,6 +15,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_components(read(spark, sf_dir, "documents"))
 
@@ -22,7 +27,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op9_ngram_jaccard, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_best_fit_packing, op9_ngram_jaccard, op10_suffix_array_dedup)}
 
 SQL = {
     "op1_exact_dedup": r"""
