@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read, tokenizer_path
 from .exact_dedup import exact_dedup
+from .outliers import robust_outliers
 from .packing import pack
 from .prefix_join import shingle_components
+from .rank_profiles import languages
 from .repeats import cut_repeats
 
 
@@ -15,10 +17,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_outliers(read(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_components(read(spark, sf_dir, "documents"))
 
@@ -27,7 +37,8 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_best_fit_packing, op9_ngram_jaccard, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_robust_outliers, op5_best_fit_packing, op7_rank_profiles, op9_ngram_jaccard, op10_suffix_array_dedup)}
 
 SQL = {
     "op1_exact_dedup": r"""
