@@ -27,7 +27,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 250) -> None:
     """Arrow batches of long texts must fit a Python worker."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(rows):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -103,7 +103,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], column: str, rows: int) -> I
 class Memo(dict):
     """A dictionary that fills itself and is emptied when it has grown to ``most``."""
 
-    def __init__(self, make: Callable, most: int = 400_000):
+    def __init__(self, make: Callable, most: int = 100_000):
         super().__init__()
         self.make, self.most = make, most
 

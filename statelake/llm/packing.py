@@ -42,7 +42,7 @@ PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start"
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, most_units: int = 400_000):
+    def __init__(self, path: str, most_units: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

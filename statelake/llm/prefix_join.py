@@ -32,7 +32,7 @@ from .common import Memo, first_of_runs, first_seen, partitions, ragged, small_b
 from .linking import families
 
 STORED_BITS = 48
-FLUSH = 1_500_000
+FLUSH = 400_000
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 PACKED = "range int, keys binary, counts binary, values binary"
@@ -45,7 +45,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(most: int = 400_000) -> Memo:
+def word_hashes(most: int = 100_000) -> Memo:
     return Memo(lambda w: xxhash.xxh64_intdigest(w), most)
 
 
@@ -214,7 +214,7 @@ def _profile(table: pa.Table, percent: int) -> pa.Table:
 
 def profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """One row for each key of ``texts`` (key, text)."""
-    bits = range_bits(partitions(texts.sparkSession))
+    bits = range_bits(2 * partitions(texts.sparkSession))
     dealt = texts.mapInArrow(lambda b: _deal(b, width, bits), PACKED)
     found = dealt.groupBy("range").applyInArrow(lambda t: _count(t, bits), FOUND)
     return found.groupBy("home").applyInArrow(lambda t: _profile(t, percent), PROFILE)
