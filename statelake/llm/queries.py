@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read, tokenizer_path
 from .exact_dedup import exact_dedup
+from .fuzzy_lines import dedup_lines
 from .outliers import robust_outliers
 from .packing import pack
 from .prefix_join import shingle_components
@@ -29,6 +31,11 @@ def op7_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = dedup_lines(read(spark, sf_dir, "documents"))
+    return lines.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_components(read(spark, sf_dir, "documents"))
 
@@ -38,7 +45,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_robust_outliers, op5_best_fit_packing, op7_rank_profiles, op9_ngram_jaccard, op10_suffix_array_dedup)}
+    op1_exact_dedup, op2_robust_outliers, op5_best_fit_packing, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
 
 SQL = {
     "op1_exact_dedup": r"""
