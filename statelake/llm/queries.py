@@ -13,6 +13,7 @@ from .packing import pack
 from .prefix_join import shingle_components
 from .rank_profiles import languages
 from .repeats import cut_repeats
+from .weak_labels import classify
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_outliers(read(spark, sf_dir, "documents"))
 
 
+def op4_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    answers = classify(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return answers.select("doc_id", F.col("_score").alias("score"), F.col("_kept").alias("kept"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -45,7 +51,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_robust_outliers, op5_best_fit_packing, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
+    op1_exact_dedup, op2_robust_outliers, op4_weak_labels, op5_best_fit_packing, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
 
 SQL = {
     "op1_exact_dedup": r"""
