@@ -49,6 +49,12 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column], F.lit(""))
 
 
+def plain(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns renamed c0, c1, ..., so that no helper column clashes, and the new names by old."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def text_key(text: Column) -> Column:
     """64-bit key of a text, taken from its SHA-256."""
     return F.xxhash64(F.sha2(text, 256))
@@ -114,12 +120,6 @@ class Memo(dict):
         return value
 
 
-def ragged(values: list, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """List array of consecutive slices."""
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
-
-
 def first_of_runs(values: np.ndarray) -> np.ndarray:
     """Start of every run of equal values."""
     if not len(values):

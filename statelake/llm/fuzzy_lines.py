@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import first_seen, first_of_runs, partitions, small_batches, text_key, text_of, written
+from .common import first_seen, first_of_runs, partitions, plain, small_batches, text_key, text_of, written
 from .linking import families
 from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, shared_values, six_bytes
 
@@ -179,25 +179,31 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     return gone.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("gone"))
 
 
-def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rebuild(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+        for text, gone in zip(batch.column(column).to_pylist(), batch.column("gone").to_pylist(), strict=True):
             if gone:
                 gone = set(gone)
                 text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
             texts.append(text)
-        at = batch.schema.get_field_index("text")
+        at = batch.schema.get_field_index(column)
         yield batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.string()))
 
 
 def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``documents`` with the lines that stay in ``text``, and _n_lines, _n_removed (lines with a word)."""
-    gone = removed_lines(documents, percent).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("gone"))
-    text = text_of(documents)
-    rows = documents.withColumn("_text_key", text_key(text))
-    found = rows.join(gone, rows["doc_id"].cast("long").eqNullSafe(gone["_doc"]) & (rows["_text_key"] == gone["_key"]), "left")
-    words = F.size(F.filter(F.split(F.coalesce(found["text"], F.lit("")), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
-    out = found.select(*[rows[c] for c in documents.columns], gone["gone"], words.alias("_n_lines"))
-    rebuilt = out.mapInArrow(_rebuild, out.schema)
-    return rebuilt.select(*documents.columns, "_n_lines", F.coalesce(F.size("gone"), F.lit(0)).alias("_n_removed"))
+    """``documents`` with the lines that stay in ``text``, and _n_lines, _n_removed (lines with a word).
+
+    Input columns named like these two are replaced.
+    """
+    documents = documents.drop("_n_lines", "_n_removed")
+    gone = removed_lines(documents.select("doc_id", "text"), percent).withColumnRenamed("doc_id", "gone_doc")
+    rows, names = plain(documents)
+    doc, text = names["doc_id"], names["text"]
+    rows = rows.withColumn("key", text_key(F.coalesce(text, F.lit(""))))
+    words = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
+    found = rows.join(gone, rows[doc].cast("long").eqNullSafe(F.col("gone_doc")) & (F.col("key") == F.col("text_key")), "left")
+    out = found.select(*names.values(), "gone", words.alias("n_lines"))
+    rebuilt = out.mapInArrow(lambda b: _rebuild(b, text), out.schema)
+    return rebuilt.select(
+        *[F.col(new).alias(old) for old, new in names.items()], F.col("n_lines").alias("_n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("_n_removed"))

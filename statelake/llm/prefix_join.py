@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, first_of_runs, first_seen, partitions, ragged, small_batches, text_key, text_of, written
+from .common import Memo, first_of_runs, first_seen, partitions, plain, small_batches, text_key, written
 from .linking import families
 
 STORED_BITS = 48
@@ -220,14 +220,9 @@ def profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return found.groupBy("home").applyInArrow(lambda t: _profile(t, percent), PROFILE)
 
 
-def shingle_components(documents: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row for each row of ``documents``.
-
-    Texts link when 100 * shared shingles >= percent * all shingles of both.
-    """
-    spark = documents.sparkSession
-    small_batches(spark)
-    keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(documents).alias("text")).withColumn("key", text_key(F.col("text")))
+def _by_text(keyed: DataFrame, width: int, percent: int) -> DataFrame:
+    """key, n_shingles, label, first (the smallest document of the text); ``keyed`` has doc_id, text, key."""
+    small_batches(keyed.sparkSession)
     profile = written(profiles(first_seen(keyed.select("key", "text")), width, percent), "prefixes")
     candidates = profile.where(F.size("prefix") > 0)
 
@@ -250,16 +245,43 @@ def shingle_components(documents: DataFrame, width: int = 5, percent: int = 75)
     lists = groups.select("gid", "n", F.col("own").alias("weight"), F.posexplode("prefix").alias("at", "feature")).withColumn("place", F.col("weight") + F.col("at"))
     labels = families(lists.select("feature", "gid", "weight", "n", "place"), grouped.select("gid", F.col("key").alias("node")), may_link, verified)
 
-    # A component is named by its smallest document; a text's copies share its key.
+    # A text's copies share its key; a text without links is its own component.
     first = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))
-    named = first.join(labels, first["key"] == labels["node"], "left").select("key", "first", F.coalesce("component", "key").alias("label"))
-    names = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_key = (
-        named.join(names, "label").join(profile.select("key", "n"), "key")
-        .select("key", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return (
+        first.join(labels, first["key"] == labels["node"], "left").select("key", "first", F.coalesce("component", "key").alias("label"))
+        .join(profile.select("key", F.col("n").cast("long").alias("n_shingles")), "key")
     )
-    blank = F.col("n_shingles") == 0
+
+
+def _keyed(documents: DataFrame, doc: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).withColumn("key", text_key(F.col("text")))
+
+
+def shingle_components(documents: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row for each row of ``documents``.
+
+    Texts link when 100 * shared shingles >= percent * all shingles of both. A component
+    is named by its smallest document.
+    """
+    keyed = _keyed(documents, "doc_id", "text")
+    texts = _by_text(keyed, width, percent)
+    names = texts.groupBy("label").agg(F.min("first").alias("component_id"))
+    return (
+        keyed.select("doc_id", "key").join(texts.join(names, "label").select("key", "n_shingles", "component_id"), "key")
+        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    )
+
+
+def one_of_each(documents: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``documents`` whose document is the smallest of its component, or has no word."""
+    rows, names = plain(documents)
+    doc, text = names["doc_id"], names["text"]
+    texts = _by_text(_keyed(rows, doc, text), width, percent)
+    place = F.struct(F.col("first").isNull().alias("none"), "first", "key")
+    stays = texts.where("n_shingles > 0").groupBy("label").agg(F.min(place).alias("stays")).select("stays.first", "stays.key", F.lit(False).alias("blank"))
+    blank = texts.where("n_shingles = 0").select("first", "key", F.lit(True).alias("blank"))
+    keyed = rows.withColumn("key", text_key(F.coalesce(text, F.lit(""))))
     return (
-        keyed.select("doc_id", "key").join(by_key, "key")
-        .select("doc_id", "n_shingles", F.when(blank, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        keyed.join(stays.union(blank), "key").where(F.col("blank") | F.col(doc).cast("long").eqNullSafe(F.col("first")))
+        .select(*[F.col(new).alias(old) for old, new in names.items()])
     )

@@ -33,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import first_of_runs, first_seen, partitions, small_batches, text_key, text_of, whole_groups, written
+from .common import first_of_runs, first_seen, partitions, plain, small_batches, text_key, whole_groups, written
 from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, six_bytes
 
 GRAM = 32
@@ -295,50 +295,73 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _rows(rows, CUT_ARROW)
 
 
-def cut_repeats(documents: DataFrame, length: int = 100, texts: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row for each row of ``documents``.
-
-    With ``texts``, the columns of ``documents`` and ``_removed`` (bytes) and ``_kept`` (the
-    remaining bytes as text; a character cut in half becomes U+FFFD).
-    """
-    if length < GRAM:
-        raise ValueError(f"length must be {GRAM} or more")
-    spark = documents.sparkSession
-    small_batches(spark)
+def _repeats(sources: DataFrame, length: int) -> DataFrame:
+    """Cuts of every text with repeats, by text key; ``sources`` has key, doc_id and text."""
+    spark = sources.sparkSession
     bits = range_bits(partitions(spark))
-    text = text_of(documents)
-    keyed = documents.select("*" if texts else "doc_id", text.alias("content_text")).withColumn("key", text_key(F.col("content_text")))
-    order_id = F.col("doc_id").cast("long")
-    sources = keyed.select("key", F.col("content_text").alias("text"))
-    long_enough = sources.where(F.octet_length("text") >= length)
-
+    long_enough = sources.where(F.octet_length("text") >= length).select("key", "text")
     dealt = first_seen(long_enough).mapInArrow(lambda b: _deal(b, length, bits), DEALT)
     again = dealt.groupBy("range").applyInArrow(lambda t: _again(t, bits), DEALT)
     held = written(again.groupBy("range").applyInArrow(_by_text, HELD), "anchors")
 
-    firsts = keyed.groupBy("key").agg(F.min(order_id).alias("first"))
     candidates = written(
         first_seen(long_enough).withColumn("content", F.col("text").cast("binary")).drop("text")
-        .join(held, "key").join(firsts, "key").dropDuplicates(["key"]), "repeats")
-
+        .join(held, "key").join(_firsts(sources), "key").dropDuplicates(["key"]), "repeats")
     contexts = candidates.mapInArrow(lambda b: _contexts(b, length), CONTEXT)
     spans = (
         contexts.repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
         .mapInArrow(lambda b: _spans(b, length), SPAN)
         .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
     )
-    cuts = written(candidates.select("key", "content").join(spans, "key").mapInArrow(_cut, CUT), "cuts")
+    return written(candidates.select("key", "content").join(spans, "key").mapInArrow(_cut, CUT), "cuts")
+
+
+def _firsts(sources: DataFrame) -> DataFrame:
+    return sources.groupBy("key").agg(F.min("doc_id").alias("first"))
+
+
+def _is_copy(size: Column, doc: Column, length: int) -> Column:
+    """Not the first document of its text, and long enough to be a repeat."""
+    return (size >= length) & F.col("first").isNotNull() & ~doc.eqNullSafe(F.col("first"))
+
 
-    size = F.octet_length("content_text").cast("long")
-    copy = (size >= length) & F.col("first").isNotNull() & ~order_id.eqNullSafe(F.col("first"))
+def _sources(documents: DataFrame, doc: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).withColumn("key", text_key(F.col("text")))
+
+
+def cut_repeats(documents: DataFrame, length: int = 100) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row for each row of ``documents``."""
+    if length < GRAM:
+        raise ValueError(f"length must be {GRAM} or more")
+    small_batches(documents.sparkSession)
+    sources = _sources(documents, "doc_id", "text")
+    cuts = _repeats(sources, length).drop("kept")
+    copy = _is_copy(F.col("n_bytes"), F.col("doc_id"), length)
     empty = F.lit(hashlib.sha256(b"").hexdigest())
-    rows = keyed.join(firsts, "key").join(cuts if texts else cuts.drop("kept"), "key", "left")
-    if texts:
-        kept = F.when(copy, F.lit("")).otherwise(F.coalesce(F.make_valid_utf8(F.col("kept").cast("string")), F.col("content_text")))
-        return rows.select(*[keyed[c] for c in documents.columns], F.when(copy, size).otherwise(F.coalesce("n_removed", F.lit(0))).alias("_removed"), kept.alias("_kept"))
-    return rows.select(
-        "doc_id", size.alias("n_bytes"),
-        F.when(copy, size).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+    return sources.select("key", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")).join(_firsts(sources), "key").join(cuts, "key", "left").select(
+        "doc_id", "n_bytes",
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copy, empty).otherwise(F.coalesce("kept_sha256", F.sha2("content_text", 256))).alias("kept_sha256"),
+        F.when(copy, empty).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
     )
+
+
+def without_repeats(documents: DataFrame, length: int = 100) -> DataFrame:
+    """``documents`` with the remaining bytes as ``text`` and their number removed as _n_removed.
+
+    A character cut in half becomes U+FFFD. An input column named _n_removed is replaced.
+    """
+    if length < GRAM:
+        raise ValueError(f"length must be {GRAM} or more")
+    small_batches(documents.sparkSession)
+    rows, names = plain(documents.drop("_n_removed"))
+    doc, text = names["doc_id"], names["text"]
+    sources = _sources(rows, doc, text)
+    cuts = _repeats(sources, length).select("key", "n_removed", "kept")
+    rows = rows.withColumn("key", text_key(F.coalesce(text, F.lit(""))))
+    size = F.octet_length(F.coalesce(text, F.lit(""))).cast("long")
+    copy = _is_copy(size, F.col(doc).cast("long"), length)
+    kept = F.when(copy, F.lit("")).otherwise(F.coalesce(F.make_valid_utf8(F.col("kept").cast("string")), F.col(text)))
+    return rows.join(_firsts(sources).join(cuts, "key", "left"), "key").select(
+        *[(kept if old == "text" else F.col(new)).alias(old) for old, new in names.items()],
+        F.when(copy, size).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("_n_removed"))

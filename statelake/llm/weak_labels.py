@@ -188,6 +188,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Scorer | None:
 
 def scored(documents: DataFrame, scorer: Scorer | None) -> DataFrame:
     """``documents`` and _score (probability of good)."""
+    documents = documents.drop("_score", "_kept")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = scorer.words() if scorer else None
@@ -200,5 +201,5 @@ def scored(documents: DataFrame, scorer: Scorer | None) -> DataFrame:
 
 
 def classify(documents: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
-    """``documents`` with _score and _kept."""
+    """``documents`` with _score and _kept; input columns of these names are replaced."""
     return scored(documents, learn(documents, sample)).withColumn("_kept", F.col("_score") >= cut)
