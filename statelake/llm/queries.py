@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .block_labeller import extract
 from .common import read, tokenizer_path
 from .exact_dedup import exact_dedup
 from .fuzzy_lines import dedup_lines
@@ -24,6 +25,10 @@ def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_outliers(read(spark, sf_dir, "documents"))
 
 
+def op3_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op4_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = classify(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return answers.select("doc_id", F.col("_score").alias("score"), F.col("_kept").alias("kept"))
@@ -51,7 +56,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_robust_outliers, op4_weak_labels, op5_best_fit_packing, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
+    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
 
 SQL = {
     "op1_exact_dedup": r"""
