@@ -68,6 +68,12 @@ def range_bits(n: int) -> int:
     return max(6, min(16, int(np.ceil(np.log2(max(1, n))))))
 
 
+def home_bits(bits: int) -> int:
+    """Homes of texts are a quarter of the ranges: what is shared is a fraction of all, and
+    every range sends one row to every home."""
+    return max(4, bits - 2)
+
+
 def six_bytes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
@@ -103,7 +109,7 @@ def _deal(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             starts, counts = _runs(who[lo:hi])
             rows.append((int(part[lo]), owner[who[lo:hi][starts]].tobytes(), counts.astype(np.uint32).tobytes(), six_bytes(values[lo:hi])))
-        home = owner & ((1 << bits) - 1)
+        home = owner & ((1 << home_bits(bits)) - 1)
         order = np.argsort(home, kind="stable")
         bounds = np.append(first_of_runs(home[order]), len(order))
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
@@ -160,7 +166,7 @@ def _count(table: pa.Table, bits: int) -> pa.Table:
         return pa.table([pa.array([part - (1 << bits)], pa.int32()), pa.array([owner.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary())], schema=FOUND_ARROW)
     values = from_six(b"".join(table.column("values").to_pylist())) | np.uint64(part << STORED_BITS)
     keys, values, freq = shared_values(np.repeat(owner, counts), values)
-    home = (keys & ((1 << bits) - 1)).astype(np.uint16)
+    home = (keys & ((1 << home_bits(bits)) - 1)).astype(np.uint16)
     order = np.lexsort((keys, home))
     keys, values, freq, home = keys[order], values[order], freq[order], home[order]
     bounds = np.append(first_of_runs(home), len(home))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import first_of_runs, first_seen, partitions, plain, small_batches, text_key, whole_groups, written
-from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, six_bytes
+from .prefix_join import FLUSH, STORED_BITS, from_six, home_bits, joined, mixed, range_bits, six_bytes
 
 GRAM = 32
 LAST = np.iinfo(np.int64).max
@@ -157,7 +157,7 @@ def _again(table: pa.Table, bits: int) -> pa.Table:
         counts = np.diff(np.append(first_of_runs(value), len(value)))
         some = np.repeat(counts > 1, counts)
         key, value, place = key[some], value[some], place[some]
-    home = (key & ((1 << bits) - 1)).astype(np.uint16)
+    home = (key & ((1 << home_bits(bits)) - 1)).astype(np.uint16)
     order = np.lexsort((place, key))
     rows = _packed(home[order], key[order], value[order], place[order], lambda v: v.tobytes())
     return pa.Table.from_batches([_rows(rows, DEALT_ARROW)])
