@@ -9,6 +9,7 @@ from .block_labeller import extract
 from .common import read, tokenizer_path
 from .exact_dedup import exact_dedup
 from .fuzzy_lines import dedup_lines
+from .nbest import segmentations
 from .outliers import robust_outliers
 from .packing import pack
 from .prefix_join import shingle_components
@@ -38,6 +39,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentations(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), ids=False)
+
+
 def op7_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
@@ -56,7 +61,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
+    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op6_nbest_segmentation, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
 
 SQL = {
     "op1_exact_dedup": r"""
