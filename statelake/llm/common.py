@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,6 +122,37 @@ class Memo(dict):
         return value
 
 
+def lasting(name: str, make: Callable):
+    """An object that a Python worker keeps for its later tasks: a tokenizer, the words it has met."""
+    kept = sys.modules.setdefault("_statelake_lasting", types.ModuleType("_statelake_lasting"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
+class Lately(dict):
+    """A dictionary filled batch by batch. When it has grown to ``most`` it starts anew and
+    takes over what it is asked for again, so that frequent keys stay."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.before = most, {}
+
+    def provide(self, keys: set, make: Callable[[list], Iterable]) -> None:
+        """See that all ``keys`` are there; ``make`` gives the values of a list of new ones."""
+        new = keys - self.keys()
+        if len(self) + len(new) > self.most:
+            self.before = dict(self)
+            self.clear()
+            new = set(keys)
+        known = new & self.before.keys()
+        self.update((k, self.before[k]) for k in known)
+        new = sorted(new - known)
+        for at in range(0, len(new), 5000):
+            part = new[at:at + 5000]
+            self.update(zip(part, make(part), strict=True))
+
+
 def first_of_runs(values: np.ndarray) -> np.ndarray:
     """Start of every run of equal values."""
     if not len(values):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_of
+from .common import Lately, lasting, small_batches, text_of
 from .prefix_join import mixed
 
 SCALE = 1 << 20
@@ -231,27 +231,11 @@ class Segmenter:
     """N best segmentations of whole texts; knows the units of the last texts."""
 
     def __init__(self, vocabulary: Vocabulary, n: int, most: int = 150_000):
-        self.vocabulary, self.n, self.most = vocabulary, n, most
-        self.known: dict[str, tuple[int, int, bytes]] = {}
-        self.old: dict[str, tuple[int, int, bytes]] = {}
-
-    def _learn(self, texts: list[list[str]]) -> None:
-        new = set().union(*texts) - self.known.keys() if texts else set()
-        if len(self.known) + len(new) > self.most:
-            self.old, self.known = self.known, {}
-            new = set().union(*texts)
-        for unit in list(new):
-            if (row := self.old.get(unit)) is not None:
-                self.known[unit] = row
-                new.discard(unit)
-        new = sorted(new)
-        for at in range(0, len(new), 5000):
-            part = new[at:at + 5000]
-            self.known.update(zip(part, self.vocabulary.forward(part), strict=True))
+        self.vocabulary, self.n, self.known = vocabulary, n, Lately(most)
 
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, bytes]]]:
         split = [self.vocabulary.split(t) for t in texts]
-        self._learn(split)
+        self.known.provide(set().union(*split), self.vocabulary.forward)
         for units in split:
             rows = list(map(self.known.__getitem__, units))
             best = sum(r[0] for r in rows)
@@ -285,8 +269,8 @@ def segmentations(documents: DataFrame, model: str, n: int = 3, ids: bool = True
     schema = ANSWER + (", ids array<int>" if ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model)
-        segment = Segmenter(vocabulary, n)
+        segment = lasting(f"segmenter {model} {n}", lambda: Segmenter(Vocabulary(model), n))
+        vocabulary = segment.vocabulary
         for batch in batches:
             texts = batch.column("text").to_pylist()
             rows, pieces = [], []

@@ -17,8 +17,10 @@ gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,37 +28,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, small_batches, text_of, written
+from .common import Lately, lasting, small_batches, text_of, written
 
 SIZE = 2048
 END = 0
+MARKS = ".,!?;:"
 SLICES = 64
-# A unit ends before a space that stands alone between two other characters: the
-# tokenizer's pattern always cuts there, so units are tokenized apart from each other.
-UNUSUAL = re.compile(r"\s\s|^\s|\s$|[^\S ] | [^\S ]")
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes."""
+    """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, most_units: int = 200_000):
+    def __init__(self, path: str, most_units: int = 300_000):
         from tokenizers import Tokenizer
 
+        # Spark runs one task for each core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.units = Memo(self.whole, most_units)
+        self.known = Lately(most_units)
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def units(text: str) -> list[str]:
+        if not text:
+            return []
+        # The tokenizer's pattern cuts before every space that stands alone between two other
+        # characters, so units that end there are tokenized apart from each other.
+        if len(" ".join(text.split())) != len(text):
+            return re.split(r"(?<=\S)(?= \S)", text)
+        head, *rest = text.split(" ")
+        return [head, *[" " + w for w in rest]]
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    @staticmethod
+    def bare(unit: str) -> str:
+        """A unit without the mark that follows its last letter; the tokenizer's pattern cuts there."""
+        return unit[:-1] if unit[-1] in MARKS and unit[-2:-1].isalpha() else unit
 
-    def __call__(self, text: str) -> bytes:
-        if UNUSUAL.search(text):
-            return b"".join(map(self.units.__getitem__, re.split(r"(?<=\S)(?= \S)", text))) if text else b""
-        head, *rest = text.split(" ")
-        return b"".join([self.units[head], *[self.units[" " + w] for w in rest]]) if text else b""
+    def _new(self, units: list[str]) -> list[bytes]:
+        bare = {self.bare(u) for u in units}
+        made = {b: ids for b in bare if (ids := self.known.get(b) or self.known.before.get(b)) is not None}
+        bare = sorted(bare - made.keys())
+        made.update(zip(bare, self.whole(bare), strict=True))
+        return [made[b] + (self.marks[u[-1]] if len(b) < len(u) else b"") for u in units for b in [self.bare(u)]]
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        split = [self.units(t) for t in texts]
+        self.known.provide(set().union(*split), self._new)
+        for units in split:
+            yield b"".join(map(self.known.__getitem__, units))
 
 
 def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:
@@ -67,12 +93,12 @@ def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
-    encode, close = Encoder(path), np.array([END], "<u4").tobytes()
+    encode, close = lasting(f"encoder {path}", lambda: Encoder(path)), np.array([END], "<u4").tobytes()
     for batch in batches:
         rows = [
             (doc, i, *part)
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-            for i, part in enumerate(cut(encode(text) + close, size))
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True)
+            for i, part in enumerate(cut(ids + close, size))
         ]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PIECE_ARROW, strict=True)], schema=PIECE_ARROW)

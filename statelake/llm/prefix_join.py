@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, first_of_runs, first_seen, partitions, plain, small_batches, text_key, written
+from .common import Memo, first_of_runs, first_seen, lasting, partitions, plain, small_batches, text_key, written
 from .linking import families
 
 STORED_BITS = 48
@@ -91,7 +91,7 @@ def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _deal(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Shingles by hash range; set sizes by text key in the ranges that follow."""
-    words = word_hashes()
+    words = lasting("words", word_hashes)
     shift = np.uint64(64 - STORED_BITS - bits)
     keys: list[int] = []
     sets: list[np.ndarray] = []
