@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,19 +183,51 @@ CONTEXT_ARROW = pa.schema([("anchor", pa.int64()), ("first", pa.int64()), ("key"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """An occurrence with the bytes around it; 0xFF, which no text holds, stands for what lies outside."""
-    side = length - GRAM
+    """Occurrences with the bytes around them; 0xFF, which no text holds, stands for what lies outside.
+
+    Of equal contexts that a task has at hand only the earliest goes on: all strings of the
+    others repeat. These are handed on as spans (low is -1, high the span's end, the anchor any
+    number), merged within their document, so that a hot passage leaves each task once.
+    """
+    side, wide = length - GRAM, 2 * length - GRAM
+    held: dict[bytes, tuple] = {}
+    spans: dict[int, list[tuple[int, int]]] = {}
+    count = 0
+
+    def flush() -> pa.RecordBatch:
+        rows = [(*row, context) for context, row in held.items()]
+        for key, found in spans.items():
+            found.sort()
+            lo, hi = found[0]
+            for x, y in [*found[1:], (LAST, LAST)]:
+                if x > hi:
+                    rows.append((key, LAST, key, lo, -1, hi, b""))
+                    lo = x
+                hi = max(hi, y)
+        return _rows(rows, CONTEXT_ARROW)
+
     for batch in batches:
         for first, key, data, values, places in zip(*[batch.column(x).to_pylist() for x in ("first", "key", "content", "values", "places")], strict=True):
-            value, place = np.frombuffer(values, np.int64), np.frombuffer(places, np.uint32).astype(np.int64)
-            size, wide = len(data), side + length
+            first, size = LAST if first is None else first, len(data)
             padded = b"\xff" * side + data + b"\xff" * side
-            low, high = np.maximum(0, side - place), np.minimum(side, size - place - GRAM)
-            n = len(place)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(value), pa.array(np.full(n, LAST if first is None else first)), pa.array(np.full(n, key)), pa.array(place.astype(np.int32)),
-                pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array([padded[p:p + wide] for p in place.tolist()], pa.binary()),
-            ], schema=CONTEXT_ARROW)
+            for value, place in zip(np.frombuffer(values, np.int64).tolist(), np.frombuffer(places, np.uint32).tolist(), strict=True):
+                row = (value, first, key, place, max(0, side - place), min(side, size - place - GRAM))
+                context = padded[place:place + wide]
+                known = held.get(context)
+                if known is None:
+                    held[context] = row
+                    continue
+                if row[1:4] < known[1:4]:
+                    held[context], row = row, known
+                spans.setdefault(row[2], []).append((row[3] - side + row[4], row[3] - side + row[5] + length))
+            count += len(values) // 8
+            if count > 100_000:
+                yield flush()
+                held.clear()
+                spans.clear()
+                count = 0
+    if count:
+        yield flush()
 
 
 def repeated(columns: np.ndarray, groups: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -257,7 +290,14 @@ SPAN_ARROW = pa.schema([("key", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64
 def _spans(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     side = length - GRAM
     for table in whole_groups(batches, "anchor", 20_000):
+        ready = table.filter(pc.less(table.column("low"), 0))
+        if ready.num_rows:
+            yield pa.RecordBatch.from_arrays(
+                [ready.column("key").combine_chunks(), ready.column("place").cast(pa.int64()).combine_chunks(), ready.column("high").cast(pa.int64()).combine_chunks()], schema=SPAN_ARROW)
+        table = table.filter(pc.greater_equal(table.column("low"), 0))
         n = table.num_rows
+        if not n:
+            continue
         anchor, first, key, place = (table.column(x).to_numpy() for x in ("anchor", "first", "key", "place"))
         order = np.lexsort((place, key, first, anchor))
         data = np.frombuffer(b"".join(table.column("context").to_pylist()), np.uint8).reshape(n, side + length)
@@ -272,7 +312,7 @@ CUT = "key long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 CUT_ARROW = pa.schema([("key", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, data, spans in zip(*[batch.column(x).to_pylist() for x in ("key", "content", "spans")], strict=True):
@@ -290,13 +330,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     stop = at = hi
             kept.append(data[at:])
             rest = b"".join(kept)
-            rows.append((key, removed, runs, hashlib.sha256(rest).hexdigest(), rest))
+            rows.append((key, removed, runs, hashlib.sha256(rest).hexdigest(), rest if texts else None))
         if rows:
             yield _rows(rows, CUT_ARROW)
 
 
-def _repeats(sources: DataFrame, length: int) -> DataFrame:
-    """Cuts of every text with repeats, by text key; ``sources`` has key, doc_id and text."""
+def _repeats(sources: DataFrame, length: int, texts: bool) -> DataFrame:
+    """Cuts of every text with repeats, by text key, with what remains if ``texts`` asks for it.
+
+    ``sources`` has key, doc_id and text.
+    """
     spark = sources.sparkSession
     bits = range_bits(partitions(spark))
     long_enough = sources.where(F.octet_length("text") >= length).select("key", "text")
@@ -313,7 +356,7 @@ def _repeats(sources: DataFrame, length: int) -> DataFrame:
         .mapInArrow(lambda b: _spans(b, length), SPAN)
         .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
     )
-    return written(candidates.select("key", "content").join(spans, "key").mapInArrow(_cut, CUT), "cuts")
+    return written(candidates.select("key", "content").join(spans, "key").mapInArrow(lambda b: _cut(b, texts), CUT), "cuts")
 
 
 def _firsts(sources: DataFrame) -> DataFrame:
@@ -335,7 +378,7 @@ def cut_repeats(documents: DataFrame, length: int = 100) -> DataFrame:
         raise ValueError(f"length must be {GRAM} or more")
     small_batches(documents.sparkSession)
     sources = _sources(documents, "doc_id", "text")
-    cuts = _repeats(sources, length).drop("kept")
+    cuts = _repeats(sources, length, texts=False).drop("kept")
     copy = _is_copy(F.col("n_bytes"), F.col("doc_id"), length)
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return sources.select("key", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")).join(_firsts(sources), "key").join(cuts, "key", "left").select(
@@ -357,7 +400,7 @@ def without_repeats(documents: DataFrame, length: int = 100) -> DataFrame:
     rows, names = plain(documents.drop("_n_removed"))
     doc, text = names["doc_id"], names["text"]
     sources = _sources(rows, doc, text)
-    cuts = _repeats(sources, length).select("key", "n_removed", "kept")
+    cuts = _repeats(sources, length, texts=True).select("key", "n_removed", "kept")
     rows = rows.withColumn("key", text_key(F.coalesce(text, F.lit(""))))
     size = F.octet_length(F.coalesce(text, F.lit(""))).cast("long")
     copy = _is_copy(size, F.col(doc).cast("long"), length)
