@@ -2,7 +2,7 @@
 
 from .asof import asof_join
 from .dedupe import keep_one
-from .dwell import latch, spans, throughout, trailing_hours
+from .dwell import latch, none_within, seen_within, throughout, trailing_hours
 from .islands import threshold_runs
 from .latest import latest_per_group, latest_rows, latest_value
 from .returns import log_return, rolling_volatility
@@ -16,7 +16,7 @@ from .trailing import ago, avg_where, count_where, indicator, newest, since, sum
 __all__ = [
     "above_floor", "ago", "asof_join", "avg_where", "count_where",
     "heal_candidates", "indicator", "keep_one", "latch", "latest_per_group", "latest_rows",
-    "latest_value", "log_return", "newest", "not_covered", "rolling_volatility", "share_within",
-    "since", "spans", "spread_to_leader", "sum_where", "threshold_runs", "throughout", "tier", "top_k_sum",
+    "latest_value", "log_return", "newest", "none_within", "not_covered", "rolling_volatility", "share_within",
+    "seen_within", "since", "spread_to_leader", "sum_where", "threshold_runs", "throughout", "tier", "top_k_sum",
     "tracked_set", "tracked_tokens", "trailing_hours", "with_fallback", "with_previous",
 ]

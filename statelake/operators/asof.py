@@ -4,10 +4,10 @@ Plan. Both sides are tagged and unioned, and a running "last right row seen"
 answers every left row, so no left/right pairs are formed. The ordered scan is
 cut into groups small enough for one task:
 
-* time is cut into chunks; each (key, chunk) group starts from an *opening* row
-  that carries the newest right value of any earlier chunk. Openings come from
-  the right side alone, one per key and chunk from its first row on, so they add
-  at most one row where a clock-sampled series has a chunk's worth of samples;
+* time is cut into chunks; each (key, chunk) with left rows starts from an *opening*
+  row that carries the newest right value of any earlier chunk. Openings are found on
+  the groups alone, one row per (key, chunk) of either side, so there are never more of
+  them than groups of the left side;
 * a (key, chunk) that holds more than ``max_rows`` left rows is salted: its left
   rows are spread by a hash of their content, its right rows and its opening are
   repeated for every salt.
@@ -40,15 +40,17 @@ def asof_join(
     chunk_seconds: int = DAY,
     max_rows: int | None = MAX_ROWS,
     identity: Sequence[str] = (),
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left columns plus ``take`` (right column -> output name).
 
     ``keys`` pairs a left expression with a right expression. A left row with a
     NULL key part, or older than every right row, gets NULLs. Among right rows
     of one instant the greatest ``tie_break`` columns win. ``max_rows=None``
-    skips the count for left sides that are known to be small. ``identity`` names
+    leaves groups unsalted, for left sides that are known to be small. ``identity`` names
     the left columns that tell rows apart; hashing these instead of whole rows
-    leaves the others free to be pruned.
+    leaves the others free to be pruned. ``sizes_from`` gives the same rows from a cheaper
+    plan (before a previous lookup, say); group sizes are counted there.
     """
     width = chunk_seconds * 1_000_000
     names = [f"_asof_k{i}" for i in range(len(keys))]
@@ -69,27 +71,26 @@ def asof_join(
         .dropna(subset=[*names, "_asof_t"])
         .withColumn("_asof_chunk", chunk_of)
     )
-    # Chunks after the right side's last one share a single chunk.
-    end = F.floor(right.select(F.max(F.unix_micros(right_ts))).scalar() / F.lit(width)) + 1
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.select(
+            "*", *[as_col(lc).alias(n) for n, (lc, _) in zip(names, keys)], F.unix_micros(left_ts).alias("_asof_t"),
+        ).withColumn("_asof_chunk", chunk_of)
 
-    following = F.lead("_asof_chunk").over(Window.partitionBy(*names).orderBy("_asof_chunk"))
+    rows = keyed(left).withColumn("_asof_left", F.lit(1))
+    sizes = keyed(left if sizes_from is None else sizes_from).groupBy(*group).agg(F.count(F.lit(1)).alias("_asof_n"))
+    last_of = samples.groupBy(*group).agg(F.max_by("_asof_v", F.struct("_asof_t", "_asof_rank")).alias("_asof_v"))
+    earlier = Window.partitionBy(*names).orderBy("_asof_chunk").rowsBetween(Window.unboundedPreceding, -1)
     openings = (
-        samples.groupBy(*group)
-        .agg(F.max_by("_asof_v", F.struct("_asof_t", "_asof_rank")).alias("_asof_v"))
-        .withColumn("_asof_until", F.coalesce(following, end))
-        .select(*names, "_asof_v", F.explode(F.sequence(F.col("_asof_chunk") + 1, "_asof_until")).alias("_asof_chunk"))
+        sizes.unionByName(last_of, allowMissingColumns=True)
+        .groupBy(*group).agg(F.max("_asof_n").alias("_asof_n"), F.first("_asof_v", ignorenulls=True).alias("_asof_v"))
+        .withColumn("_asof_v", F.last("_asof_v", ignorenulls=True).over(earlier))
+        .where("_asof_n is not null and _asof_v is not null")
+        .select(*group, "_asof_v")
         .withColumn("_asof_t", F.col("_asof_chunk") * F.lit(width) - 1)
     )
-    rows = (
-        left.select(
-            "*", *[as_col(lc).alias(n) for n, (lc, _) in zip(names, keys)], F.unix_micros(left_ts).alias("_asof_t"),
-        )
-        .withColumn("_asof_chunk", F.least(chunk_of, end))
-        .withColumn("_asof_left", F.lit(1))
-    )
     tagged = rows.unionByName(samples, allowMissingColumns=True).unionByName(openings, allowMissingColumns=True)
     if max_rows is not None:
-        tagged = _salted(tagged, rows, group, list(identity) or left.columns, max_rows)
+        tagged = _salted(tagged, sizes, group, list(identity) or left.columns, max_rows)
         group = [*group, "_asof_salt"]
 
     scan = (
@@ -104,14 +105,10 @@ def asof_join(
     )
 
 
-def _salted(tagged: DataFrame, rows: DataFrame, group: list[str], content: list[str], max_rows: int) -> DataFrame:
+def _salted(tagged: DataFrame, sizes: DataFrame, group: list[str], content: list[str], max_rows: int) -> DataFrame:
     """Adds ``_asof_salt``: 0 everywhere but in groups with too many left rows."""
-    count = F.count(F.lit(1))
-    # At most (left rows / max_rows) groups can exceed max_rows, so this is small
-    # whatever the data looks like: 10^12 left rows give at most 250,000.
     hot = (
-        rows.groupBy(*group)
-        .agg(F.ceil(count / F.lit(max_rows)).cast("int").alias("_asof_salts"))
+        sizes.withColumn("_asof_salts", F.ceil(F.col("_asof_n") / F.lit(max_rows)).cast("int"))
         .where("_asof_salts > 1")
         .select(*[F.col(c).alias(f"_hot{c}") for c in group], "_asof_salts")
     )
@@ -121,6 +118,7 @@ def _salted(tagged: DataFrame, rows: DataFrame, group: list[str], content: list[
     spread = F.coalesce("_asof_salts", F.lit(1))
     own = F.array(F.pmod(F.xxhash64(*content), spread).cast("int"))
     every = F.sequence(F.lit(0), spread - 1)
-    return tagged.join(F.broadcast(hot), same, "left").withColumn(
+    # The adaptive planner broadcasts ``hot`` where it is small, which it is but for tiny limits.
+    return tagged.join(hot, same, "left").withColumn(
         "_asof_salt", F.explode(F.when(F.col("_asof_left") == 1, own).otherwise(every))
     )

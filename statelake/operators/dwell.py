@@ -16,18 +16,31 @@ def trailing_hours(keys: Sequence[str], hours: float, order: str = "_t") -> Wind
     return Window.partitionBy(*keys).orderBy(order).rangeBetween(-int(hours * HOUR_US), 0)
 
 
-def throughout(condition: Column, over: WindowSpec, min_span_hours: float, order: str = "_t") -> Column:
-    """True when ``condition`` held on every trailing row and the rows span long enough.
+def none_within(happened: Column, keys: Sequence[str], hours: float, order: str = "_t") -> Column:
+    """True when ``happened`` was true on no row of the closed trailing interval.
 
-    An unknown condition counts as not holding.
+    Only the newest time it happened matters, which is a running maximum: the work is
+    linear in the rows however long the interval. Unknown counts as not happened.
     """
-    held = F.min(F.coalesce(condition, F.lit(False))).over(over)
-    return held & spans(over, min_span_hours, order)
+    so_far = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
+    newest = F.max(F.when(happened, F.col(order))).over(so_far)
+    return F.coalesce(newest < F.col(order) - F.lit(int(hours * HOUR_US)), F.lit(True))
 
 
-def spans(over: WindowSpec, min_span_hours: float, order: str = "_t") -> Column:
-    """Guards a trailing test against data holes."""
-    return (F.col(order) - F.min(order).over(over)) >= F.lit(int(min_span_hours * HOUR_US))
+def seen_within(present: Column, keys: Sequence[str], hours: float, min_age_hours: float = 0, order: str = "_t") -> Column:
+    """True when some row with ``present`` is at most ``hours`` and at least ``min_age_hours`` old."""
+    old_enough = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, -int(min_age_hours * HOUR_US))
+    newest = F.max(F.when(present, F.col(order))).over(old_enough)
+    return F.coalesce(newest >= F.col(order) - F.lit(int(hours * HOUR_US)), F.lit(False))
+
+
+def throughout(condition: Column, keys: Sequence[str], hours: float, min_span_hours: float, order: str = "_t") -> Column:
+    """True when ``condition`` held on every row of the last ``hours`` and these span long enough.
+
+    An unknown condition counts as not holding; the span guards against data holes.
+    """
+    held = none_within(~F.coalesce(condition, F.lit(False)), keys, hours, order)
+    return held & seen_within(F.lit(True), keys, hours, min_span_hours, order)
 
 
 def latch(event: Column, keys: Sequence[str], order: str = "_t") -> Column:

@@ -21,9 +21,9 @@ from .book_views import v_position_risk, v_supplier_concentration
 from .catalog import buildable
 from .flow_views import LIQUIDATION, v_liquidations, v_market_flows, v_market_netflow, v_whale_flows
 from .market_views import (
-    MARKET, Tables, apy_columns, health_panel, oracle_deviation, v_market_apy, v_utilization_regime,
+    MARKET, Tables, apy_columns, health_panel, oracle_deviation, oracle_samples, v_market_apy, v_utilization_regime,
 )
-from .price_views import TOKEN, v_price_returns
+from .price_views import TOKEN, token_returns
 from .spell_views import deviation_spells, utilization_spells, v_oracle_price_check
 
 # Document version, look-backs of the documents, freshness limits.
@@ -45,15 +45,13 @@ def latest_market_panel(t: Tables, as_of: Column | None = None) -> DataFrame:
     Health, APY, spread and oracle price all derive from one pass over the state
     samples; only each market's newest row meets the other tables.
     """
-    panel = health_panel(t)
-    rated = rated_columns(panel)
-    newest_rows = latest_rows(rated, MARKET).where(
-        F.col("ts") >= ago(newest(t["market_state"]), hours=FRESH_HOURS)
-    )
+    # Peers of one instant are all inside the cut, so it leaves the spread as it is.
+    panel = health_panel(t, ago(newest(t["market_state"]), hours=FRESH_HOURS))
+    newest_rows = latest_rows(rated_columns(panel), MARKET)
     # One row per market: no group can be large.
     checked = oracle_deviation(newest_rows.withColumnRenamed("_loan_token", "loan_token"), t["prices"], max_rows=None)
     regime = v_utilization_regime(t, as_of).select(*MARKET, *[(F.col(c) / 100.0).alias(c) for c in _REGIME])
-    volatility = latest_rows(v_price_returns(t), TOKEN).select(
+    volatility = latest_rows(token_returns(t), TOKEN).select(
         "chain_id", F.col("token_address").alias("_collateral"),
         F.col("vol_7d_ann").alias("collateral_vol_7d"), F.col("vol_30d_ann").alias("collateral_vol_30d"),
     )
@@ -162,8 +160,8 @@ def open_util_spells(t: Tables, **options) -> DataFrame:
 
 
 def open_depeg_spells(t: Tables, **options) -> DataFrame:
-    check = v_oracle_price_check(t)
-    return with_open_flag(deviation_spells(check, **options), check)
+    # The lookups keep every row, so the newest instants come from the rows before them.
+    return with_open_flag(deviation_spells(v_oracle_price_check(t), **options), oracle_samples(t))
 
 
 def sparkline(t: Tables) -> DataFrame:

@@ -87,10 +87,11 @@ def v_liquidations(t: Tables) -> DataFrame:
         human("bad_debt_assets", "loan_decimals").alias("bad_debt_assets"),
         F.lower("loan_token").alias("_loan"), F.lower("collateral_token").alias("_coll"),
     )
+    base = df
     for key, out in (("_loan", "_loan_price"), ("_coll", "_coll_price")):
         df = asof_join(
             df, t["prices"], keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out},
-            identity=EVENT,
+            identity=EVENT, sizes_from=base,
         )
     return df.select(
         "ts", *MARKET, "loan_symbol", "collateral_symbol", "tx_hash", "borrower", "liquidator",

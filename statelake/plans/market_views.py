@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from statelake.functions import apy_at_target, borrow_rate, compound_three_terms, double, human, micros, text_price, wad
 from statelake.operators import (
-    ago, asof_join, avg_where, indicator, latch, latest_rows, latest_value, spans, spread_to_leader,
-    throughout, tier, trailing_hours,
+    ago, asof_join, avg_where, indicator, latch, latest_rows, latest_value, none_within, seen_within, spread_to_leader,
+    throughout, tier,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -133,12 +133,13 @@ def v_market_apy(t: Tables) -> DataFrame:
     return apy_columns(base).drop("_target")
 
 
-def health_panel(t: Tables) -> DataFrame:
-    """Every sample with its health state and what the APY views need.
+def health_panel(t: Tables, start: Column | None = None) -> DataFrame:
+    """Every sample (from ``start`` on) with its health state and what the APY views need.
 
-    One as-of join, then every window shares the (chain, market) partitioning and
-    the time order. An entity has one row per cadence bucket, so a window
-    partition is bounded by the time span.
+    The latches need no price: they run over all history in windows that share the
+    (chain, market) partitioning and the time order, then the rows wanted are cut out,
+    and only these meet the prices. An entity has one row per cadence bucket, so a
+    window partition is bounded by the time span.
     """
     state = with_dimension(
         t["market_state"], t, "loan_symbol", "collateral_symbol", "loan_token", "collateral_token",
@@ -154,28 +155,34 @@ def health_panel(t: Tables) -> DataFrame:
         "loan_symbol", "collateral_symbol", "collateral_token", "lltv", "oracle_price_raw",
         "loan_decimals", "collateral_decimals",
     )
+    apy = F.col("apy_at_target")
+    df = state.withColumn("_t", micros("ts")).withColumn(
+        "_ratchet_event", F.when(apy > RATCHET_ENTER_APY, 1).when(apy < RATCHET_EXIT_APY, 0))
+    pinned = throughout(F.col("u") >= PINNED_LEVEL, MARKET, PINNED_HOURS, PINNED_SPAN_HOURS)
+    calm = (
+        none_within(F.col("u") >= CALM_LEVEL, MARKET, CALM_HOURS)
+        & seen_within(F.col("u").isNotNull(), MARKET, CALM_HOURS)
+        & seen_within(F.lit(True), MARKET, CALM_HOURS, CALM_SPAN_HOURS)
+    )
+    latched = (
+        df.withColumn("_pinned_event", F.when(pinned, 1).when(calm, 0))
+        .withColumn("_ratcheted", latch(F.col("_ratchet_event"), MARKET))
+        .withColumn("_pinned", latch(F.col("_pinned_event"), MARKET))
+    )
+    wanted = latched if start is None else latched.where(F.col("ts") >= start)
     priced = asof_join(
-        state, t["prices"],
+        wanted, t["prices"],
         keys=[("chain_id", "chain_id"), ("_loan_token", "token_address")],
         take={"price_usd": "_loan_price"},
         identity=[*MARKET, "ts"],
+        # The same rows without the windows, for the group sizes.
+        sizes_from=state if start is None else state.where(F.col("ts") >= start),
     )
-    apy = F.col("apy_at_target")
-    df = (
-        priced.withColumn("_t", micros("ts"))
-        .withColumn("supply_usd", F.col("_supply") * F.col("_loan_price"))
+    return (
+        priced.withColumn("supply_usd", F.col("_supply") * F.col("_loan_price"))
         .withColumn("available_usd", F.col("_available") * F.col("_loan_price"))
         .withColumn("_thin", F.coalesce(F.col("supply_usd") < THIN_USD, F.lit(True)))
         .withColumn("_dust", F.coalesce(F.col("supply_usd") < DUST_USD, F.lit(False)))
-        .withColumn("_ratchet_event", F.when(apy > RATCHET_ENTER_APY, 1).when(apy < RATCHET_EXIT_APY, 0))
-    )
-    day, two_days = trailing_hours(MARKET, PINNED_HOURS), trailing_hours(MARKET, CALM_HOURS)
-    pinned = throughout(F.col("u") >= PINNED_LEVEL, day, PINNED_SPAN_HOURS)
-    calm = (F.max("u").over(two_days) < CALM_LEVEL) & spans(two_days, CALM_SPAN_HOURS)
-    return (
-        df.withColumn("_pinned_event", F.when(pinned, 1).when(calm, 0))
-        .withColumn("_ratcheted", latch(F.col("_ratchet_event"), MARKET))
-        .withColumn("_pinned", latch(F.col("_pinned_event"), MARKET))
         .withColumn("is_broken", F.col("_dust") | ((F.col("_ratcheted") | F.col("_pinned")) & F.col("_thin")))
         .withColumn(
             "broken_reason",
@@ -231,11 +238,12 @@ def v_benchmark(t: Tables) -> DataFrame:
 def oracle_deviation(state: DataFrame, prices: DataFrame, **options) -> DataFrame:
     """Oracle price against the reference cross rate for samples that carry both
     the dimension columns and an oracle price. ``options`` go to the as-of joins."""
-    priced = state.withColumn("_loan", F.lower("loan_token")).withColumn("_coll", F.lower("collateral_token"))
+    # A lookup keeps every row: all of them take their group sizes from the rows before the first.
+    base = priced = state.withColumn("_loan", F.lower("loan_token")).withColumn("_coll", F.lower("collateral_token"))
     for key, out in (("_loan", "loan_price_usd"), ("_coll", "collateral_price_usd")):
         priced = asof_join(
             priced, prices, keys=[("chain_id", "chain_id"), (key, "token_address")], take={"price_usd": out},
-            identity=[*MARKET, "ts"], **options,
+            identity=[*MARKET, "ts"], sizes_from=base, **options,
         )
     reference = F.col("collateral_price_usd") / F.nullif("loan_price_usd", F.lit(0.0))
     return (
@@ -245,12 +253,16 @@ def oracle_deviation(state: DataFrame, prices: DataFrame, **options) -> DataFram
     )
 
 
-def v_oracle_price_check(t: Tables) -> DataFrame:
-    """Oracle versus reference price per live sample."""
+def oracle_samples(t: Tables) -> DataFrame:
+    """Samples with an oracle price, of markets with a collateral token."""
     state = t["market_state"].where("oracle_price_raw is not null").select("ts", *MARKET, "oracle_price_raw")
     dims = ["loan_symbol", "collateral_symbol", "loan_token", "collateral_token", "loan_decimals", "collateral_decimals"]
-    known = with_dimension(state, t, *dims, how="inner").where("collateral_token is not null")
-    return oracle_deviation(known, t["prices"]).select(
+    return with_dimension(state, t, *dims, how="inner").where("collateral_token is not null")
+
+
+def v_oracle_price_check(t: Tables) -> DataFrame:
+    """Oracle versus reference price per live sample."""
+    return oracle_deviation(oracle_samples(t), t["prices"]).select(
         "ts", *MARKET, "loan_symbol", "collateral_symbol", "oracle_price", "ref_price",
         "loan_price_usd", "collateral_price_usd", "deviation",
     )

@@ -64,26 +64,28 @@ def missing_buckets(df: DataFrame, entity: Sequence[str], bucket_seconds: int) -
 
 
 def report(tables: Mapping[str, DataFrame]) -> str:
-    """The report as text. Only counts and the first gap rows reach the driver."""
-    lines: list[str] = []
+    """Markdown: a table of columns with NULLs per stored table, then the entities with the largest holes.
+
+    Only counts and the first gap rows reach the driver, in one job per table and check.
+    """
+    parts: list[str] = []
     for name, df in tables.items():
-        stored = [c for c in df.columns if c != "date"]
-        rows = column_profile(df, stored).collect()
-        notable = {r["column_name"]: f"{r['null_rate']:.1%}" for r in rows if r["null_rate"]}
-        lines += [f"== {name} ==", f"  rows: {rows[0]['n_rows']:,}", f"  null rates: {notable or 'none'}", ""]
+        profile = column_profile(df, [c for c in df.columns if c != "date"]).collect()
+        parts.append(f"## {name}: {profile[0]['n_rows']} rows\n")
+        parts += ["| column | NULL share |", "|---|---|"]
+        parts += [f"| {r['column_name']} | {100 * r['null_rate']:.2f} |" for r in profile if r["null_rate"]] + [""]
     for name, entity, seconds in GAP_CHECKS:
         if name not in tables:
             continue
         gaps = bucket_gaps(tables[name], entity, seconds)
-        shown, total = gaps.limit(REPORT_ROWS).collect(), gaps.count()
-        lines.append(f"== {name}: missing {seconds // 60} min buckets ==")
-        if not total:
-            lines.append("  none - every entity is gap-free")
-        for r in shown:
-            who = " ".join(str(r[c]) for c in entity)
-            lines.append(
-                f"  {who}: {r['expected'] - r['actual']} missing of {r['expected']} ({r['first_ts']} -> {r['last_ts']})"
-            )
-        if total > REPORT_ROWS:
-            lines.append(f"  ... and {total - REPORT_ROWS} more entities with gaps")
-    return "\n".join(lines)
+        # The number of all entities with holes rides along with the first rows.
+        all_of_them = F.count(F.lit(1)).alias("entities")
+        listed = F.slice(F.array_sort(F.collect_list(F.struct((F.col("actual") - F.col("expected")).alias("rank"), *gaps.columns))), 1, REPORT_ROWS)
+        one = gaps.withColumn("_slot", F.pmod(F.xxhash64(*entity), F.lit(64))).groupBy("_slot").agg(all_of_them, listed.alias("rows"))
+        found = [(r["entities"], r["rows"]) for r in one.collect()]
+        first = sorted((row for _, rows in found for row in rows), key=lambda r: (r["rank"], *[r[c] for c in entity]))[:REPORT_ROWS]
+        total = sum(n for n, _ in found)
+        parts.append(f"## {name}: holes of {seconds} s buckets in {total} entities\n")
+        parts += [f"* {', '.join(str(r[c]) for c in entity)}: {r['actual']} of {r['expected']} buckets between {r['first_ts']} and {r['last_ts']}" for r in first]
+        parts += [f"* and {total - len(first)} others" for _ in [0] if total > len(first)] + [""]
+    return "\n".join(parts)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statelake.functions.clock import floor_to, from_unix
+from statelake.operators import keep_one
 
 HOUR = 3600
 EXACT = "decimal(38,0)"
@@ -36,6 +37,12 @@ def _documents(raw: DataFrame, schema: str, *context: str) -> DataFrame:
     return raw.select(*context, F.from_json("payload", schema).alias("d"))
 
 
+def _in_order(raw: DataFrame) -> DataFrame:
+    """``raw`` with ``doc_order``: of several documents of one entity, a later one replaces an
+    earlier one's rows. The column may be left out where every entity has one document."""
+    return raw if "doc_order" in raw.columns else raw.withColumn("doc_order", F.lit(0))
+
+
 def _items(raw: DataFrame, item: str, *context: str) -> DataFrame:
     """One row per element of the document's ``items`` list, as ``it``."""
     return _documents(raw, f"items array<struct<{item}>>", *context).select(
@@ -87,7 +94,7 @@ def market_state_history(raw: DataFrame) -> DataFrame:
     among equals; a series without a point in an hour leaves NULL.
     """
     points = ",".join(f"{s}:array<struct<x:double,y:string>>" for s in STATE_SERIES)
-    docs = _documents(raw, f"marketId string, historicalState struct<{points}>", "chain_id")
+    docs = _documents(_in_order(raw), f"marketId string, historicalState struct<{points}>", "chain_id", "doc_order")
     tagged = F.array(
         *[
             F.struct(F.lit(c).alias("series"), F.col(f"d.historicalState.{s}").alias("points"))
@@ -95,8 +102,8 @@ def market_state_history(raw: DataFrame) -> DataFrame:
         ]
     )
     flat = (
-        docs.select("chain_id", F.col("d.marketId").alias("market_id"), F.inline(tagged))
-        .select("chain_id", "market_id", "series", F.posexplode("points").alias("pos", "p"))
+        docs.select("chain_id", "doc_order", F.col("d.marketId").alias("market_id"), F.inline(tagged))
+        .select("chain_id", "doc_order", "market_id", "series", F.posexplode("points").alias("pos", "p"))
         .withColumn("ts", floor_to(from_unix("p.x"), HOUR))
     )
     rank = F.struct("p.x", "pos")
@@ -105,9 +112,9 @@ def market_state_history(raw: DataFrame) -> DataFrame:
         # A point whose value is null still wins its hour.
         return F.max_by(F.struct("p.y"), F.when(F.col("series") == column, rank))["y"]
 
+    by_document = flat.groupBy("chain_id", "market_id", "ts", "doc_order").agg(*[newest(c).alias(c) for c in STATE_SERIES.values()])
     return (
-        flat.groupBy("chain_id", "market_id", "ts")
-        .agg(*[newest(c).alias(c) for c in STATE_SERIES.values()])
+        keep_one(by_document, ["chain_id", "market_id", "ts"], F.col("doc_order"))
         .select(
             "ts", "chain_id", "market_id",
             *[F.col(c).cast("double" if c == "utilization" else EXACT).alias(c) for c in STATE_SERIES.values()],
@@ -178,12 +185,12 @@ def vault_allocations_live(raw: DataFrame) -> DataFrame:
 
 
 def vault_allocations_history(raw: DataFrame) -> DataFrame:
-    """Context: ``chain_id``. Hourly rows; the last listed point of an hour wins per column."""
+    """Context: ``chain_id``, ``doc_order``. Hourly rows; the last listed point of an hour wins per column."""
     point = "array<struct<x:double,y:string>>"
     slot = f"struct<market:struct<marketId:string>,supplyAssets:{point},supplyCap:{point}>"
-    docs = _documents(raw, f"address string, historicalState struct<allocation:array<{slot}>>", "chain_id")
+    docs = _documents(_in_order(raw), f"address string, historicalState struct<allocation:array<{slot}>>", "chain_id", "doc_order")
     slots = docs.select(
-        "chain_id", F.lower("d.address").alias("vault"),
+        "chain_id", "doc_order", F.lower("d.address").alias("vault"),
         F.posexplode("d.historicalState.allocation").alias("slot", "a"),
     )
     tagged = F.array(
@@ -191,8 +198,8 @@ def vault_allocations_history(raw: DataFrame) -> DataFrame:
         F.struct(F.lit("supply_cap").alias("series"), F.col("a.supplyCap").alias("points")),
     )
     flat = (
-        slots.select("chain_id", "vault", F.col("a.market.marketId").alias("market_id"), "slot", F.inline(tagged))
-        .select("chain_id", "vault", "market_id", "slot", "series", F.posexplode("points").alias("pos", "p"))
+        slots.select("chain_id", "doc_order", "vault", F.col("a.market.marketId").alias("market_id"), "slot", F.inline(tagged))
+        .select("chain_id", "doc_order", "vault", "market_id", "slot", "series", F.posexplode("points").alias("pos", "p"))
         .withColumn("ts", floor_to(from_unix("p.x"), HOUR))
     )
 
@@ -200,9 +207,9 @@ def vault_allocations_history(raw: DataFrame) -> DataFrame:
         rank = F.when(F.col("series") == column, F.struct("slot", "pos"))
         return F.max_by(F.struct("p.y"), rank)["y"].cast(EXACT).alias(column)
 
+    by_document = flat.groupBy("chain_id", "vault", "market_id", "ts", "doc_order").agg(last_listed("supply_assets"), last_listed("supply_cap"))
     return (
-        flat.groupBy("chain_id", "vault", "market_id", "ts")
-        .agg(last_listed("supply_assets"), last_listed("supply_cap"))
+        keep_one(by_document, ["chain_id", "vault", "market_id", "ts"], F.col("doc_order"))
         .select(
             "ts", "chain_id", "vault", "market_id", "supply_assets",
             _nothing(EXACT).alias("supply_shares"), "supply_cap", F.lit(BACKFILL).alias("source"),
@@ -321,12 +328,12 @@ def prices_current(raw: DataFrame, slug_to_chain: dict[str, int]) -> DataFrame:
 
 
 def _hourly_last(points: DataFrame, when: str, price: str, confidence: Column, source: str) -> DataFrame:
-    """Last listed priced point per token and hour."""
+    """Last listed priced point of the last document per token and hour."""
     return (
         points.where(F.col(price).isNotNull())
         .withColumn("ts", floor_to(from_unix(when), HOUR))
         .groupBy("ts", "chain_id", F.lower("address").alias("token_address"))
-        .agg(F.max_by(F.struct(F.col(price).alias("price"), confidence.alias("confidence")), F.col("pos")).alias("p"))
+        .agg(F.max_by(F.struct(F.col(price).alias("price"), confidence.alias("confidence")), F.struct("doc_order", "pos")).alias("p"))
         .select(
             "ts", "chain_id", "token_address",
             F.col("p.price").alias("price_usd"), F.lit(source).alias("source"), F.col("p.confidence").alias("confidence"),
@@ -335,10 +342,10 @@ def _hourly_last(points: DataFrame, when: str, price: str, confidence: Column, s
 
 
 def prices_chart(raw: DataFrame) -> DataFrame:
-    """Context: ``chain_id``, ``address``. Hourly history of one token per document."""
+    """Context: ``chain_id``, ``address``, ``doc_order``. Hourly history of one token per document."""
     schema = "prices array<struct<timestamp:double,price:double,confidence:double>>"
-    points = _documents(raw, schema, "chain_id", "address").select(
-        "chain_id", "address", F.posexplode("d.prices").alias("pos", "p")
+    points = _documents(_in_order(raw), schema, "chain_id", "address", "doc_order").select(
+        "chain_id", "address", "doc_order", F.posexplode("d.prices").alias("pos", "p")
     )
     return _hourly_last(points, "p.timestamp", "p.price", F.col("p.confidence"), PRICE_CHART)
 
@@ -359,8 +366,8 @@ def prices_fallback_current(raw: DataFrame) -> DataFrame:
 def prices_fallback_history(raw: DataFrame) -> DataFrame:
     """Context: ``chain_id``."""
     schema = "address string, historicalPriceUsd array<struct<x:double,y:double>>"
-    points = _documents(raw, schema, "chain_id").select(
-        "chain_id", F.col("d.address").alias("address"), F.posexplode("d.historicalPriceUsd").alias("pos", "p")
+    points = _documents(_in_order(raw), schema, "chain_id", "doc_order").select(
+        "chain_id", "doc_order", F.col("d.address").alias("address"), F.posexplode("d.historicalPriceUsd").alias("pos", "p")
     )
     return _hourly_last(points, "p.x", "p.y", _nothing("double"), FALLBACK_HISTORY)
 

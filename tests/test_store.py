@@ -106,8 +106,8 @@ def test_resume_overlaps_by_one_hour(spark, table):
 
 
 def log_text(partial: bool) -> str:
-    tick = {"ts": "2026-07-20T10:52:08.925Z", "bot": "b", "chainId": 7, "tickId": "t1"}
-    score = {"marketId": "m1", "u": 0.5, "vaultAssets": "14853996"}
+    tick = {"ts": "2025-11-03T04:17:31.250Z", "bot": "b", "chainId": 7, "tickId": "t1"}
+    score = {"marketId": "m1", "u": 0.5, "vaultAssets": "770011"}
     lines = [
         json.dumps({**tick, "type": "tick_start"}),
         json.dumps({**tick, "type": "scores", "vault": "0xAbC", "totalAssets": "20", "scores": [score, {**score, "marketId": "m2"}]}),
@@ -115,7 +115,7 @@ def log_text(partial: bool) -> str:
         json.dumps({**tick, "type": "unheard_of"}),
         json.dumps({**tick, "type": "tx_confirmed", "txHash": "0x9", "tx": {"gas": 1, "blockNumber": "123"}, "b": True, "a": {"y": 1, "x": "ü"}}),
     ]
-    return "\n".join(lines) + "\n" + ('{"ts":"2026-07-20T10:52:0' if partial else "")
+    return "\n".join(lines) + "\n" + ('{"ts":"2025-11-03T04:17:3' if partial else "")
 
 
 def check_log(split):
@@ -128,7 +128,7 @@ def check_log(split):
     assert payload == {"a": {"x": "ü", "y": 1}, "b": True, "tx": {"blockNumber": "123", "gas": 1}} and list(payload) == ["a", "b", "tx"]
     scores = rows(score_rows(split), "market_id")
     assert [r["market_id"] for r in scores] == ["m1", "m2"]
-    assert scores[0]["vault"] == "0xAbC" and scores[0]["ts"].second == 0 and scores[0]["vault_assets"] == 14853996
+    assert scores[0]["vault"] == "0xAbC" and scores[0]["ts"].second == 0 and scores[0]["vault_assets"] == 770011
 
 
 def test_log_waits_for_complete_lines(spark, tmp_path):
@@ -203,7 +203,7 @@ def test_gap_report_has_no_phantom_gap(table):
     assert (g["expected"], g["actual"]) == (4, 2)
     assert [r["ts"].hour for r in rows(quality.missing_buckets(holes, ["chain_id", "market_id"], 3600), "ts")] == [11, 12]
     text = quality.report({"market_state": holes})
-    assert "2 missing of 4" in text and "rows: 2" in text and "oracle_price_raw" in text
+    assert "2 of 4 buckets" in text and "market_state: 2 rows" in text and "| oracle_price_raw | 100.00 |" in text and "in 1 entities" in text
 
 
 def test_null_rates(table):

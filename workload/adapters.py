@@ -16,6 +16,8 @@ from statelake.tables import TABLES
 from statelake.sources.store import coerce
 
 STATE_BUCKET, PRICE_BUCKET = 300, 900
+# Fixed value: the stored tag of the second price source.
+SECOND_SOURCE = "morpho"
 
 
 # Declared, so that opening a table reads no footers.
@@ -90,10 +92,11 @@ class Given:
         )
 
     def markets(self) -> DataFrame:
-        k = F.col("c_custkey")
+        # Shifted, so that some markets of the events have no dimension row.
+        k = F.col("c_custkey") + 3
         loan, coll = F.concat(F.lit("tok"), k % 5), F.concat(F.lit("tok"), 5 + k % 7)
         idle = F.col("c_mktsegment") == "HOUSEHOLD"
-        return self.raw("customer").where("not (c_mktsegment = 'MACHINERY' and c_acctbal < 0)").select(
+        return self.raw("customer").select(
             chain(k), market(k),
             F.when(k % 13 == 0, "tokx").otherwise(loan).alias("loan_token"),
             F.when(k % 13 == 0, "SYMX").when(k % 100 == 2, "SYM2B").otherwise(F.concat(F.lit("SYM"), k % 5)).alias("loan_symbol"),
@@ -128,7 +131,7 @@ class Given:
         ev = keep_one(ev, ["chain_id", "token_address", "bucket"], F.struct("ts", "event_id"))
         return ev.select(
             F.col("bucket").alias("ts"), "chain_id", "token_address", F.round(F.col("value") / 25.0, 4).alias("price_usd"),
-            F.lit("morpho").alias("source"), F.lit(None).cast("double").alias("confidence"),
+            F.lit(SECOND_SOURCE).alias("source"), F.lit(None).cast("double").alias("confidence"),
         )
 
     def market_flows(self) -> DataFrame:
@@ -198,7 +201,8 @@ class Given:
         )
 
     def bot_scores(self) -> DataFrame:
-        ev = self.events().where("event_type = 'purchase' and value > 60").select(
+        # Every fourth user's purchases are scores.
+        ev = self.events().where("event_type = 'purchase' and user_id % 4 = 1").select(
             "user_id", floor_to("ts", 60).alias("bucket"), "ts", "event_id", "value"
         )
         ev = keep_one(ev, ["user_id", "bucket"], F.struct("ts", "event_id"))

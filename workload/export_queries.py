@@ -12,7 +12,7 @@ from .adapters import Given
 from .prelude import with_tables
 from .spec import Query
 from .view_queries import (
-    APY, FLOWS, FM, HEALTH, NAMED, NETFLOW, ORACLE, REGIME, RETURNS, SD, SIX, SM, SMP, SPELL_HOLE, spells_sql,
+    APY, FLOWS, FM, HEALTH, NETFLOW, ORACLE, REGIME, RETURNS, SD, SIX, SM, SMP, SPELL_HOLE, spells_sql,
 )
 
 REGIME_COLUMNS = [f"{m}_{w}" for m in ("avg_util", "pct_time_gt95", "pct_time_gt99") for w in ("7d", "30d")]
@@ -34,8 +34,7 @@ PANEL = f"""
     LEFT JOIN (FROM returns QUALIFY ts = max(ts) OVER (PARTITION BY chain_id, token_address)) v
       ON v.chain_id = h.chain_id AND v.token_address = lower(m.collateral_token)
     LEFT JOIN checks o ON o.chain_id = h.chain_id AND o.market_id = h.market_id AND o.ts = h.ts"""
-ONE_SYMBOL = NAMED.replace("FROM markets)", "FROM markets WHERE loan_symbol <> 'SYM2B')")
-PANEL_CTES = {**SD, "apy": APY, "health": HEALTH, "regime": REGIME, "named_prices": ONE_SYMBOL, "returns": RETURNS, "checks": ORACLE}
+PANEL_CTES = {**SD, "apy": APY, "health": HEALTH, "regime": REGIME, "returns": RETURNS, "checks": ORACLE}
 PANEL_DIGITS = SIX(
     "lltv", "utilization", "supply_apy", "borrow_apy", "apy_at_target", "supply_usd", "available_usd", "spread_to_best",
     "oracle_price", "collateral_vol_7d", "collateral_vol_30d", "oracle_deviation", *REGIME_COLUMNS,
@@ -112,7 +111,7 @@ SPARK_LINE = """
 EXPORT_QUERIES = [
     Query("export_latest_panel", lambda g: export.latest_market_panel(
         {**g.tables("market_state", "markets", "prices")}, newest(g.table("market_state"))),
-        with_tables(PANEL, *SMP, **{**PANEL_CTES, "named_prices": NAMED, "returns": f"SELECT DISTINCT ts, chain_id, token_address, vol_7d_ann, vol_30d_ann FROM ({RETURNS})"}), PANEL_DIGITS),
+        with_tables(PANEL, *SMP, **PANEL_CTES), PANEL_DIGITS),
     Query(
         "export_borrower_risk", lambda g: export.borrower_risk(g.tables("positions", "markets")),
         with_tables("""

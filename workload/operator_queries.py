@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from statelake.functions import floor_to
 from statelake.operators import (
     above_floor, asof_join, heal_candidates, latch, latest_rows, newest, not_covered, share_within, spread_to_leader,
-    threshold_runs, throughout, top_k_sum, tracked_set, tracked_tokens, trailing_hours, with_fallback,
+    threshold_runs, throughout, top_k_sum, tracked_set, tracked_tokens, with_fallback,
 )
 from statelake.plans import quality
 from statelake.plans.reader import Reader
@@ -54,13 +54,13 @@ def fresh_lake(g: Given) -> Lake:
 
 
 def stored_prices(g: Given) -> DataFrame:
-    """Written, replaced where the second source has the key, healed, read back by day."""
+    """Written, replaced where the second source has the key, healed, read back whole."""
     lake = fresh_lake(g)
     first, second = g.prices(), g.prices_secondary()
     lake.upsert(PRICES, first.where("ts < timestamp '2024-01-20 00:00:00'"))
     lake.upsert(PRICES, second.where("ts >= timestamp '2024-01-10 00:00:00' and ts < timestamp '2024-01-22 00:00:00'"))
     lake.insert_missing(PRICES, first)
-    return lake.scan(PRICES).where("date >= date '2024-01-05'").select("ts", "chain_id", "token_address", "price_usd", "source")
+    return lake.scan(PRICES).select("ts", "chain_id", "token_address", "price_usd", "source")
 
 
 def stored_dimension(g: Given) -> DataFrame:
@@ -92,7 +92,7 @@ def coerced(g: Given) -> DataFrame:
 def universe(g: Given) -> DataFrame:
     return g.raw("customer").select(
         chain(F.col("c_custkey")), market(F.col("c_custkey")), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("supply_usd")
-    ).where("market_id not like '%7'")
+    )
 
 
 def tracked(g: Given) -> DataFrame:
@@ -103,7 +103,7 @@ def tracked(g: Given) -> DataFrame:
 UNIVERSE = """
     SELECT CAST(c_custkey % 3 + 1 AS INTEGER) AS chain_id, 'm' || c_custkey AS market_id,
            CASE WHEN c_acctbal > 0 THEN c_acctbal END AS supply_usd
-    FROM customer WHERE 'm' || c_custkey NOT LIKE '%7'"""
+    FROM customer"""
 TRACKED = """
     SELECT chain_id, market_id FROM vault_allocations UNION SELECT chain_id, market_id FROM markets WHERE loan_token = 'tokx'
     UNION SELECT chain_id, market_id FROM universe WHERE supply_usd >= 5000"""
@@ -163,7 +163,7 @@ def latched(g: Given) -> DataFrame:
 
 
 def dwelling(g: Given) -> DataFrame:
-    held = throughout(F.col("u") < 0.99, trailing_hours(MARKET, 72), 24)
+    held = throughout(F.col("u") < 0.99, MARKET, 72, 24)
     return _levels(g).select(*MARKET, "ts", held.alias("held"))
 
 
@@ -270,8 +270,6 @@ def streamed_latch(g: Given) -> DataFrame:
 
 # --- registration ------------------------------------------------------------
 
-QUALITY_COLUMNS = ["ts", "chain_id", "market_id", "rate_at_target", "utilization", "oracle_price_raw"]
-
 OPERATOR_QUERIES = [
     Query(
         "store_upsert", upsert,
@@ -290,7 +288,7 @@ OPERATOR_QUERIES = [
             SELECT DISTINCT ON (chain_id, token_address, ts) ts, chain_id, token_address, price_usd, source
             FROM (SELECT *, 1 AS choice FROM prices_secondary WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-22'
                   UNION ALL SELECT *, 2 FROM prices)
-            WHERE ts >= TIMESTAMP '2024-01-05' ORDER BY chain_id, token_address, ts, choice""", "prices", "prices_secondary"),
+            ORDER BY chain_id, token_address, ts, choice""", "prices", "prices_secondary"),
         {"price_usd": 6},
     ),
     Query(
@@ -445,19 +443,25 @@ OPERATOR_QUERIES = [
         with_tables("SELECT type, count(*) AS n FROM market_flows WHERE chain_id = 2 AND ts >= TIMESTAMP '2024-01-10' GROUP BY ALL", "market_flows"),
     ),
     Query(
-        "quality_null_rates", lambda g: quality.null_rates(g.table("market_state"), QUALITY_COLUMNS),
+        "quality_null_rates", lambda g: quality.null_rates(g.table("market_state")),
         with_tables("""
             UNPIVOT (SELECT avg(if(ts IS NULL, 1.0, 0.0)) AS ts, avg(if(chain_id IS NULL, 1.0, 0.0)) AS chain_id, avg(if(market_id IS NULL, 1.0, 0.0)) AS market_id,
                             avg(if(rate_at_target IS NULL, 1.0, 0.0)) AS rate_at_target, avg(if(utilization IS NULL, 1.0, 0.0)) AS utilization,
-                            avg(if(oracle_price_raw IS NULL, 1.0, 0.0)) AS oracle_price_raw FROM market_state)
+                            avg(if(oracle_price_raw IS NULL, 1.0, 0.0)) AS oracle_price_raw,
+                            avg(if(total_supply_assets IS NULL, 1.0, 0.0)) AS total_supply_assets, avg(if(total_borrow_assets IS NULL, 1.0, 0.0)) AS total_borrow_assets,
+                            avg(if(source IS NULL, 1.0, 0.0)) AS source, (SELECT avg(if(value IS NULL, 1.0, 0.0)) FROM events) AS total_supply_shares,
+                            (SELECT avg(if(value IS NULL, 1.0, 0.0)) FROM events) AS total_borrow_shares,
+                            (SELECT avg(if(ts IS NULL, 1.0, 0.0)) FROM events) AS api_timestamp FROM market_state)
             ON COLUMNS(*) INTO NAME column_name VALUE null_rate""", "market_state").replace("UNPIVOT (", "SELECT * FROM (UNPIVOT (").replace(
             "VALUE null_rate", "VALUE null_rate) WHERE null_rate > 0"),
         {"null_rate": 8},
     ),
     Query(
-        "quality_row_counts", lambda g: quality.column_profile(g.table("market_state"), QUALITY_COLUMNS[:2]).select("column_name", "n_rows"),
-        with_tables("""SELECT 'ts' AS column_name, count(*) AS n_rows FROM market_state
-                       UNION ALL SELECT 'chain_id', count(*) FROM market_state""", "market_state"),
+        "quality_row_counts", lambda g: quality.column_profile(g.table("market_state")).select("column_name", "n_rows"),
+        with_tables("""
+            SELECT unnest(['ts', 'chain_id', 'market_id', 'total_supply_assets', 'total_supply_shares', 'total_borrow_assets', 'total_borrow_shares',
+                           'rate_at_target', 'utilization', 'oracle_price_raw', 'api_timestamp', 'source']) AS column_name, count(*) AS n_rows
+            FROM market_state""", "market_state"),
     ),
     Query(
         "quality_gaps", lambda g: quality.bucket_gaps(g.table("market_state"), ["chain_id", "market_id"], 3600),

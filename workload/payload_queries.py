@@ -97,8 +97,8 @@ def history_documents(g: Given) -> DataFrame:
         F.concat(*texts, F.lit('"utilization":['), series("purchase", level), F.lit("]")).alias("body")
     )
     return docs.select(
-        F.lit(999).alias("chain_id"),
-        js('{"marketId":"m<k>_<n>","creationTimestamp":1,"historicalState":{<body>}}', k="k", n="n", body="body").alias("payload"),
+        F.lit(999).alias("chain_id"), F.col("n").alias("doc_order"),
+        js('{"marketId":"m<k>","creationTimestamp":1,"historicalState":{<body>}}', k="k", body="body").alias("payload"),
     )
 
 
@@ -222,10 +222,10 @@ def coin_documents(g: Given) -> DataFrame:
 
 
 def _token_pages(g: Given, point: Column) -> DataFrame:
-    """Points per token and page out of the purchase events, listed by event."""
+    """Points per token and page out of all events, listed by event."""
     listed = F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("o"), point.alias("j"))))
     return (
-        g.events().where("event_type = 'purchase'")
+        g.events()
         .groupBy((F.col("user_id") % 3 + 1).cast("int").alias("chain_id"), token(F.col("user_id")),
                  F.floor(F.col("event_id") / LONG_PAGE).alias("part"))
         .agg(F.concat_ws(",", F.transform(listed, lambda s: s["j"])).alias("points"))
@@ -239,14 +239,15 @@ def _known_price() -> Column:
 def chart_documents(g: Given) -> DataFrame:
     point = js('{"timestamp":<t>,"price":<p>,"confidence":0.9}', t=F.unix_seconds("ts"), p=_known_price())
     return _token_pages(g, point).select(
-        "chain_id", F.concat_ws("_", F.upper("token_address"), "part").alias("address"), js('{"prices":[<p>]}', p="points").alias("payload")
+        "chain_id", F.col("part").alias("doc_order"), F.upper("token_address").alias("address"), js('{"prices":[<p>]}', p="points").alias("payload")
     )
 
 
 def fallback_history_documents(g: Given) -> DataFrame:
     point = js('{"x":<t>,"y":<p>}', t=F.unix_seconds("ts"), p=_known_price())
     return _token_pages(g, point).select(
-        "chain_id", js('{"address":"<a>_<n>","historicalPriceUsd":[<p>]}', a=F.upper("token_address"), n="part", p="points").alias("payload")
+        "chain_id", F.col("part").alias("doc_order"),
+        js('{"address":"<a>","historicalPriceUsd":[<p>]}', a=F.upper("token_address"), p="points").alias("payload"),
     )
 
 
@@ -317,14 +318,14 @@ X100 = "CAST(round(value * 100) AS BIGINT)"
 HOUR = "date_trunc('hour', ts)"
 CHAIN = "CAST(user_id % 3 + 1 AS INTEGER)"
 SEC = "date_trunc('second', ts)"
-TOKEN_PAGE = f"'tok' || (user_id // 3) % 12 || '_' || event_id // {LONG_PAGE}"
+TOKEN = "'tok' || (user_id // 3) % 12"
 
 
 def last_priced(source: str, confidence: str) -> str:
     return f"""
-        SELECT {HOUR} AS ts, {CHAIN} AS chain_id, {TOKEN_PAGE} AS token_address, arg_max(value, event_id) AS price_usd,
+        SELECT {HOUR} AS ts, {CHAIN} AS chain_id, {TOKEN} AS token_address, arg_max(value, event_id) AS price_usd,
                '{source}' AS source, {confidence} AS confidence
-        FROM events WHERE event_type = 'purchase' AND event_id % 9 <> 0 GROUP BY ALL"""
+        FROM events WHERE event_id % 9 <> 0 GROUP BY ALL"""
 
 
 def newest_point(kind: str, value: str) -> str:
@@ -348,12 +349,13 @@ PAYLOAD_QUERIES = [
     ),
     Query(
         "payload_market_state_history", lambda g: payloads.market_state_history(history_documents(g)),
-        f"""SELECT {HOUR} AS ts, 999 AS chain_id, 'm' || user_id % 5 || '_' || event_id // {LONG_PAGE} AS market_id,
+        f"""SELECT {HOUR} AS ts, 999 AS chain_id, 'm' || user_id % 5 AS market_id,
                    {newest_point('view', X100)} AS total_supply_assets, {newest_point('signup', X100)} AS total_supply_shares,
                    {newest_point('click', X100)} AS total_borrow_assets, {newest_point('purchase', X100)} AS total_borrow_shares,
                    {newest_point('error', X100)} AS rate_at_target, {newest_point('purchase', 'value / 500.0')} AS utilization,
                    CAST(NULL AS VARCHAR) AS oracle_price_raw, CAST(NULL AS TIMESTAMP) AS api_timestamp, 'backfill' AS source
-            FROM events GROUP BY {HOUR}, user_id % 5, event_id // {LONG_PAGE}""",
+            FROM events GROUP BY {HOUR}, user_id % 5, event_id // {LONG_PAGE}
+            QUALIFY row_number() OVER (PARTITION BY {HOUR}, user_id % 5 ORDER BY event_id // {LONG_PAGE} DESC) = 1""",
         {"utilization": 9},
         ("total_supply_assets", "total_supply_shares", "total_borrow_assets", "total_borrow_shares", "rate_at_target"),
     ),

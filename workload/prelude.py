@@ -32,7 +32,7 @@ CTES = {
                CAST((700 + c_custkey % 250) || repeat('0', 15) AS DECIMAL(38,0)) AS lltv,
                TIMESTAMP '2023-06-01 00:00:00' AS creation_ts, c_acctbal > 0 AS listed,
                TIMESTAMP '2024-01-31 00:00:00' AS fetched_at
-        FROM customer WHERE NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 0)""",
+        FROM (SELECT * REPLACE (c_custkey + 3 AS c_custkey) FROM customer)""",
     "prices": """
         SELECT time_bucket(INTERVAL 900 SECONDS, ts) AS ts, CAST(user_id % 3 + 1 AS INTEGER) AS chain_id,
                'tok' || (user_id // 3) % 12 AS token_address, round(value / 25.0, 4) AS price_usd, 'llama' AS source,
@@ -98,7 +98,7 @@ CTES = {
     "bot_scores": """
         SELECT time_bucket(INTERVAL 60 SECONDS, ts) AS ts, CAST(user_id % 3 + 1 AS INTEGER) AS chain_id, '0xV' AS vault,
                't' || event_id AS tick_id, 'm' || user_id AS market_id
-        FROM events WHERE event_type = 'purchase' AND value > 60
+        FROM events WHERE event_type = 'purchase' AND user_id % 4 = 1
         QUALIFY row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 60 SECONDS, ts)
                                    ORDER BY ts DESC, event_id DESC) = 1""",
 }
