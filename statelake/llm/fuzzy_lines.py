@@ -26,10 +26,10 @@ from .common import first_seen, first_of_runs, partitions, plain, small_batches,
 from .linking import families
 from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, shared_values, six_bytes
 
-WIDTH = 5
+WIDTH = 8
 PERCENT = 80
 BANDS, ROWS = 10, 4
-BITMAP_BITS = 26
+BITMAP_BITS = 24
 CHUNK = 1 << 16
 MULTIPLIERS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -118,7 +118,7 @@ def _shared(table: pa.Table, bits: int) -> pa.Table:
 
 
 def bitmap(keys: DataFrame) -> np.ndarray:
-    """2 ** BITMAP_BITS bits, set at every key's place: 8 MB however many keys there are."""
+    """2 ** BITMAP_BITS bits, set at every key's place: 2 MB however many keys there are."""
     place = F.pmod("gid", F.lit(1 << BITMAP_BITS))
     words = keys.select((F.shiftright(place, 6)).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(gid, {1 << BITMAP_BITS}L) & 63 AS INT))").alias("bit"))
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
