@@ -42,7 +42,7 @@ PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start"
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, most_units: int = 300_000):
+    def __init__(self, path: str, most_units: int = 700_000):
         from tokenizers import Tokenizer
 
         # Spark runs one task for each core.
