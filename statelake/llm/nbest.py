@@ -230,7 +230,7 @@ class Vocabulary:
 class Segmenter:
     """N best segmentations of whole texts; knows the units of the last texts."""
 
-    def __init__(self, vocabulary: Vocabulary, n: int, most: int = 150_000):
+    def __init__(self, vocabulary: Vocabulary, n: int, most: int = 300_000):
         self.vocabulary, self.n, self.known = vocabulary, n, Lately(most)
 
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, bytes]]]:
