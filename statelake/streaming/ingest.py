@@ -19,8 +19,10 @@ def keyed_merge(lake: Lake, spec: TableSpec) -> Callable[[DataFrame, int], None]
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         batch.persist()  # a merge reads its batch more than once
-        lake.upsert(spec, batch)
-        batch.unpersist()
+        try:
+            lake.upsert(spec, batch)
+        finally:
+            batch.unpersist()
 
     return merge
 
@@ -44,11 +46,13 @@ def ingest_logs(spark: SparkSession, folder: str, lake: Lake, rejected: str, che
 
     def load(batch: DataFrame, batch_id: int) -> None:
         split = split_lines(number_lines(batch)).persist()
-        lake.upsert(BOT_SCORES, score_rows(split), F.col("seq"))
-        lake.upsert(BOT_EVENTS, event_rows(split))
-        bad = split.where(~F.col("ok")).select("source_file", "seq", "line")
-        bad.write.mode("overwrite").json(f"{rejected}/batch={batch_id}")
-        split.unpersist()
+        try:
+            lake.upsert(BOT_SCORES, score_rows(split), F.col("seq"))
+            lake.upsert(BOT_EVENTS, event_rows(split), F.col("seq"))
+            bad = split.where(~F.col("ok")).select("source_file", "seq", "line")
+            bad.write.mode("overwrite").json(f"{rejected}/batch={batch_id}")
+        finally:
+            split.unpersist()
 
     return (
         log_source(spark.readStream.option("maxFilesPerTrigger", 1000), folder)

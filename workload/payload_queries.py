@@ -300,13 +300,16 @@ def log_lines(g: Given) -> DataFrame:
     return g.events().select(day.alias("source_file"), F.col("event_id").cast("int").alias("seq"), F.concat(head, tail).alias("line"))
 
 
-def legacy_documents(g: Given) -> DataFrame:
-    entry = js(
+def legacy_entry() -> Column:
+    return js(
         '{"symbol":"S<k>","marketId":"m<k>","loan":"0xL<k>","collateral":<c>,<u>,"borrowAPY":<v>,"supplyAPY":0.5,"availableLiquidity":<v>,"vaultAllocation":null}',
         k="user_id", c=F.when(F.col("event_id") % 4 == 0, '""').otherwise(quoted(F.concat(F.lit("0xC"), "user_id"))), v="value",
         u=F.when(F.col("event_id") % 3 == 0, js('"utilization":<v>', v="value")).otherwise(js('"utilisation":<v>,"utilization":-1', v="value")),
     )
-    hours = g.events().groupBy(_hour(), _page("event_id")).agg(F.concat_ws(",", F.collect_list(entry)).alias("body"))
+
+
+def legacy_documents(g: Given) -> DataFrame:
+    hours = g.events().groupBy(_hour(), _page("event_id")).agg(F.concat_ws(",", F.collect_list(legacy_entry())).alias("body"))
     text = js('{"timestamp":"<t>","chainId":999,"markets":[<b>]}', t=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), b="body")
     parsed = hours.select(F.from_json(text, snapshots._DOCUMENT).alias("d"), F.lit("snapshot.json").alias("source_file"))
     return parsed.select("d.*", "source_file")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .payload_queries import PAYLOAD_QUERIES
 from .export_queries import EXPORT_QUERIES
 from .operator_queries import OPERATOR_QUERIES
+from .source_queries import SOURCE_QUERIES
 from .view_queries import VIEW_QUERIES
 
-QUERIES = {q.name: q for q in [*VIEW_QUERIES, *PAYLOAD_QUERIES, *OPERATOR_QUERIES, *EXPORT_QUERIES]}
+QUERIES = {q.name: q for q in [*VIEW_QUERIES, *PAYLOAD_QUERIES, *OPERATOR_QUERIES, *EXPORT_QUERIES, *SOURCE_QUERIES]}
