@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import first_seen, first_of_runs, partitions, plain, small_batches, text_key, text_of, written
+from .common import Memo, first_of_runs, first_seen, partitions, plain, small_batches, text_key, text_of, written
 from .linking import families
 from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, shared_values, six_bytes
 
@@ -128,10 +128,11 @@ def bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    sets = Memo(shingles, 200)
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            x, y = shingles(x), shingles(y)
+            x, y = sets[x], sets[y]
             both = len(x & y)
             keep.append(100 * both >= percent * (len(x) + len(y) - both))
         kept = batch.filter(pa.array(keep, pa.bool_()))
