@@ -345,14 +345,16 @@ def write_document(path: str, header: DataFrame, lists: Mapping[str, DataFrame])
 
 
 def _publish(spark: SparkSession, staging: str, path: str) -> None:
-    """Moves the one written part file to its final name."""
+    """Renames the one written part file over its final name: readers see the old or the new file."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     source, target = hadoop.Path(staging), hadoop.Path(path)
-    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    conf = spark._jsc.hadoopConfiguration()
+    fs = source.getFileSystem(conf)
     part = fs.globStatus(hadoop.Path(f"{staging}/part-*"))[0].getPath()
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(part, target)
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(part, fs.makeQualified(target), how)
     fs.delete(source, True)
 
 

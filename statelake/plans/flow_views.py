@@ -105,7 +105,7 @@ def v_whale_flows(t: Tables) -> DataFrame:
     """Single events of at least 5 % of the market's supply just before them.
 
     The debt side comes first: a liquidation's supply delta is its bad debt,
-    usually nothing. Newest first.
+    usually nothing.
     """
     flows = signed_flows(with_dimension(t["market_flows"], t, *_DIMS)).select(
         "ts", *MARKET, "loan_symbol", collateral_label(), "tx_hash", "log_index", "type", "account", "loan_decimals",
@@ -122,4 +122,4 @@ def v_whale_flows(t: Tables) -> DataFrame:
     return large.select(
         "ts", *MARKET, "loan_symbol", "collateral_symbol", "tx_hash", "type", "account", "flow", "market_supply",
         (F.abs("flow") * 100.0 / supply).alias("pct_of_supply"),
-    ).orderBy(F.col("ts").desc())
+    )

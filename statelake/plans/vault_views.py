@@ -52,4 +52,4 @@ def v_vault_drift(t: Tables) -> DataFrame:
         "ts", "chain_id", "vault", "market_id", "loan_symbol", collateral_label(), "supply_assets",
         (F.col("supply_assets") - F.col("_amount_before")).alias("supply_assets_change"),
         "prev_weight_pct", "weight_pct", "weight_change_pct",
-    ).orderBy(F.col("ts").desc())
+    )

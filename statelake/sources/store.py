@@ -2,8 +2,10 @@
 
 A merge reads and rewrites only the days its batch touches, through Spark's
 dynamic partition overwrite: output is staged and published at job commit, so a
-lost executor costs a task retry and a failed job leaves the table as it was.
-One writer per table is assumed. Dimensions use the same path with the single
+lost executor costs a task retry and a job that fails before its commit leaves the
+table as it was. The commit itself replaces one day folder after the other: a driver
+lost in the middle leaves some days new and some old, one perhaps missing, and the
+merge must be run again, which is safe as it is keyed. One writer per table is assumed. Dimensions use the same path with the single
 partition ``slot=0``.
 """
 
@@ -95,7 +97,9 @@ class Lake:
     def upsert(self, spec: TableSpec, batch: DataFrame, order: Column | None = None) -> int:
         """Insert or replace by key; returns the number of batch rows.
 
-        ``order`` ranks rows of equal key inside the batch (default: position).
+        ``order`` ranks rows of equal key inside the batch. Without it they rank by their
+        place in the batch's partitions, which only a batch read from files defines: give
+        it wherever equal keys can meet in a batch that was shuffled.
         """
         rows, touched, total = self._prepare(spec, batch, order)
         if total == 0:
