@@ -221,7 +221,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
                     held[context], row = row, known
                 spans.setdefault(row[2], []).append((row[3] - side + row[4], row[3] - side + row[5] + length))
             count += len(values) // 8
-            if count > 100_000:
+            if count > 40_000:
                 yield flush()
                 held.clear()
                 spans.clear()
