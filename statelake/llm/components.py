@@ -51,8 +51,8 @@ def connected(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """
     prepare(edges.sparkSession)
     edges = local_forest(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")).distinct().checkpoint()
+    before = _sum_of(edges)
     for _ in range(most_rounds):
-        before = _sum_of(edges)
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         # Large star: every larger neighbour hangs onto the smallest one.
@@ -63,8 +63,10 @@ def connected(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
             large.join(small, "a").select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b"))
             .where("a != b").distinct().checkpoint()
         )
-        if _sum_of(edges) == before:
+        after = _sum_of(edges)
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(

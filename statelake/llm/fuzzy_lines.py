@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, first_of_runs, first_seen, partitions, plain, small_batches, text_key, text_of, written
+from .common import first_of_runs, first_seen, partitions, plain, small_batches, text_key, text_of, written
 from .linking import families
 from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, shared_values, six_bytes
 
@@ -127,8 +127,22 @@ def bitmap(keys: DataFrame) -> np.ndarray:
     return out
 
 
+class Sets(dict):
+    """Shingle sets of the last lines, as many as hold a million characters."""
+
+    chars = 0
+
+    def __missing__(self, line: str) -> set[str]:
+        if self.chars > 1_000_000:
+            self.clear()
+            self.chars = 0
+        self.chars += len(line)
+        found = self[line] = shingles(line)
+        return found
+
+
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    sets = Memo(shingles, 200)
+    sets = Sets()
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
