@@ -42,7 +42,7 @@ PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start"
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, most_units: int = 700_000):
+    def __init__(self, path: str, most_units: int = 300_000):
         from tokenizers import Tokenizer
 
         # Spark runs one task for each core.
@@ -50,21 +50,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known = Lately(most_units)
+        # A token's text has one character for each of its bytes.
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
         self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, texts: list[str]) -> list[bytes]:
+        """Ids of parts that begin with a space and hold no other: one call for all, cut where
+        the tokens' bytes fill a part."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(t.encode()) for t in texts])) + 1
+        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+
     @staticmethod
     def units(text: str) -> list[str]:
+        """Parts of a text that are tokenized apart from each other. A part without a space
+        stands for itself after a space; one that begins with a space for what follows it."""
         if not text:
             return []
         # The tokenizer's pattern cuts before every space that stands alone between two other
         # characters, so units that end there are tokenized apart from each other.
         if len(" ".join(text.split())) != len(text):
-            return re.split(r"(?<=\S)(?= \S)", text)
-        head, *rest = text.split(" ")
-        return [head, *[" " + w for w in rest]]
+            return [" " + part for part in re.split(r"(?<=\S)(?= \S)", text)]
+        found = text.split(" ")
+        found[0] = " " + found[0]
+        return found
 
     @staticmethod
     def bare(unit: str) -> str:
@@ -74,15 +90,25 @@ class Encoder:
     def _new(self, units: list[str]) -> list[bytes]:
         bare = {self.bare(u) for u in units}
         made = {b: ids for b in bare if (ids := self.known.get(b) or self.known.before.get(b)) is not None}
-        bare = sorted(bare - made.keys())
-        made.update(zip(bare, self.whole(bare), strict=True))
+        bare -= made.keys()
+        # Parts with white space in them, or at the head of a text, are tokenized one by one.
+        alone = sorted(b for b in bare if len(b.split()) != 1 or len(b.split()[0]) != len(b))
+        made.update(zip(alone, self.whole([b[1:] if b[0] == " " else " " + b for b in alone]), strict=True))
+        words = sorted(bare - set(alone))
+        if words:
+            made.update(zip(words, self.words([" " + b for b in words]), strict=True))
         return [made[b] + (self.marks[u[-1]] if len(b) < len(u) else b"") for u in units for b in [self.bare(u)]]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         split = [self.units(t) for t in texts]
-        self.known.provide(set().union(*split), self._new)
-        for units in split:
-            yield b"".join(map(self.known.__getitem__, units))
+        found = [list(map(self.known.get, units)) for units in split]
+        missing = {u for units, ids in zip(split, found, strict=True) if None in ids for u, i in zip(units, ids, strict=True) if i is None}
+        if missing:
+            self.known.provide(missing, self._new)
+        for units, ids in zip(split, found, strict=True):
+            if None in ids:
+                ids = [self.known[u] if i is None else i for u, i in zip(units, ids, strict=True)]
+            yield b"".join(ids)
 
 
 def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:
