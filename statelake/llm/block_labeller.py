@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, small_batches
+from .common import Memo, bounded_sample, small_batches
 
-#: Pages the labeller is trained on, taken by the hash of their html.
+#: Pages the labeller is trained on (about so many, never over twice), taken by the hash of their html.
 SAMPLE = 300
 PATH_DIMS, WORD_DIMS, HIDDEN, EPOCHS = 48, 32, 16, 10
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
@@ -273,9 +273,8 @@ def main_texts(pages: list[str | None], net: Network | None, features: Features)
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE) -> Network | None:
-    drawn = pages.select("html").where("html IS NOT NULL").withColumn("h", F.xxhash64("html")).orderBy("h", "html").limit(sample)
-    texts = [r["html"] for r in drawn.select("html").collect()]
-    texts = [t for t in texts if blocks(t)]
+    known = pages.select(F.col("html").cast("string").alias("html")).where("html IS NOT NULL")
+    texts = [t for t in bounded_sample(known, "html", known.count(), sample) if blocks(t)]
     return train(texts) if texts else None
 
 

@@ -108,6 +108,15 @@ def whole_groups(batches: Iterator[pa.RecordBatch], column: str, rows: int) -> I
         yield rest
 
 
+def bounded_sample(rows: DataFrame, column: str, count: int, size: int) -> list[str]:
+    """About ``size`` different values of ``count`` rows, never over twice as many, chosen by
+    their hash and sorted: copies of a value are collapsed before they leave their task."""
+    span = 1 << 31
+    below = int(span * min(1.0, size / max(1, count)))
+    chosen = rows.where(F.pmod(F.xxhash64(column), F.lit(span)) < below).select(column).distinct().limit(2 * size)
+    return sorted(r[0] for r in chosen.collect() if r[0] is not None)
+
+
 class Memo(dict):
     """A dictionary that fills itself and is emptied when it has grown to ``most``."""
 

@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, small_batches
+from .common import Memo, bounded_sample, small_batches
 
-#: Documents that the scorer is trained on, taken by the hash of their text.
+#: Documents that the scorer is trained on (about so many, never over twice), taken by the hash of their text.
 SAMPLE = 6000
 BUCKETS = 1 << 14
 CUT = 0.5
@@ -178,8 +178,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE) -> Scorer | None:
     patterns, counts = np.array([r["pattern"] for r in counted]), np.array([r["n"] for r in counted], float)
     order = np.lexsort(patterns.T)
     prior, table = accuracies(patterns[order], counts[order])
-    drawn = texts.where(F.length("text") > 0).withColumn("h", F.xxhash64("text")).orderBy("h", "text").limit(sample)
-    chosen = [r["text"] for r in drawn.select("text").collect() if r["text"].split()]
+    chosen = [t for t in bounded_sample(texts, "text", int(counts.sum()), sample) if t.split()]
     if not chosen:
         return None
     labels = posterior(np.array([votes(t) for t in chosen]), prior, table)
