@@ -6,6 +6,8 @@
 2. Candidates' texts are fetched; a bitmap of fixed size keeps other lines from being shuffled.
 3. Candidates of a band are verified by exact Jaccard similarity and joined to
    components (``linking``, ``components``: union-find inside tasks, star rounds across).
+   Sizes and sketches, which bound the similarity from above, settle most unlike pairs
+   before their texts are fetched.
 4. Of each component one line stays: the first by document and place.
 
 Defined results: null text is empty; lines without a word are never removed; rows of the
@@ -16,21 +18,27 @@ comes after every other; other columns are passed on; an empty table gives an em
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import first_of_runs, first_seen, partitions, plain, small_batches, text_key, text_of, written
 from .linking import families
 from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, shared_values, six_bytes
 
-WIDTH = 8
+WIDTH = 5
 PERCENT = 80
 BANDS, ROWS = 10, 4
 BITMAP_BITS = 24
 CHUNK = 1 << 16
+SKETCH = [f"s{i}" for i in range(8)]
+SKETCH_BITS = 64 * len(SKETCH)
+# Lists up to this length go without hubs.
+SHORT = 16
 MULTIPLIERS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -44,9 +52,8 @@ def shingles(line: str) -> set[str]:
     return {s[i:i + WIDTH] for i in range(len(s) - WIDTH + 1)} if len(s) >= WIDTH else {s}
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """Band values of each line (lines by bands), minima over all its shingles."""
-    out = np.empty((len(lines), BANDS), np.uint64)
+def hashed(lines: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First line, hashes of all shingles, and their number for each line, of chunks of the lines."""
     at = 0
     while at < len(lines):
         part, size, to = [], 0, at
@@ -65,18 +72,61 @@ def bands(lines: list[str]) -> np.ndarray:
         own = np.ones(len(code), bool)
         for i in range(1, WIDTH):
             own[ends - i] = False
-        h = h[own[:len(h)]]
-        starts = np.concatenate([[0], np.cumsum(counts - WIDTH + 1)[:-1]])
+        yield at, h[own[:len(h)]], counts - WIDTH + 1
+        at = to
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """Band values of each line (lines by bands), minima over all its shingles."""
+    out = np.empty((len(lines), BANDS), np.uint64)
+    for at, h, counts in hashed(lines):
+        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
         for band in range(BANDS):
-            value = np.full(len(part), band + 1, np.uint64)
+            value = np.full(len(counts), band + 1, np.uint64)
             for row in range(ROWS):
                 low = np.minimum.reduceat((h * MULTIPLIERS[band * ROWS + row]) >> np.uint64(32), starts)
                 value = mixed(value ^ low) + np.uint64(row)
-            out[at:to, band] = mixed(value)
-        at = to
+            out[at:at + len(counts), band] = mixed(value)
     return out
 
 
+def sketches(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of different shingles of each line, and SKETCH_BITS bits: whether an odd number of them falls there.
+
+    What two lines share falls out of the difference of their bits, so that it never has more
+    bits than the lines have shingles apart.
+    """
+    sizes, bits = np.empty(len(lines), np.int32), np.empty((len(lines), len(SKETCH)), np.int64)
+    for at, h, counts in hashed(lines):
+        # A chunk has fewer than 2 ** 17 lines, as each counts WIDTH characters at least.
+        line = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+        found = np.sort((line << np.uint64(47)) | (h >> np.uint64(17)))
+        found = found[first_of_runs(found)]
+        line = (found >> np.uint64(47)).astype(np.int64)
+        odd = np.bincount(line * SKETCH_BITS + (found & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=len(counts) * SKETCH_BITS) & 1
+        sizes[at:at + len(counts)] = np.bincount(line, minlength=len(counts))
+        bits[at:at + len(counts)] = np.packbits(odd.astype(bool)).view(np.int64).reshape(-1, len(SKETCH))
+    return sizes, bits
+
+
+TRAITS = "n int, " + ", ".join(f"{s} long" for s in SKETCH)
+
+
+def _with_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes, bits = sketches(batch.column("line").to_pylist())
+        arrays = [batch.column("key"), batch.column("line"), pa.array(sizes), *map(pa.array, bits.T.copy())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["key", "line", "n", *SKETCH])
+
+
+def may_link(x: str, y: str, percent: int) -> Column:
+    """False only where two lines are less similar than ``percent``: by their sizes, or as they
+    have more shingles apart than (100 - percent) / (100 + percent) of both together."""
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    apart = reduce(add, [F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in SKETCH])
+    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * apart <= (100 - percent) * (nx + ny))
+
+
 DEALT = "range int, keys binary, values binary"
 DEALT_ARROW = pa.schema([("range", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])
 
@@ -177,13 +227,18 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     texts = written(
         first_seen(lines.select("key", "line")).mapInArrow(marked, "key long, line string")
-        .join(nodes.withColumnRenamed("gid", "key"), "key").dropDuplicates(["key"]), "lines")
+        .join(nodes.withColumnRenamed("gid", "key"), "key").dropDuplicates(["key"])
+        .mapInArrow(_with_sketches, f"key long, line string, {TRAITS}"), "lines")
+    traits = texts.select(F.col("key").alias("gid"), "n", *SKETCH)
 
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = texts.select(F.col("key").alias("a"), F.col("line").alias("x")), texts.select(F.col("key").alias("b"), F.col("line").alias("y"))
+        x, y = traits.withColumnRenamed("gid", "a").alias("x"), traits.withColumnRenamed("gid", "b").alias("y")
+        pairs = pairs.join(x, "a").join(y, "b").where(may_link("x", "y", percent)).select("a", "b")
         return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(lambda t: _verify(t, percent), "a long, b long")
 
-    labels = families(lists.withColumn("weight", F.lit(0)), nodes.withColumn("node", F.col("gid")), lambda x, y: F.lit(True), verified)
+    labels = families(
+        lists.withColumn("weight", F.lit(0)), nodes.withColumn("node", F.col("gid")), lambda x, y: may_link(x, y, percent), verified, traits, SHORT)
 
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "place")
     firsts = lines.groupBy("key").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))

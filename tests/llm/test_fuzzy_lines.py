@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from statelake.llm.fuzzy_lines import BANDS, bands, dedup_lines, shingles
+from statelake.llm.fuzzy_lines import BANDS, SKETCH, TRAITS, bands, dedup_lines, may_link, shingles, sketches
 
 
 def brute(rows, percent=80):
@@ -63,3 +63,35 @@ def test_recall_of_bands():
             total += 1
             hit += bool((bands([a])[0] == bands([b])[0]).any())
     assert total > 20 and hit >= 0.95 * total
+
+
+def test_one_changed_character_of_a_line_of_sixty(spark):
+    pairs = [
+        ("the committee met in the old town hall on 12 march 1987 again", "the committee met in the old town hall on 12 march 1957 again"),
+        ("a quick survey of northern rivers and their many fishes", "a quick survey of northern ravers and their many fishes"),
+    ]
+    assert all(len(shingles(a) & shingles(b)) >= 0.8 * len(shingles(a) | shingles(b)) for a, b in pairs)
+    assert all((bands([a])[0] == bands([b])[0]).any() for a, b in pairs)
+    rows = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
+    out = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r._n_removed) for r in out.collect()) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+
+
+def test_sizes_and_sketches_never_part_similar_lines(spark):
+    draw = np.random.default_rng(11)
+    lines = ["", "a", "ab", "word " * 300, "word " * 301]
+    for _ in range(40):
+        words = [f"w{draw.integers(0, 300)}" for _ in range(draw.integers(3, 300))]
+        for edits in (0, 1, 2, len(words) // 12, len(words) // 2):
+            other = list(words)
+            for i in draw.integers(0, len(words), edits):
+                other[i] = f"v{draw.integers(0, 300)}"
+            lines.append(" ".join(other))
+    sizes, bits = sketches(lines)
+    assert sizes.tolist() == [len(shingles(x)) for x in lines]
+    rows = spark.createDataFrame([(i, int(n), *map(int, b)) for i, (n, b) in enumerate(zip(sizes, bits, strict=True))], f"i int, {TRAITS}")
+    kept = {(r.i, r.j) for r in rows.alias("x").join(rows.withColumnRenamed("i", "j").alias("y"), may_link("x", "y", 80)).select("i", "j").collect()}
+    sets = [shingles(x) for x in lines]
+    alike = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if 100 * len(x & y) >= 80 * len(x | y)}
+    assert alike <= kept and len(kept) < 2 * len(alike) and len(alike) > 2 * len(lines)
+    assert bits.shape == (len(lines), len(SKETCH))
