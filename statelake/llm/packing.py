@@ -48,7 +48,8 @@ class Encoder:
         # Spark runs one task for each core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # The literals of these tokens have their own ids and cut a text wherever they stand.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = Lately(most_units)
         # A token's text has one character for each of its bytes.
         vocabulary = self.tokenizer.get_vocab()
@@ -100,15 +101,17 @@ class Encoder:
         return [made[b] + (self.marks[u[-1]] if len(b) < len(u) else b"") for u in units for b in [self.bare(u)]]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        split = [self.units(t) for t in texts]
+        apart = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        whole = dict(zip(apart, self.whole([texts[i] for i in apart]), strict=True))
+        split = [[] if i in whole else self.units(t) for i, t in enumerate(texts)]
         found = [list(map(self.known.get, units)) for units in split]
         missing = {u for units, ids in zip(split, found, strict=True) if None in ids for u, i in zip(units, ids, strict=True) if i is None}
         if missing:
             self.known.provide(missing, self._new)
-        for units, ids in zip(split, found, strict=True):
+        for at, (units, ids) in enumerate(zip(split, found, strict=True)):
             if None in ids:
                 ids = [self.known[u] if i is None else i for u, i in zip(units, ids, strict=True)]
-            yield b"".join(ids)
+            yield whole[at] if at in whole else b"".join(ids)
 
 
 def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:

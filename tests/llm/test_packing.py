@@ -52,6 +52,16 @@ def test_units_give_the_ids_of_the_whole():
     assert list(encode(texts)) == encode.whole(texts) == list(encode(texts))
 
 
+def test_literals_of_added_tokens_have_their_own_ids():
+    from tokenizers import Tokenizer
+
+    encode, plain = Encoder(PATH), Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "<|endoftext|>", " x  <|endoftext|>\n<|endoftext|><|endoftext|> y. z", "a <|endof text|> <|ENDOFTEXT|> b", "w. " * 300, ""]
+    expected = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(encode(texts)) == expected == list(encode(texts)) == encode.whole(texts)
+    assert list(encode(texts[:1])) == [np.array([64, 220, 50256, 275], "<u4").tobytes()]
+
+
 def test_cut_takes_the_odd_rest_first():
     ids = np.arange(25, dtype="<u4").tobytes()
     assert [(s, k) for s, k, _ in cut(ids, 10)] == [(0, 5), (5, 10), (15, 10)]
