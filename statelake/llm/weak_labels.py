@@ -34,11 +34,22 @@ EPOCHS = 8
 # Words added to a text's number of words: a few words alone say little.
 DAMPING = 20
 # Numeric inputs beside the hashed words.
-SHARES = ("upper", "symbols", "marks", "digits", "bars", "repeats", "same_lines", "next_same")
+SHARES = ("upper", "symbols", "marks", "digits", "bars", "repeats", "same_lines", "next_same", "same_words")
+# Words of the windows over which different words are counted: their share falls with length.
+WINDOW = 200
 BAD, ABSTAIN, GOOD = -1, 0, 1
 UPPER, SYMBOLS, MARKS, DIGITS, BARS = (re.compile(p) for p in (r"[^\W\d_a-zß-öø-ÿ]", r"[#*$%&<>{}\\^~=]", r"[!?]", r"\d", r"\|"))
 
 
+def fresh_words(words: list[str]) -> float:
+    """Mean share of different words over the consecutive windows of the whole text; the last one ends with it and is full too."""
+    n = len(words)
+    if n <= WINDOW:
+        return len(set(words)) / max(1, n)
+    starts = [*range(0, n - WINDOW, WINDOW), n - WINDOW]
+    return sum(len(set(words[at:at + WINDOW])) for at in starts) / (WINDOW * len(starts))
+
+
 def shares(text: str, words: list[str]) -> list[float]:
     """Measures of a text between 0 and 1, over the whole text."""
     n = max(1, len(words))
@@ -50,6 +61,7 @@ def shares(text: str, words: list[str]) -> list[float]:
     return [
         upper / chars, min(1.0, len(SYMBOLS.findall(text)) / n), min(1.0, len(MARKS.findall(text)) / n), len(DIGITS.findall(text)) / chars,
         min(1.0, len(BARS.findall(text)) / n), 1 - len(set(triples)) / len(triples) if triples else 0.0, 1 - len(set(lines)) / max(1, len(lines)), follow / n,
+        1 - fresh_words(words) if words else 0.0,
     ]
 
 
@@ -71,13 +83,12 @@ def votes(text: str) -> list[int]:
     n = len(words)
     plain = sum(w.strip(".,;:!?'\"()").isalpha() for w in words) / n
     stops = sum(len(w) <= 4 and w.isalpha() for w in words) / n
-    fresh = len(set(words)) / n if n <= 200 else 1.0
     prose = sum(w[-1] in ".," for w in words) / n
     return [
         *[BAD if measured[name] >= least else ABSTAIN for name, least in DETECTORS.items()],
         BAD if plain < 0.7 else GOOD if plain > 0.97 and measured["upper"] < 0.2 else ABSTAIN,
         BAD if stops < 0.12 and n >= 20 else ABSTAIN,
-        BAD if fresh < 0.25 and n >= 20 else ABSTAIN,
+        BAD if measured["same_words"] > 0.75 and n >= 20 else ABSTAIN,
         GOOD if 0.02 <= prose <= 0.4 and plain > 0.95 and measured["repeats"] < 0.2 else ABSTAIN,
     ]
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 from llm_cases import SCHEMA, prose
 
-from statelake.llm.weak_labels import LABELLERS, accuracies, classify, posterior, votes
+from statelake.llm.weak_labels import ABSTAIN, BAD, LABELLERS, accuracies, classify, fresh_words, posterior, votes
 
 
 def test_em_finds_accuracies_of_simulated_labellers():
@@ -45,3 +45,14 @@ def test_junk_goes_and_prose_stays(spark, clashing, nothing, corpus):
 def test_nothing_to_learn_from(spark):
     rows = classify(spark.createDataFrame([(1, None, None, None, None)], SCHEMA)).collect()
     assert [(r._score, r._kept) for r in rows] == [(0.0, False)]
+
+
+def test_few_words_are_bad_at_any_length():
+    rnd = random.Random(9)
+    vocabulary = prose(rnd, 400).split()
+    for n in (200, 201, 350, 399, 2000, 20_000):
+        salad = [rnd.choice(vocabulary[:20]) for _ in range(n)]
+        assert votes(" ".join(salad))[-2] == BAD
+        assert votes(" ".join(f"w{i % 300}" for i in range(n)))[-2] == ABSTAIN
+    half = [f"w{i}" for i in range(1000)] + ["again"] * 1000
+    assert fresh_words(half) == 0.5 + 0.5 / 200
