@@ -4,7 +4,7 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import CHAIN, T0, dim, flow, hours, price, state
+from helpers import CHAIN, T0, dim, flow, hours, price, state
 
 from statelake.plans.export import flow_summary, run_export
 from statelake.sources import Lake

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import T0, hours
+from helpers import T0, hours
 from pyspark.sql import functions as F
 
 from statelake.functions import floor_to, whole_minutes

@@ -4,11 +4,11 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import T0, rows
+from helpers import T0, rows
 
 from statelake.sources import payloads
 
-BIG = 60876356185400123456789012345
+BIG = 31415926535897932384626433832
 AT = 1_767_225_600  # a full hour
 
 

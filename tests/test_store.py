@@ -4,7 +4,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import CHAIN, T0, dim, hours, price, rows, state
+from helpers import CHAIN, T0, dim, hours, price, rows, state
 from pyspark.sql import functions as F
 
 from statelake.operators import heal_candidates
@@ -14,7 +14,7 @@ from statelake.sources import Lake, coerce, event_rows, legacy_rows, read_log, r
 from statelake.streaming import ingest_logs
 from statelake.tables import BOT_EVENTS, BOT_SCORES, MARKET_FLOWS, MARKET_STATE, MARKETS, PRICES
 
-BIG = 60876356185400123456789012345
+BIG = 31415926535897932384626433832
 
 
 @pytest.fixture()

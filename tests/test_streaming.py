@@ -1,6 +1,6 @@
 """Streams against their batch answers."""
 
-from conftest import CHAIN, T0, dim, flow, hours, rows
+from helpers import CHAIN, T0, dim, flow, hours, rows
 from pyspark.sql import functions as F
 
 from statelake.plans.flow_views import v_market_netflow

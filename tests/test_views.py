@@ -3,21 +3,21 @@
 import math
 
 import pytest
-from conftest import CHAIN, T0, allocation, dim, flow, hours, price, rows, state
+from helpers import CHAIN, T0, allocation, dim, flow, hours, price, rows, state
 from pyspark.sql import functions as F
 
 from statelake.plans import book_views, flow_views, market_views, price_views, spell_views, vault_views
 
 
 def test_state_scaling(table):
-    raw = "68996150867968122500000000"
+    raw = "41375250000000000000000000"
     t = {
         "market_state": table("market_state", [state("m", T0, 0.5, supply=1_000_000, oracle_price_raw=raw)]),
         "markets": table("markets", [dim("m")]),
     }
     (r,) = rows(market_views.v_market_state(t))
     assert r["supply_assets"] == 1.0 and r["borrow_assets"] == 0.5 and r["liquidity"] == 0.5
-    assert r["oracle_price"] == pytest.approx(68.996150867968, rel=1e-12)
+    assert r["oracle_price"] == pytest.approx(41.37525, rel=1e-12)
     assert r["lltv"] == pytest.approx(0.915)
     assert r["apy_at_target"] == pytest.approx(math.exp(2.6e9 / 1e18 * 31536000) - 1, rel=1e-12)
 
