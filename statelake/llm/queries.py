@@ -12,6 +12,7 @@ from .fuzzy_lines import dedup_lines
 from .nbest import segmentations
 from .outliers import robust_outliers
 from .packing import pack
+from .periodic_runs import digest, looped, periodic_runs
 from .prefix_join import shingle_components
 from .rank_profiles import languages
 from .repeats import cut_repeats
@@ -60,8 +61,13 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return digest(periodic_runs(documents, text=looped(F.col("text"), F.col("doc_id"))).drop("text"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op6_nbest_segmentation, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup)}
+    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op6_nbest_segmentation, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup, op11_periodic_runs)}
 
 SQL = {
     "op1_exact_dedup": r"""
