@@ -16,6 +16,7 @@ from .periodic_runs import digest, looped, periodic_runs
 from .prefix_join import shingle_components
 from .rank_profiles import languages
 from .repeats import cut_repeats
+from .token_counts import count_tokens
 from .weak_labels import classify
 
 
@@ -66,8 +67,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(periodic_runs(documents, text=looped(F.col("text"), F.col("doc_id"))).drop("text"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
+    return counted.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_tokens").alias("n_tokens"), F.col("_over_limit").alias("over_limit"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op6_nbest_segmentation, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup, op11_periodic_runs)}
+    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op6_nbest_segmentation, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup, op11_periodic_runs, op12_token_counts)}
 
 SQL = {
     "op1_exact_dedup": r"""
