@@ -16,6 +16,7 @@ from .periodic_runs import digest, looped, periodic_runs
 from .prefix_join import shingle_components
 from .rank_profiles import languages
 from .repeats import cut_repeats
+from .token_alignment import alignment
 from .token_counts import count_tokens
 from .weak_labels import classify
 
@@ -73,8 +74,13 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("_n_bytes").alias("n_bytes"), F.col("_n_tokens").alias("n_tokens"), F.col("_over_limit").alias("over_limit"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op6_nbest_segmentation, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup, op11_periodic_runs, op12_token_counts)}
+    op1_exact_dedup, op2_robust_outliers, op3_block_labeller, op4_weak_labels, op5_best_fit_packing, op6_nbest_segmentation, op7_rank_profiles, op8_fuzzy_lines, op9_ngram_jaccard, op10_suffix_array_dedup, op11_periodic_runs, op12_token_counts,
+    op13_token_alignment)}
 
 SQL = {
     "op1_exact_dedup": r"""
