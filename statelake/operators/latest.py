@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,3 +35,24 @@ def latest_per_group(per_snapshot: DataFrame, keys: Sequence[str], ts: str = "ts
         .agg(F.max_by(F.struct(*rest), F.col(ts)).alias("_row"))
         .select(*keys, "_row.*")
     )
+
+
+def instants(tables: Mapping[str, DataFrame], name: str) -> tuple[DataFrame, list[str]] | None:
+    """The newest instants of a table, and their days, where it is a stored one that names them."""
+    return getattr(tables, "newest", {}).get(name)
+
+
+def at_newest(df: DataFrame, newest: tuple[DataFrame, list[str]] | None, keys: Sequence[str]) -> DataFrame:
+    """Rows of each key's newest instant where a stored table names these instants, otherwise all rows.
+
+    ``newest`` has (entity ..., ts) with ``keys`` among the entity's columns, and the days that
+    hold them: other days are not read.
+    """
+    if newest is None:
+        return df
+    known, days = newest
+    instants = known.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("ts").alias("_newest"))
+    same = F.col("ts") == F.col("_newest")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.where(F.col("date").isin([date.fromisoformat(d) for d in days])).join(instants, same, "left_semi")

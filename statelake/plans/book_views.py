@@ -1,7 +1,8 @@
 """Views over holder books (all holders of a market at one instant).
 
+A stored book is read at the newest instants it names, from the days that hold them.
 Each snapshot is reduced by partial aggregation before anything is shuffled and
-the newest one is picked from the reduced rows, so the book itself is neither
+the newest one is picked from the reduced rows, so a book that names none is neither
 joined to its own maximum nor gathered per market.
 """
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statelake.functions import double, human, share_pct
-from statelake.operators import count_where, latest_per_group, top_k_sum
+from statelake.operators import at_newest, count_where, instants, latest_per_group, top_k_sum
 
 from .market_views import MARKET, Tables, collateral_label, with_dimension
 
@@ -20,9 +21,10 @@ NEAR_LIQUIDATION = 1.05
 TOP = 3
 
 
-def _newest_book(book: DataFrame, t: Tables, amount: str, *aggs) -> DataFrame:
+def _newest_book(t: Tables, name: str, amount: str, *aggs) -> DataFrame:
     """Aggregates, the total and the top-k sum of every market's newest snapshot."""
     snapshot = [*MARKET, "ts"]
+    book = at_newest(t[name], instants(t, name), MARKET)
     totals = book.groupBy(*snapshot).agg(
         F.count(F.lit(1)).alias("_holders"), double(F.sum(amount)).alias("_total"), *aggs
     )
@@ -36,7 +38,7 @@ def v_position_risk(t: Tables) -> DataFrame:
     """Debt close to liquidation and debt concentration."""
     near = F.col("health_factor") < NEAR_LIQUIDATION
     df = _newest_book(
-        t["positions"], t, "borrow_assets",
+        t, "positions", "borrow_assets",
         F.min("health_factor").alias("min_hf"),
         count_where(near).alias("borrowers_hf_lt_105"),
         F.coalesce(double(F.sum(F.when(near, F.col("borrow_assets")))), F.lit(0.0)).alias("_near"),
@@ -57,7 +59,7 @@ def v_supplier_concentration(t: Tables) -> DataFrame:
     amount = double("supply_assets")
     by_size = F.struct((-amount).alias("size"), F.col("supplier"))
     df = _newest_book(
-        t["supplier_positions"], t, "supply_assets",
+        t, "supplier_positions", "supply_assets",
         F.min_by("supplier", F.when(amount.isNotNull(), by_size)).alias("top1_supplier"),
         F.max(amount).alias("_largest"),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from statelake.functions import iso_utc, wad, text_price
 from statelake.session import shared_dir
-from statelake.operators import ago, count_where, latest_rows, newest, since, spread_to_leader, sum_where
+from statelake.operators import ago, count_where, instants, latest_rows, newest, since, spread_to_leader, sum_where
 
 from .book_views import v_position_risk, v_supplier_concentration
 from .catalog import buildable
@@ -46,7 +46,7 @@ def latest_market_panel(t: Tables, as_of: Column | None = None) -> DataFrame:
     samples; only each market's newest row meets the other tables.
     """
     # Peers of one instant are all inside the cut, so it leaves the spread as it is.
-    panel = health_panel(t, ago(newest(t["market_state"]), hours=FRESH_HOURS))
+    panel = health_panel(t, ago(newest(newest_source(t, "market_state")), hours=FRESH_HOURS))
     newest_rows = latest_rows(rated_columns(panel), MARKET)
     # One row per market: no group can be large.
     checked = oracle_deviation(newest_rows.withColumnRenamed("_loan_token", "loan_token"), t["prices"], max_rows=None)
@@ -105,7 +105,7 @@ def recent_tape(t: Tables, anchor: Column, days: int) -> Tables:
 
 def flow_summary(t: Tables) -> DataFrame:
     """Gross and net flow per market over windows that end at the newest event."""
-    anchor = newest(t["market_flows"])
+    anchor = newest(newest_source(t, "market_flows"))
     ts, s, b = F.col("ts"), F.col("supply_flow"), F.col("borrow_flow")
     recent = v_market_flows(recent_tape(t, anchor, LIQUIDATION_DAYS))
     aggs = [F.any_value("loan_symbol", ignoreNulls=True).alias("loan_symbol")]
@@ -122,7 +122,7 @@ def flow_summary(t: Tables) -> DataFrame:
 
 
 def flow_history(t: Tables) -> DataFrame:
-    anchor = newest(t["market_flows"])
+    anchor = newest(newest_source(t, "market_flows"))
     # An hour is listed when it starts inside the look-back, so its events do too.
     tape = recent_tape(t, anchor, FLOW_HISTORY_DAYS)
     df = v_market_netflow(tape).where(F.col("ts") >= ago(anchor, days=FLOW_HISTORY_DAYS))
@@ -130,7 +130,7 @@ def flow_history(t: Tables) -> DataFrame:
 
 
 def whale_feed(t: Tables) -> DataFrame:
-    anchor = newest(t["market_flows"])
+    anchor = newest(newest_source(t, "market_flows"))
     return v_whale_flows(recent_tape(t, anchor, WHALE_DAYS)).select(
         "ts", *MARKET, "loan_symbol", "tx_hash", "type", "account", "flow",
         (F.col("pct_of_supply") / 100.0).alias("pct_of_supply"),
@@ -138,7 +138,7 @@ def whale_feed(t: Tables) -> DataFrame:
 
 
 def liquidation_feed(t: Tables) -> DataFrame:
-    anchor = newest(t["market_flows"])
+    anchor = newest(newest_source(t, "market_flows"))
     return v_liquidations(recent_tape(t, anchor, LIQUIDATION_DAYS)).select(
         "ts", *MARKET, "loan_symbol", "collateral_symbol", "tx_hash", "borrower", "liquidator",
         "repaid_assets", "seized_assets", "bad_debt_assets", "repaid_usd", "seized_usd",
@@ -286,6 +286,12 @@ def spell_elements(spells: DataFrame, *numbers: str) -> DataFrame:
     )
 
 
+def newest_source(t: Tables, name: str) -> DataFrame:
+    """What has the newest instant of a table: its named instants, or all its rows."""
+    known = instants(t, name)
+    return t[name] if known is None else known[0]
+
+
 # --- documents ---------------------------------------------------------------
 
 
@@ -380,7 +386,7 @@ def run_export(spark: SparkSession, tables: Tables, folder: str, generated_at: d
     if "v_util_spells" in have:
         write("util_spells.json", {"spells": spell_elements(open_util_spells(tables), "peak_u")})
     if "v_market_flows" in have:
-        through = newest(tables["market_flows"])
+        through = newest(newest_source(tables, "market_flows"))
         lists = {
             "markets": market_flow_elements(tables),
             "whale_flows": whale_elements(tables) if "v_whale_flows" in have else None,

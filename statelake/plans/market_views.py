@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from statelake.functions import apy_at_target, borrow_rate, compound_three_terms, double, human, micros, text_price, wad
 from statelake.operators import (
-    ago, asof_join, avg_where, indicator, latch, latest_rows, latest_value, none_within, seen_within, spread_to_leader,
+    ago, asof_join, at_newest, avg_where, indicator, instants, latch, latest_rows, latest_value, none_within, seen_within, spread_to_leader,
     throughout, tier,
 )
 
@@ -80,7 +80,7 @@ def v_liquidity_risk(t: Tables) -> DataFrame:
 
 def v_market_snapshot(t: Tables) -> DataFrame:
     """The newest sample of every market with its whole dimension."""
-    newest = latest_rows(t["market_state"], MARKET)
+    newest = latest_rows(at_newest(t["market_state"], instants(t, "market_state"), MARKET), MARKET)
     df = with_dimension(newest, t, *[c for c in t["markets"].columns if c not in MARKET])
     return df.select(
         "ts", *MARKET, "loan_symbol", collateral_label(), "loan_token", "collateral_token", "oracle", "irm",

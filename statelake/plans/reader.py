@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from copy import copy
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statelake.operators import latest_rows
+from statelake.operators import at_newest, instants, latest_rows
 from statelake.sources.store import Lake
 
 from . import catalog
@@ -49,7 +50,7 @@ class Reader:
     def refresh(self) -> None:
         """Look again at what is stored and register the views it allows."""
         if isinstance(self._source, Mapping):
-            self._tables = dict(self._source)
+            self._tables = self._source
         else:
             self._tables = Lake(self.spark, self._source).tables()
         self._names = catalog.register(self.spark, self._tables)
@@ -63,18 +64,23 @@ class Reader:
         return self.spark.sql(query, args=params) if params else self.spark.sql(query)
 
     def _view(self, name: str, since: str | datetime | None = None, table: str | None = None) -> DataFrame:
-        tables = dict(self._tables)
-        if table is not None:
-            tables[table] = pruned(tables[table], since)
-        return _BUILD[name](tables)
+        tables = self._tables
+        return _BUILD[name](tables if table is None else self._with(table, pruned(tables[table], since)))
+
+    def _with(self, name: str, df: DataFrame) -> Mapping[str, DataFrame]:
+        """The tables with another one in a table's place."""
+        tables = copy(self._tables)
+        tables[name] = df
+        return tables
 
     def market_state(self, loan: str | None = None, collateral: str | None = None, since=None) -> DataFrame:
         df = self._view("v_market_state", since, "market_state")
         return df.where(only(since, loan_symbol=loan, collateral_symbol=collateral)).orderBy("market_id", "ts")
 
     def market_state_latest(self) -> DataFrame:
-        newest = {**self._tables, "market_state": latest_rows(self._tables["market_state"], ["chain_id", "market_id"])}
-        return _BUILD["v_market_state"](newest)
+        keys, t = ["chain_id", "market_id"], self._tables
+        newest = latest_rows(at_newest(t["market_state"], instants(t, "market_state"), keys), keys)
+        return _BUILD["v_market_state"](self._with("market_state", newest))
 
     def liquidity_risk(self) -> DataFrame:
         return self._view("v_liquidity_risk").orderBy(F.col("pct_time_gt99").desc_nulls_last())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statelake.functions import human, share_pct
-from statelake.operators import latest_rows, share_within, with_previous
+from statelake.operators import at_newest, instants, latest_rows, share_within, with_previous
 
 from .market_views import Tables, collateral_label, with_dimension
 
@@ -26,7 +26,7 @@ def v_vault_allocations(t: Tables) -> DataFrame:
 
 def v_vault_snapshot(t: Tables) -> DataFrame:
     """Each vault's current allocation, share of the vault and cap usage."""
-    now = share_within(latest_rows(t["vault_allocations"], ["vault"]), ["vault"], "supply_assets", "weight_pct")
+    now = share_within(latest_rows(at_newest(t["vault_allocations"], instants(t, "vault_allocations"), ["vault"]), ["vault"]), ["vault"], "supply_assets", "weight_pct")
     df = with_dimension(now, t, "loan_symbol", "collateral_symbol", "loan_decimals")
     return df.select(
         "ts", "vault", "loan_symbol", collateral_label(), "market_id",
@@ -39,7 +39,7 @@ def v_vault_snapshot(t: Tables) -> DataFrame:
 
 def v_vault_drift(t: Tables) -> DataFrame:
     """Re-allocations: a market's share of its vault moved by more than the floor
-    since the previous sample. A first sighting is no move. Newest first."""
+    since the previous sample. A first sighting is no move."""
     seen = t["vault_allocations"].where("supply_assets is not null")
     df = share_within(seen, ["vault", "ts"], "supply_assets", "weight_pct")
     df = with_dimension(df, t, "loan_symbol", "collateral_symbol", "loan_decimals")

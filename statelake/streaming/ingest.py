@@ -13,24 +13,25 @@ from statelake.sources.store import Lake
 from statelake.tables import BOT_EVENTS, BOT_SCORES, TableSpec
 
 
-def keyed_merge(lake: Lake, spec: TableSpec) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function. The merge is keyed, so a micro-batch that is
-    replayed after a failure changes nothing."""
+def keyed_merge(lake: Lake, spec: TableSpec, order: Column, source: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function. Of rows with equal keys in a micro-batch the greatest by
+    ``order`` stays, which should leave no ties between different rows. A micro-batch that is
+    replayed after a failure is known by ``source`` and its number and left out."""
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
+    def merge(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # a merge reads its batch more than once
         try:
-            lake.upsert(spec, batch)
+            lake.upsert(spec, batch, order, (source, batch_id))
         finally:
             batch.unpersist()
 
     return merge
 
 
-def start_merge(stream: DataFrame, lake: Lake, spec: TableSpec, checkpoint: str) -> StreamingQuery:
+def start_merge(stream: DataFrame, lake: Lake, spec: TableSpec, checkpoint: str, order: Column) -> StreamingQuery:
     """Merges everything that is available now, in bounded micro-batches."""
     return (
-        stream.writeStream.foreachBatch(keyed_merge(lake, spec))
+        stream.writeStream.foreachBatch(keyed_merge(lake, spec, order, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,7 +1,8 @@
 """The thirteen stored tables: schema, identity and partitioning.
 
 Amounts are exact base-unit integers, DECIMAL(38,0); derived metrics are doubles
-computed at query time. ``key`` is the identity a merge works on.
+computed at query time. ``key`` is the identity a merge works on, ``entity`` what
+a sample or event is of: a table's newest instants are kept per entity.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ class TableSpec:
     name: str
     ddl: str
     key: tuple[str, ...]
+    entity: tuple[str, ...] = ()
     partitioned: bool = True  # one partition per UTC day of ``ts``
     schema: T.StructType = field(init=False, compare=False)
 
@@ -56,6 +58,7 @@ MARKET_STATE = TableSpec(
     "total_borrow_assets exact, total_borrow_shares exact, rate_at_target exact, utilization real, "
     "oracle_price_raw text, api_timestamp ts, source text",
     ("chain_id", "market_id", "ts"),
+    ("chain_id", "market_id"),
 )
 MARKETS = TableSpec(
     "markets",
@@ -70,23 +73,27 @@ VAULT_ALLOCATIONS = TableSpec(
     "ts ts, chain_id int, vault text, market_id text, supply_assets exact, supply_shares exact, "
     "supply_cap exact, source text",
     ("chain_id", "vault", "market_id", "ts"),
+    ("chain_id", "vault"),
 )
 POSITIONS = TableSpec(
     "positions",
     "ts ts, chain_id int, market_id text, borrower text, collateral exact, borrow_shares exact, "
     "borrow_assets exact, supply_shares exact, health_factor real",
     ("chain_id", "market_id", "borrower", "ts"),
+    ("chain_id", "market_id"),
 )
 PRICES = TableSpec(
     "prices",
     "ts ts, chain_id int, token_address text, price_usd real, source text, confidence real",
     ("chain_id", "token_address", "ts"),
+    ("chain_id", "token_address"),
 )
 YIELD_POOLS = TableSpec(
     "yield_pools",
     "ts ts, pool_id text, chain text, project text, symbol text, tvl_usd real, apy real, "
     "apy_base real, apy_reward real",
     ("pool_id", "ts"),
+    ("pool_id",),
 )
 LEGACY_SNAPSHOTS = TableSpec(
     "legacy_snapshots",
@@ -94,6 +101,7 @@ LEGACY_SNAPSHOTS = TableSpec(
     "utilization real, borrow_apy real, supply_apy real, available_liquidity real, "
     "vault_allocation real, source_file text",
     ("chain_id", "market_id", "ts"),
+    ("chain_id", "market_id"),
 )
 BOT_SCORES = TableSpec(
     "bot_scores",
@@ -101,18 +109,21 @@ BOT_SCORES = TableSpec(
     "loan_symbol text, u real, apy real, exit_ratio real, score real, gate text, vault_assets exact, "
     "total_assets exact, idle_assets exact, source_file text",
     ("vault", "ts", "market_id"),
+    ("chain_id", "vault"),
 )
 BOT_EVENTS = TableSpec(
     "bot_events",
     "ts ts, chain_id int, tick_id text, seq int, type text, tx_hash text, block_number exact, "
     "payload text, source_file text",
     ("tick_id", "seq"),
+    ("chain_id",),
 )
 VAULT_V2_STATE = TableSpec(
     "vault_v2_state",
     "ts ts, chain_id int, vault text, total_assets exact, idle_assets exact, total_supply exact, "
     "share_price real, total_assets_usd real",
     ("chain_id", "vault", "ts"),
+    ("chain_id", "vault"),
 )
 MARKET_FLOWS = TableSpec(
     "market_flows",
@@ -120,17 +131,20 @@ MARKET_FLOWS = TableSpec(
     "account text, assets exact, shares exact, liquidator text, repaid_assets exact, "
     "seized_assets exact, bad_debt_assets exact",
     ("tx_hash", "log_index"),
+    ("chain_id", "market_id"),
 )
 SUPPLIER_POSITIONS = TableSpec(
     "supplier_positions",
     "ts ts, chain_id int, market_id text, supplier text, supply_shares exact, supply_assets exact",
     ("chain_id", "market_id", "supplier", "ts"),
+    ("chain_id", "market_id"),
 )
 VAULT_V2_FLOWS = TableSpec(
     "vault_v2_flows",
     "ts ts, chain_id int, vault text, block_number exact, tx_hash text, log_index int, type text, "
     "sender text, receiver text, on_behalf text, assets exact, shares exact",
     ("tx_hash", "log_index"),
+    ("chain_id", "vault"),
 )
 
 TABLES: dict[str, TableSpec] = {

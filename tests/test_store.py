@@ -49,9 +49,9 @@ def test_rows_go_to_their_utc_day(lake, table, tmp_path):
 def test_untouched_days_are_not_rewritten(lake, table, tmp_path):
     lake.upsert(PRICES, table("prices", [price("a", T0, 1.0), price("a", T0 + hours(24), 2.0)]))
     day = tmp_path / "lake" / "prices" / "date=2026-03-02"
-    before = sorted((p.name, p.stat().st_mtime_ns) for p in day.glob("*.parquet"))
+    before = sorted((p.name, p.stat().st_mtime_ns) for p in day.rglob("*.parquet"))
     lake.upsert(PRICES, table("prices", [price("a", T0 + hours(25), 3.0)]))
-    assert sorted((p.name, p.stat().st_mtime_ns) for p in day.glob("*.parquet")) == before
+    assert sorted((p.name, p.stat().st_mtime_ns) for p in day.rglob("*.parquet")) == before
 
 
 def test_insert_missing_never_changes_a_row(lake, table):

@@ -67,7 +67,7 @@ def test_micro_batches_merge_by_key(spark, table, tmp_path):
     drop(folder, table("market_flows", events[2:]), "b")
     lake = Lake(spark, str(tmp_path / "lake"))
     for run in ("one", "two"):  # the second checkpoint starts over: everything is replayed
-        start_merge(source(spark, folder, MARKET_FLOWS), lake, MARKET_FLOWS, str(tmp_path / run)).awaitTermination()
+        start_merge(source(spark, folder, MARKET_FLOWS), lake, MARKET_FLOWS, str(tmp_path / run), F.col("block_number")).awaitTermination()
         assert lake.scan(MARKET_FLOWS).count() == 6
     assert lake.scan(MARKET_FLOWS).select("date").distinct().count() == 2
 

@@ -244,7 +244,7 @@ def streamed_merge(g: Given) -> DataFrame:
     lake, base = fresh_lake(g), f"{shared_dir(g.spark)}/merge-{uuid.uuid4().hex}"
     live = StreamGiven(g.spark, g.dir)
     for attempt in range(2):
-        start_merge(live.market_flows(), lake, MARKET_FLOWS, f"{base}/{attempt}").awaitTermination()
+        start_merge(live.market_flows(), lake, MARKET_FLOWS, f"{base}/{attempt}", F.col("block_number")).awaitTermination()
     return lake.scan(MARKET_FLOWS).select("date", "tx_hash", "log_index", "type").withColumn("date", F.col("date").cast("string"))
 
 
