@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statelake.sources.event_log import event_rows, log_source, number_lines, score_rows, split_lines
+from statelake.sources.log_tail import CHUNK_BYTES, LOG_PROGRESS, numbered, stretches, tail_source
 from statelake.sources.store import Lake
 from statelake.tables import BOT_EVENTS, BOT_SCORES, TableSpec
 
@@ -38,25 +39,58 @@ def start_merge(stream: DataFrame, lake: Lake, spec: TableSpec, checkpoint: str,
     )
 
 
+def _store_lines(lines: DataFrame, lake: Lake, rejected: str, source: tuple[str, int]) -> None:
+    """Numbered lines to the score and event tables, unreadable ones to a side folder."""
+    split = split_lines(lines).persist()
+    place = F.struct("source_file", "seq")
+    try:
+        lake.upsert(BOT_SCORES, score_rows(split), place, source)
+        lake.upsert(BOT_EVENTS, event_rows(split), place, source)
+        bad = split.where(~F.col("ok")).select("source_file", "seq", "line")
+        bad.write.mode("overwrite").json(f"{rejected}/batch={source[1]}")
+    finally:
+        split.unpersist()
+
+
 def ingest_logs(spark: SparkSession, folder: str, lake: Lake, rejected: str, checkpoint: str) -> StreamingQuery:
     """Sealed log files to the score and event tables, unreadable lines to a side folder.
 
-    The file source reads a path once: files that still grow belong to the batch
-    reader, whose merge is keyed and may read a file again.
+    The file source reads a path once: files that still grow are for ``ingest_growing_logs``.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        _store_lines(number_lines(batch), lake, rejected, (checkpoint, batch_id))
+
+    return (
+        log_source(spark.readStream.option("maxFilesPerTrigger", 1000), folder)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def ingest_growing_logs(
+    spark: SparkSession, folder: str, lake: Lake, rejected: str, checkpoint: str, chunk_bytes: int = CHUNK_BYTES
+) -> StreamingQuery:
+    """What log files have grown by since the last run; a line that is not finished waits for its end.
+
+    Line numbers go on where the table of progress says the file was left. That table is
+    written last, so a batch that failed half-way is run again from the same numbers.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        split = split_lines(number_lines(batch)).persist()
+        batch.persist()
         try:
-            lake.upsert(BOT_SCORES, score_rows(split), F.col("seq"))
-            lake.upsert(BOT_EVENTS, event_rows(split), F.col("seq"))
-            bad = split.where(~F.col("ok")).select("source_file", "seq", "line")
-            bad.write.mode("overwrite").json(f"{rejected}/batch={batch_id}")
+            placed = stretches(batch, lake.scan(LOG_PROGRESS))
+            _store_lines(numbered(batch, placed), lake, rejected, (checkpoint, batch_id))
+            progress = placed.select(*LOG_PROGRESS.columns).distinct()
+            lake.upsert(LOG_PROGRESS, progress, F.col("reached"), (checkpoint, batch_id))
         finally:
-            split.unpersist()
+            batch.unpersist()
 
     return (
-        log_source(spark.readStream.option("maxFilesPerTrigger", 1000), folder)
+        tail_source(spark, folder, chunk_bytes)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

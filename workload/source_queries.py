@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from statelake.plans import market_views, spell_views
 from statelake.plans.reader import Reader
 from statelake.session import shared_dir
 from statelake.sources import Lake, payloads, snapshots
 from statelake.sources.event_log import event_rows, read_log, score_rows, split_lines
-from statelake.streaming.ingest import ingest_logs
+from statelake.streaming.ingest import ingest_growing_logs, ingest_logs
 from statelake.tables import BOT_EVENTS, BOT_SCORES
 
 from .adapters import Given
@@ -69,6 +70,38 @@ def streamed_logs(g: Given) -> DataFrame:
     return events.union(scores).union(bad)
 
 
+def grown_logs(g: Given) -> DataFrame:
+    """Files read when they held the first half of their lines, and again when they had grown, with line numbers going on."""
+    base = f"{shared_dir(g.spark)}/grown-{uuid.uuid4().hex}"
+    lake = Lake(g.spark, f"{base}/lake")
+    lines = log_lines(g).select(F.col("source_file").alias("file"), "line", "seq")
+    sizes = lines.groupBy("file").agg((F.count(F.lit(1)) / 2).alias("half"))
+    numbered = lines.withColumn("place", F.row_number().over(Window.partitionBy("file").orderBy("seq")))
+    folder = named_files(g, numbered.join(sizes, "file").where("place <= half"), "seq")
+
+    def run() -> None:
+        ingest_growing_logs(g.spark, folder, lake, f"{base}/rejected", f"{base}/checkpoint", chunk_bytes=1 << 16).awaitTermination()
+
+    run()
+    moved(g, named_files(g, lines, "seq"), folder)
+    run()
+    events = lake.scan(BOT_EVENTS).select("tick_id", F.col("type").alias("kind"), "source_file", "seq")
+    scores = lake.scan(BOT_SCORES).select("tick_id", F.concat(F.lit("score "), "market_id").alias("kind"), "source_file", F.lit(-1).alias("seq"))
+    bad = g.spark.read.schema("source_file string, seq int, line string").json(f"{base}/rejected").select(
+        F.regexp_extract("line", '"tickId":"(t[0-9]+)"', 1).alias("tick_id"), F.lit("rejected").alias("kind"), "source_file", "seq")
+    return events.union(scores).union(bad)
+
+
+def moved(g: Given, folder: str, target: str) -> None:
+    """A folder's files, one a day, in the place of those of their names."""
+    path = g.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(g.spark.sparkContext._jsc.hadoopConfiguration())
+    for file in fs.listStatus(path(folder)):
+        final = path(f"{target}/{file.getPath().getName()}")
+        fs.delete(final, False)
+        fs.rename(file.getPath(), final)
+
+
 def snapshot_files(g: Given) -> DataFrame:
     """One document per day, written to a file of its own and read back."""
     days = g.events().groupBy(F.date_trunc("day", "ts").alias("day")).agg(F.concat_ws(",", F.collect_list(legacy_entry())).alias("body"))
@@ -132,6 +165,13 @@ SOURCE_QUERIES = [
             FROM events WHERE event_type <> 'view'
             UNION ALL SELECT 't' || event_id, {DAY_FILE}, 'score m' || user_id || '_' || n FROM events, (VALUES (1), (2)) AS k(n) WHERE event_type = 'view'""",
     ),
+    Query(
+        "stream_growing_logs", grown_logs,
+        f"""SELECT 't' || event_id AS tick_id, source_file, seq,
+                   CASE event_type WHEN 'click' THEN 'tx_confirmed' WHEN 'signup' THEN 'tick_start' WHEN 'purchase' THEN 'error' ELSE 'rejected' END AS kind
+            FROM {NUMBERED} WHERE event_type <> 'view'
+            UNION ALL SELECT 't' || event_id, source_file, -1, 'score m' || user_id || '_' || n FROM {NUMBERED}, (VALUES (1), (2)) AS k(n) WHERE event_type = 'view'""",
+    ),
     Query(
         "snapshot_files", snapshot_files,
         """SELECT date_trunc('day', ts) AS ts, 999 AS chain_id, 'm' || user_id AS market_id, 'S' || user_id AS symbol, '0xl' || user_id AS loan_token,
