@@ -99,24 +99,18 @@ def ingest_growing_logs(
 
 
 def last_in_bucket(
-    stream: DataFrame, keys: Sequence[str], seconds: int, lateness: str = "1 hour", ts: str = "ts"
+    stream: DataFrame, keys: Sequence[str], seconds: int, lateness: str = "1 hour", ts: str = "ts", tie: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per key and cadence bucket, the newest sample's; update mode.
 
-    State is dropped once a bucket is later than the watermark.
+    Of samples of one instant the one with the greatest ``tie`` columns stays, by default the
+    greatest of all values. State is dropped once a bucket is later than the watermark.
     """
     values = [c for c in stream.columns if c not in keys and c != ts]
+    order = F.struct(ts, *(values if tie is None else tie))
     return (
         stream.withWatermark(ts, lateness)
         .groupBy(F.window(ts, f"{seconds} seconds"), *keys)
-        .agg(F.max_by(F.struct(*values), F.col(ts)).alias("_last"))
+        .agg(F.max_by(F.struct(*values), order).alias("_last"))
         .select(F.col("window.start").alias(ts), *keys, "_last.*")
     )
-
-
-def online_latch(stream: DataFrame, keys: Sequence[str], event: Column, ts: str = "ts") -> DataFrame:
-    """Hysteresis state per entity as samples arrive: the newest non-NULL event
-    decides, whatever order samples come in. State is one row per entity; use
-    update or complete mode."""
-    last = F.max_by(event, F.when(event.isNotNull(), F.col(ts)))
-    return stream.groupBy(*keys).agg((F.coalesce(last, F.lit(0)) == 1).alias("inside"))

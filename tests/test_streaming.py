@@ -1,11 +1,14 @@
 """Streams against their batch answers."""
 
+import random
+
 from helpers import CHAIN, T0, dim, flow, hours, rows
 from pyspark.sql import functions as F
 
 from statelake.plans.flow_views import v_market_netflow
 from statelake.sources import Lake
 from statelake.streaming import deduplicated, hourly_net_flow, last_in_bucket, online_latch, start_merge
+from statelake.streaming.latches import fold
 from statelake.tables import MARKET_FLOWS, PRICES
 
 
@@ -83,18 +86,54 @@ def test_last_sample_of_closed_buckets(spark, table, tmp_path):
     assert [(r["ts"].minute, r["price_usd"]) for r in got] == [(0, 2.0), (15, 3.0)]
 
 
-def test_online_hysteresis_ignores_arrival_order(spark, table, tmp_path):
-    late = [("a", 3, 0.9), ("a", 1, 0.1), ("b", 1, 0.9), ("b", 2, 0.5), ("c", 1, 0.5)]
-    samples = [{"ts": T0 + hours(h), "chain_id": CHAIN, "token_address": k, "price_usd": v} for k, h, v in late]
+def latch_runs(spark, table, tmp_path, batches, **law):
+    """Rows that the latch has shown, batch by batch; a run for each file, so that watermarks pass."""
     folder = tmp_path / "in"
     folder.mkdir()
-    drop(folder, table("prices", samples[:1]), "a")
-    drop(folder, table("prices", samples[1:]), "b")
     event = F.when(F.col("price_usd") > 0.8, 1).when(F.col("price_usd") < 0.2, 0)
-    states = online_latch(source(spark, folder, PRICES), ["token_address"], event)
-    query = (
-        states.writeStream.outputMode("complete").option("checkpointLocation", str(tmp_path / "cp"))
-        .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{tmp_path}/out")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert {r["token_address"]: r["inside"] for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {"a": True, "b": True, "c": False}
+    shown = []
+    for n, samples in enumerate(batches):
+        drop(folder, table("prices", [
+            {"ts": T0 + hours(h), "chain_id": i, "token_address": k, "price_usd": v} for i, (k, h, v) in enumerate(samples)]), f"f{n}")
+        states = online_latch(source(spark, folder, PRICES), ["token_address"], event, F.col("chain_id"), **law)
+        query = (
+            states.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp"))
+            .foreachBatch(lambda df, _: shown.append(sorted((r.token_address, r.inside, r.held, r.expired) for r in df.collect())))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    return [x for x in shown if x]
+
+
+def test_online_hysteresis_ignores_arrival_order(spark, table, tmp_path):
+    batches = [[("a", 3, 0.9)], [("a", 2.5, 0.1), ("b", 2.9, 0.9), ("b", 3, 0.5), ("c", 3, 0.5)], [("a", 3, 0.1), ("a", 3, 0.5)]]
+    shown = latch_runs(spark, table, tmp_path, batches)
+    # Of one instant the later place decides; an entity whose state stays is not shown.
+    assert shown == [[("a", True, False, False)], [("b", True, False, False), ("c", False, False, False)]]
+
+
+def test_latch_timers(spark, table, tmp_path):
+    batches = [
+        [("a", 1, 0.9), ("b", 1, 0.9), ("b", 2, 0.1), ("z", 2, 0.5)], [("z", 5.5, 0.5)],
+        # Late, but within the lateness: the spell began anew at 5.
+        [("a", 4.8, 0.1), ("a", 5, 0.9), ("z", 9, 0.5)], [("z", 30, 0.5)], [("z", 31, 0.5)],
+    ]
+    shown = latch_runs(spark, table, tmp_path, batches, dwell_seconds=3 * 3600, expiry_seconds=12 * 3600)
+    assert shown[0] == [("a", True, False, False), ("b", False, False, False), ("z", False, False, False)]
+    changes = [x for batch in shown[1:] for x in batch]
+    assert changes == [("a", True, True, False), ("a", True, False, False), ("a", True, True, False), ("a", False, False, True), ("b", False, False, True)]
+
+
+def test_fold_is_the_state_after_all_events():
+    rnd = random.Random(5)
+    for _ in range(300):
+        events = [(rnd.randrange(20), rnd.randrange(3), rnd.randrange(2)) for _ in range(rnd.randrange(12))]
+        inside, since = False, None
+        for at, _tie, event in sorted(events):
+            since = (since if inside else at) if event else None
+            inside = bool(event)
+        shuffled = rnd.sample(events, len(events))
+        assert fold(False, None, shuffled) == (inside, since)
+        border = rnd.randrange(20)
+        early, late = [e for e in events if e[0] <= border], [e for e in events if e[0] > border]
+        assert fold(*fold(False, None, early), late) == (inside, since)

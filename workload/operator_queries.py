@@ -17,8 +17,8 @@ from statelake.plans.reader import Reader
 from statelake.session import shared_dir
 from statelake.sources import Lake, resume_from
 from statelake.sources.store import coerce, merge_rows, missing_rows
-from statelake.streaming import deduplicated, hourly_net_flow, last_in_bucket, online_latch, start_merge
-from statelake.tables import MARKET_FLOWS, MARKETS, PRICES, TABLES
+from statelake.streaming import deduplicated, hourly_net_flow, keyed_merge, last_in_bucket, online_latch, start_merge
+from statelake.tables import MARKET_FLOWS, MARKETS, PRICES, TABLES, TableSpec
 
 from .adapters import GIVEN_SCHEMAS, Given, chain, market
 from .prelude import with_tables
@@ -251,21 +251,23 @@ def streamed_merge(g: Given) -> DataFrame:
 def streamed_buckets(g: Given) -> DataFrame:
     """Newest sample per entity and 900 s bucket, for buckets the watermark has closed."""
     samples = stream_of(g, "events").select("user_id", "ts", "value", "event_id")
-    return run_to_table(g, last_in_bucket(samples, ["user_id"], 900), "buckets")
+    return run_to_table(g, last_in_bucket(samples, ["user_id"], 900, tie=["event_id"]), "buckets")
+
+
+LATCHES = TableSpec("latches", "user_id exact, inside flag, since ts, held flag", ("user_id",), partitioned=False)
 
 
 def streamed_latch(g: Given) -> DataFrame:
-    """Each micro-batch replaces the table of current states, one row per entity."""
-    base = f"{shared_dir(g.spark)}/latch-{uuid.uuid4().hex}"
+    """Changed states of each micro-batch are merged into a stored table, one row per entity."""
+    lake, base = fresh_lake(g), f"{shared_dir(g.spark)}/latch-{uuid.uuid4().hex}"
     event = F.when(F.col("value") > 80, 1).when(F.col("value") < 10, 0)
-    states = online_latch(stream_of(g, "events"), ["user_id"], event)
+    states = online_latch(stream_of(g, "events"), ["user_id"], event, F.col("event_id"), dwell_seconds=6 * 3600)
     query = (
-        states.writeStream.outputMode("complete")
-        .foreachBatch(lambda df, _id: df.write.mode("overwrite").parquet(f"{base}/out"))
+        states.writeStream.outputMode("update").foreachBatch(keyed_merge(lake, LATCHES, F.col("expired"), base))
         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return g.spark.read.schema(states.schema).parquet(f"{base}/out")
+    return lake.scan(LATCHES).select(F.col("user_id").cast("long").alias("user_id"), "inside", F.col("since").cast("string").alias("since"), "held")
 
 
 # --- registration ------------------------------------------------------------
@@ -495,14 +497,19 @@ OPERATOR_QUERIES = [
     ),
     Query(
         "stream_last_in_bucket", streamed_buckets,
-        """SELECT time_bucket(INTERVAL 900 SECONDS, ts) AS ts, user_id, arg_max(value, ts) AS value, arg_max(event_id, ts) AS event_id
+        """SELECT time_bucket(INTERVAL 900 SECONDS, ts) AS ts, user_id, arg_max(value, (ts, event_id)) AS value, arg_max(event_id, (ts, event_id)) AS event_id
            FROM events GROUP BY time_bucket(INTERVAL 900 SECONDS, ts), user_id
            HAVING time_bucket(INTERVAL 900 SECONDS, min(ts)) + INTERVAL 900 SECONDS <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
         {"value": 6},
     ),
     Query(
         "stream_latch", streamed_latch,
-        """SELECT user_id, coalesce(arg_max(CASE WHEN value > 80 THEN 1 WHEN value < 10 THEN 0 END, ts), 0) = 1 AS inside
-           FROM events GROUP BY user_id""",
+        """WITH marks AS (SELECT user_id, ts, event_id, CASE WHEN value > 80 THEN 1 WHEN value < 10 THEN 0 END AS mark FROM events),
+                ends AS (SELECT user_id, max(ts) FILTER (mark = 0) AS left_at, coalesce(max(ts) FILTER (mark = 1), TIMESTAMP '1970-01-01') > coalesce(left_at, TIMESTAMP '1970-01-01') AS inside
+                         FROM marks GROUP BY user_id),
+                spells AS (SELECT e.user_id, any_value(inside) AS inside, min(ts) FILTER (mark = 1 AND inside AND (left_at IS NULL OR ts > left_at)) AS began
+                           FROM ends e JOIN marks m ON m.user_id = e.user_id GROUP BY e.user_id)
+           SELECT user_id, inside, rtrim(rtrim(strftime(began, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') AS since,
+                  inside AND began + INTERVAL 6 HOURS <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events) AS held FROM spells""",
     ),
 ]
