@@ -10,13 +10,13 @@ from .selection import (
     above_floor, heal_candidates, not_covered, tracked_set, tracked_tokens, with_fallback,
 )
 from .shares import share_within, top_k_sum, with_previous
-from .tiers import spread_to_leader, tier
+from .tiers import tier, with_leader_spread
 from .trailing import ago, avg_where, count_where, indicator, newest, since, sum_where
 
 __all__ = [
     "above_floor", "ago", "asof_join", "at_newest", "avg_where", "count_where",
     "heal_candidates", "indicator", "instants", "keep_one", "latch", "latest_per_group", "latest_rows",
     "latest_value", "log_return", "newest", "none_within", "not_covered", "rolling_volatility", "share_within",
-    "seen_within", "since", "spread_to_leader", "sum_where", "threshold_runs", "throughout", "tier", "top_k_sum",
-    "tracked_set", "tracked_tokens", "trailing_hours", "with_fallback", "with_previous",
+    "seen_within", "since", "sum_where", "threshold_runs", "throughout", "tier", "top_k_sum",
+    "tracked_set", "tracked_tokens", "trailing_hours", "with_fallback", "with_leader_spread", "with_previous",
 ]

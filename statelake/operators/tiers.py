@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
-def spread_to_leader(value: Column, eligible: Column, group: Sequence[str]) -> Column:
-    """Value minus the best eligible peer's; NULL when no peer is eligible.
+def with_leader_spread(df: DataFrame, name: str, value: str, eligible: Column, group: Sequence[str]) -> DataFrame:
+    """``df`` with the value minus the best eligible peer's as ``name``; NULL when no peer is eligible.
 
-    One group is one panel row per entity at one instant, so it is bounded by
-    the number of entities.
+    The leaders are an aggregate, combined before the shuffle and joined back: a row a group
+    against all rows, so neither a hot group nor few groups put many rows into one task.
     """
-    leader = F.max(F.when(eligible, value)).over(Window.partitionBy(*group))
-    return value - leader
+    keys = {f"_g{i}": c for i, c in enumerate(group)}
+    leaders = df.where(eligible).groupBy(*[F.col(c).alias(k) for k, c in keys.items()]).agg(F.max(value).alias("_leader"))
+    same = F.lit(True)
+    for k, c in keys.items():
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    return df.join(leaders, same, "left").select(*df.columns, (F.col(value) - F.col("_leader")).alias(name))
 
 
 def tier(value: Column, member: Column) -> tuple[Column, Column, Column]:

@@ -1,11 +1,13 @@
 """Snapshot documents: panels, feeds and nested JSON.
 
 Panels are DataFrames with one row per element of a document. Documents are
-written element by element in their order, so no document is ever one row.
+written element by element in their order, by several tasks, so no document is ever
+one row or one task's.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from statelake.functions import iso_utc, wad, text_price
 from statelake.session import shared_dir
-from statelake.operators import ago, count_where, instants, latest_rows, newest, since, spread_to_leader, sum_where
+from statelake.operators import ago, count_where, instants, latest_rows, newest, since, sum_where, with_leader_spread
 
 from .book_views import v_position_risk, v_supplier_concentration
 from .catalog import buildable
@@ -77,9 +79,7 @@ def rated_columns(panel: DataFrame) -> DataFrame:
     known = F.col("_target").isNotNull() & F.col("u").isNotNull()
     for c in ("borrow_rate_per_sec", "borrow_apy", "supply_apy"):
         df = df.withColumn(c, F.when(known, F.col(c)))
-    return df.withColumn(
-        "spread_to_best", spread_to_leader(F.col("supply_apy"), ~F.col("is_broken"), ["chain_id", "ts"])
-    )
+    return with_leader_spread(df, "spread_to_best", "supply_apy", ~F.col("is_broken"), ["chain_id", "ts"])
 
 
 def borrower_risk(t: Tables) -> DataFrame:
@@ -319,11 +319,13 @@ def separated(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.concat(comma, "line"))
 
 
-def write_document(path: str, header: DataFrame, lists: Mapping[str, DataFrame]) -> None:
+def write_document(path: str, header: DataFrame, lists: Mapping[str, DataFrame], joined: bool = True) -> None:
     """Writes one JSON document: the header's fields, then each list of settled lines.
 
-    One task streams the sorted lines into the single file the format asks for.
-    The file appears under its name only after the job has committed.
+    Lines are dealt by ranges of their order and written by as many tasks; the parts' bytes, one
+    part after the other, are the document. ``joined`` puts them into the single file the
+    format asks for, which appears under its name when it is whole; otherwise they stay
+    in the folder ``<path>.parts``, whose ``_parts.json`` lists their names in order and their sizes.
     """
     spark = header.sparkSession
 
@@ -346,26 +348,51 @@ def write_document(path: str, header: DataFrame, lists: Mapping[str, DataFrame])
         part += 3
     text = text.unionByName(fixed(part + 1, F.lit("}")))
     staging = f"{path}.staging"
-    text.repartition(1).sortWithinPartitions("part", "row").select("line").write.mode("overwrite").text(staging)
-    _publish(spark, staging, path)
+    text.orderBy("part", "row").select("line").write.mode("overwrite").text(staging)
+    _publish(spark, staging, path, joined)
 
 
-def _publish(spark: SparkSession, staging: str, path: str) -> None:
-    """Renames the one written part file over its final name: readers see the old or the new file."""
+def _publish(spark: SparkSession, staging: str, path: str, joined: bool) -> None:
+    """Renames what was written over its final name: readers see the old or the new document."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    source, target = hadoop.Path(staging), hadoop.Path(path)
+    source, target = hadoop.Path(staging), hadoop.Path(path if joined else f"{path}.parts")
     conf = spark._jsc.hadoopConfiguration()
     fs = source.getFileSystem(conf)
-    part = fs.globStatus(hadoop.Path(f"{staging}/part-*"))[0].getPath()
+    # Part files are named in the order of their ranges.
+    parts = sorted((s.getPath().getName(), s.getLen()) for s in fs.globStatus(hadoop.Path(f"{staging}/part-*")) if s.getLen())
+    if joined and len(parts) == 1:
+        whole = hadoop.Path(source, parts[0][0])
+    elif joined:
+        whole = hadoop.Path(source, "whole")
+        out = fs.create(whole)
+        try:
+            for name, _ in parts:
+                piece = fs.open(hadoop.Path(source, name))
+                try:
+                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(piece, out, 1 << 20, False)
+                finally:
+                    piece.close()
+        finally:
+            out.close()
+    else:
+        out = fs.create(hadoop.Path(source, "_parts.json"))
+        try:
+            out.write(bytearray(json.dumps([{"name": name, "bytes": size} for name, size in parts]).encode()))
+        finally:
+            out.close()
+        fs.delete(target, True)
+        whole = source
     rename = getattr(hadoop, "Options$Rename")
     how = spark.sparkContext._gateway.new_array(rename, 1)
     how[0] = rename.OVERWRITE
-    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(part, fs.makeQualified(target), how)
+    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(whole), fs.makeQualified(target), how)
     fs.delete(source, True)
 
 
-def run_export(spark: SparkSession, tables: Tables, folder: str, generated_at: datetime) -> list[str]:
-    """Writes every document the present tables allow; returns their names."""
+def run_export(
+    spark: SparkSession, tables: Tables, folder: str, generated_at: datetime, only: Sequence[str] | None = None, joined: bool = True
+) -> list[str]:
+    """Writes every document the present tables allow, or ``only`` those of the names given; returns their names."""
     have = {v.name for v in buildable(tables)}
     stamp = F.lit(generated_at).cast("timestamp")
     written: list[str] = []
@@ -378,14 +405,17 @@ def run_export(spark: SparkSession, tables: Tables, folder: str, generated_at: d
             *[c.alias(n) for n, c in more.items()], "chain_id",
         )
         empty = main.where(F.lit(False))
-        write_document(f"{folder.rstrip('/')}/{name}", header, {n: df or empty for n, df in settled.items()})
+        write_document(f"{folder.rstrip('/')}/{name}", header, {n: df or empty for n, df in settled.items()}, joined)
         written.append(name)
 
-    if {"v_market_health", "v_market_apy"} <= have:
+    def wanted(name: str, *views: str) -> bool:
+        return set(views) <= have and (only is None or name in only)
+
+    if wanted("market_health.json", "v_market_health", "v_market_apy"):
         write("market_health.json", {"markets": market_health_elements(tables, stamp)})
-    if "v_util_spells" in have:
+    if wanted("util_spells.json", "v_util_spells"):
         write("util_spells.json", {"spells": spell_elements(open_util_spells(tables), "peak_u")})
-    if "v_market_flows" in have:
+    if wanted("market_flows.json", "v_market_flows"):
         through = newest(newest_source(tables, "market_flows"))
         lists = {
             "markets": market_flow_elements(tables),
@@ -394,7 +424,7 @@ def run_export(spark: SparkSession, tables: Tables, folder: str, generated_at: d
         }
         synced = F.coalesce(through >= ago(stamp, hours=SYNCED_HOURS), F.lit(False))
         write("market_flows.json", lists, data_through=iso_utc(through), synced=synced)
-    if "v_depeg_spells" in have:
+    if wanted("depeg_spells.json", "v_depeg_spells"):
         elements = spell_elements(open_depeg_spells(tables), "peak_abs_deviation", "peak_deviation")
         write("depeg_spells.json", {"spells": elements})
     return written

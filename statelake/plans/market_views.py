@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from statelake.functions import apy_at_target, borrow_rate, compound_three_terms, double, human, micros, text_price, wad
 from statelake.operators import (
-    ago, asof_join, at_newest, avg_where, indicator, instants, latch, latest_rows, latest_value, none_within, seen_within, spread_to_leader,
+    ago, asof_join, at_newest, avg_where, indicator, instants, latch, latest_rows, latest_value, none_within, seen_within, with_leader_spread,
     throughout, tier,
 )
 
@@ -209,8 +209,8 @@ def rated_panel(t: Tables) -> DataFrame:
 def v_apy_spread(t: Tables) -> DataFrame:
     """Distance to the best market that is not broken, per chain and instant."""
     df = rated_panel(t)
-    spread = spread_to_leader(F.col("supply_apy"), ~F.col("is_broken"), ["chain_id", "ts"])
-    return df.select("ts", *MARKET, "supply_apy", "is_broken", spread.alias("spread_to_best"))
+    df = df.select("ts", *MARKET, "supply_apy", "is_broken")
+    return with_leader_spread(df, "spread_to_best", "supply_apy", ~F.col("is_broken"), ["chain_id", "ts"])
 
 
 def v_benchmark(t: Tables) -> DataFrame:

@@ -101,3 +101,23 @@ def test_feeds_skip_days_before_their_look_back(spark, table, tmp_path):
     assert (r["supply_in_24h"], r["supply_in_7d"]) == (2_000.0, 2_000.0)
     plan = df._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_documents_are_written_by_several_tasks(spark, tables, tmp_path):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    whole, joined, parts = (tmp_path / n for n in ("whole", "joined", "parts"))
+    run_export(spark, tables, str(whole), NOW)
+    try:
+        for k, v in zip(old, ("5", "false"), strict=True):
+            spark.conf.set(k, v)
+        run_export(spark, tables, str(joined), NOW)
+        assert run_export(spark, tables, str(parts), NOW, only=["market_health.json"], joined=False) == ["market_health.json"]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for name in ("market_health.json", "util_spells.json", "depeg_spells.json"):
+        assert (whole / name).read_bytes() == (joined / name).read_bytes()
+    folder = parts / "market_health.json.parts"
+    listed = json.loads((folder / "_parts.json").read_text())
+    assert len(listed) > 1 and [x["bytes"] for x in listed] == [(folder / x["name"]).stat().st_size for x in listed]
+    assert b"".join((folder / x["name"]).read_bytes() for x in listed) == (whole / "market_health.json").read_bytes()

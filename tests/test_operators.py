@@ -1,6 +1,8 @@
 """Operators against brute force, and their laws."""
 
+import math
 import random
+import statistics
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,7 +10,7 @@ from helpers import T0, hours
 from pyspark.sql import functions as F
 
 from statelake.functions import floor_to, whole_minutes
-from statelake.operators import asof_join, keep_one, latest_rows, threshold_runs, top_k_sum, with_fallback
+from statelake.operators import asof_join, keep_one, latest_rows, rolling_volatility, threshold_runs, top_k_sum, with_fallback, with_leader_spread
 
 
 @pytest.mark.parametrize("chunk_seconds,max_rows", [(86400, None), (86400, 4_000_000), (3600, 1), (60, 2), (10**9, 3)])
@@ -99,3 +101,32 @@ def test_fallback_replaces_weak_prices_only_where_it_can(spark):
     secondary = spark.createDataFrame([("strong", 10.0, None), ("weak", 20.0, None), ("unknown", 30.0, None), ("missing", 50.0, None)], schema)
     got = {r["k"]: r["price"] for r in with_fallback(primary, secondary, ["k"]).collect()}
     assert got == {"strong": 1.0, "weak": 20.0, "unknown": 30.0, "alone": 4.0, "missing": 50.0}
+
+
+def test_volatility_over_trailing_days(spark):
+    rnd = random.Random(9)
+    at, series = 0, []
+    for _ in range(400):
+        at += rnd.choice([1, 1, 1, 2, 30, 24])
+        series.append((rnd.choice(["a", "b"]), at, rnd.choice([None, rnd.gauss(0, 0.02), 1e-9, 3.0, -0.5])))
+    df = spark.createDataFrame([(k, T0 + hours(h), v) for k, h, v in series], "k string, ts timestamp, v double")
+    out = rolling_volatility(df, "v", ["k"], {"short": 2, "long": 30})
+    assert out.columns == ["k", "ts", "v", "short", "long"]
+    got = {(r.k, r.ts): (r.short, r.long) for r in out.collect()}
+    for k, h, _ in series:
+        for days, value in zip((2, 30), got[k, (T0 + hours(h)).replace(tzinfo=None)], strict=True):
+            inside = [v for k2, h2, v in series if k2 == k and h - 24 * days <= h2 <= h and v is not None]
+            expected = statistics.stdev(inside) * math.sqrt(8760) if len(inside) > 1 else None
+            assert value is None if expected is None else math.isclose(value, expected, rel_tol=1e-9, abs_tol=1e-8)
+    # Only running frames: no row is added up again for every window it is in.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "RangeFrame, unboundedpreceding$" in plan and "specifiedwindowframe(RangeFrame, -" not in plan
+
+
+def test_spread_to_the_best_eligible_peer(spark):
+    rows = [("a", 1, 5.0, True), ("a", 1, 7.0, False), ("a", 1, 4.0, True), ("a", 2, 3.0, False), (None, 1, 2.0, True), ("b", 1, None, True)]
+    df = spark.createDataFrame(rows, "g string, t int, v double, ok boolean")
+    out = with_leader_spread(df, "spread", "v", F.col("ok"), ["g", "t"])
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [(*r, s) for r, s in zip(rows, [0.0, 2.0, -1.0, None, 0.0, None], strict=True)], key=repr)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()

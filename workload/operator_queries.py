@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from statelake.functions import floor_to
 from statelake.operators import (
-    above_floor, asof_join, heal_candidates, latch, latest_rows, newest, not_covered, share_within, spread_to_leader,
-    threshold_runs, throughout, top_k_sum, tracked_set, tracked_tokens, with_fallback,
+    above_floor, asof_join, heal_candidates, latch, latest_rows, newest, not_covered, share_within,
+    threshold_runs, throughout, top_k_sum, tracked_set, tracked_tokens, with_fallback, with_leader_spread,
 )
 from statelake.plans import quality
 from statelake.plans.reader import Reader
@@ -174,8 +174,7 @@ def top_customers(g: Given) -> DataFrame:
 
 def leader_spread(g: Given) -> DataFrame:
     rows = g.raw("lineitem").groupBy("l_suppkey", F.col("l_shipdate").alias("day")).agg(F.sum("l_quantity").alias("q"))
-    spread = spread_to_leader(F.col("q"), F.col("q") < 40, ["day"])
-    return rows.select("l_suppkey", "day", spread.alias("spread"))
+    return with_leader_spread(rows, "spread", "q", F.col("q") < 40, ["day"]).select("l_suppkey", "day", "spread")
 
 
 # --- read API ----------------------------------------------------------------
