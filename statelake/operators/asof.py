@@ -8,13 +8,17 @@ cut into groups small enough for one task:
   row that carries the newest right value of any earlier chunk. Openings are found on
   the groups alone, one row per (key, chunk) of either side, so there are never more of
   them than groups of the left side;
-* a (key, chunk) that holds more than ``max_rows`` left rows is salted: its left
-  rows are spread by a hash of their content, its right rows and its opening are
-  repeated for every salt.
-
-The right side is a clock-sampled series (one row per key and instant), which
-bounds what a chunk repeats; choose ``chunk_seconds`` so that one key's right
-rows in one chunk fit a task.
+* a (key, chunk) with left rows that holds more than ``max_rows`` rows of both sides is split
+  in time: its rows are counted per bin of a fine grid, and bins are joined, in order, to parts
+  of about ``max_rows`` rows. Every part has an opening of its own, taken from the bins before
+  it, so no row of either side is repeated. Without such groups the adaptive planner
+  drops the count;
+* only where a single bin has more than ``max_rows`` left rows (copies of one instant, say)
+  its part's left rows are dealt by a hash of their content, and the part's right rows and
+  opening are repeated for each share.
+
+The right side is a clock-sampled series (one row per key and instant), which bounds the
+right rows of a bin.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from pyspark.sql.window import Window
 
 DAY = 86_400
 MAX_ROWS = 4_000_000
+# Bins of a chunk that is split.
+BINS = 256
 
 
 def asof_join(
@@ -47,7 +53,7 @@ def asof_join(
     ``keys`` pairs a left expression with a right expression. A left row with a
     NULL key part, or older than every right row, gets NULLs. Among right rows
     of one instant the greatest ``tie_break`` columns win. ``max_rows=None``
-    leaves groups unsalted, for left sides that are known to be small. ``identity`` names
+    leaves groups whole, for left sides that are known to be small. ``identity`` names
     the left columns that tell rows apart; hashing these instead of whole rows
     leaves the others free to be pruned. ``sizes_from`` gives the same rows from a cheaper
     plan (before a previous lookup, say); group sizes are counted there.
@@ -77,21 +83,36 @@ def asof_join(
         ).withColumn("_asof_chunk", chunk_of)
 
     rows = keyed(left).withColumn("_asof_left", F.lit(1))
-    sizes = keyed(left if sizes_from is None else sizes_from).groupBy(*group).agg(F.count(F.lit(1)).alias("_asof_n"))
-    last_of = samples.groupBy(*group).agg(F.max_by("_asof_v", F.struct("_asof_t", "_asof_rank")).alias("_asof_v"))
+    counted = keyed(left if sizes_from is None else sizes_from)
+    sizes = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("_asof_n"))
+    newest = F.max_by("_asof_v", F.struct("_asof_t", "_asof_rank")).alias("_asof_v")
+    last_of = samples.groupBy(*group).agg(newest, F.count(F.lit(1)).alias("_asof_m"))
     earlier = Window.partitionBy(*names).orderBy("_asof_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    openings = (
+    groups = (
         sizes.unionByName(last_of, allowMissingColumns=True)
-        .groupBy(*group).agg(F.max("_asof_n").alias("_asof_n"), F.first("_asof_v", ignorenulls=True).alias("_asof_v"))
+        .groupBy(*group).agg(F.max("_asof_n").alias("_asof_n"), F.max("_asof_m").alias("_asof_m"), F.first("_asof_v", ignorenulls=True).alias("_asof_v"))
         .withColumn("_asof_v", F.last("_asof_v", ignorenulls=True).over(earlier))
-        .where("_asof_n is not null and _asof_v is not null")
-        .select(*group, "_asof_v")
-        .withColumn("_asof_t", F.col("_asof_chunk") * F.lit(width) - 1)
+        .where("_asof_n is not null")
     )
-    tagged = rows.unionByName(samples, allowMissingColumns=True).unionByName(openings, allowMissingColumns=True)
-    if max_rows is not None:
-        tagged = _salted(tagged, sizes, group, list(identity) or left.columns, max_rows)
-        group = [*group, "_asof_salt"]
+    tagged = rows.unionByName(samples, allowMissingColumns=True)
+    opened = [*group, "_asof_v", "_asof_t"]
+    openings = groups.withColumn("_asof_t", F.col("_asof_chunk") * F.lit(width) - 1)
+    if max_rows is None:
+        tagged = tagged.unionByName(openings.where("_asof_v is not null").select(*opened), allowMissingColumns=True)
+    else:
+        large = F.col("_asof_n") + F.coalesce("_asof_m", F.lit(0)) > max_rows
+        bins = split_bins(counted, samples, groups.where(large), group, width, max_rows)
+        placed = _joined(tagged.withColumn("_asof_bin", bin_of(width)), bins.select(*group, "_asof_bin", "_asof_part", "_asof_shares"), [*group, "_asof_bin"])
+        first = bins.where("_asof_is_first").withColumn("_asof_t", F.col("_asof_first") - 1).select(*opened, "_asof_part", "_asof_shares")
+        openings = openings.where(~large).select(*opened).unionByName(first, allowMissingColumns=True).where("_asof_v is not null")
+        shares = F.coalesce("_asof_shares", F.lit(1))
+        own = F.array(F.pmod(F.xxhash64(*(list(identity) or left.columns)), shares).cast("int"))
+        tagged = (
+            placed.drop("_asof_bin").unionByName(openings, allowMissingColumns=True)
+            .withColumn("_asof_part", F.coalesce("_asof_part", F.lit(0)))
+            .withColumn("_asof_share", F.explode(F.when(F.col("_asof_left") == 1, own).otherwise(F.sequence(F.lit(0), shares - 1))))
+        )
+        group = [*group, "_asof_part", "_asof_share"]
 
     scan = (
         Window.partitionBy(*group)
@@ -105,20 +126,39 @@ def asof_join(
     )
 
 
-def _salted(tagged: DataFrame, sizes: DataFrame, group: list[str], content: list[str], max_rows: int) -> DataFrame:
-    """Adds ``_asof_salt``: 0 everywhere but in groups with too many left rows."""
-    hot = (
-        sizes.withColumn("_asof_salts", F.ceil(F.col("_asof_n") / F.lit(max_rows)).cast("int"))
-        .where("_asof_salts > 1")
-        .select(*[F.col(c).alias(f"_hot{c}") for c in group], "_asof_salts")
+def bin_of(width: int) -> Column:
+    """The bin of a row in its chunk; a later row is never in an earlier bin."""
+    return F.floor((F.col("_asof_t") - F.col("_asof_chunk") * F.lit(width)) * F.lit(BINS) / F.lit(width)).cast("int")
+
+
+def split_bins(left: DataFrame, right: DataFrame, large: DataFrame, group: list[str], width: int, max_rows: int) -> DataFrame:
+    """Bins of the ``large`` groups: the part a bin belongs to and whether it is the part's first, into how many
+    shares the part's left rows are dealt, the bin's first instant, and the newest right value before it."""
+    rows = left.select(*group, "_asof_t", F.lit(1).alias("_asof_left")).unionByName(right.select(*group, "_asof_t", "_asof_v", "_asof_rank"), allowMissingColumns=True)
+    rows = _joined(rows, large.select(*group, F.col("_asof_v").alias("_opening")), group, "inner").withColumn("_asof_bin", bin_of(width))
+    bins = rows.groupBy(*group, "_asof_bin").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("_asof_left").alias("_n_left"), F.min("_asof_t").alias("_asof_first"), F.first("_opening").alias("_opening"),
+        F.max_by("_asof_v", F.when(F.col("_asof_left").isNull(), F.struct("_asof_t", "_asof_rank"))).alias("_last"))
+    # At most BINS rows a group.
+    by_bin = Window.partitionBy(*group).orderBy("_asof_bin")
+    earlier, parts = by_bin.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*group, "_asof_part")
+    return (
+        bins.withColumn("_asof_v", F.coalesce(F.last("_last", ignorenulls=True).over(earlier), "_opening"))
+        .withColumn("_asof_part", F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / F.lit(max_rows)).cast("int"))
+        .withColumn("_asof_is_first", ~F.col("_asof_part").eqNullSafe(F.lag("_asof_part").over(by_bin)))
+        .withColumn("_asof_shares", F.greatest(F.lit(1), F.max(F.ceil(F.col("_n_left") / F.lit(max_rows)).cast("int")).over(parts)))
     )
+
+
+def _same(keys: Sequence[str], prefix: str) -> Column:
     same = F.lit(True)
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_hot{c}"))
-    spread = F.coalesce("_asof_salts", F.lit(1))
-    own = F.array(F.pmod(F.xxhash64(*content), spread).cast("int"))
-    every = F.sequence(F.lit(0), spread - 1)
-    # The adaptive planner broadcasts ``hot`` where it is small, which it is but for tiny limits.
-    return tagged.join(hot, same, "left").withColumn(
-        "_asof_salt", F.explode(F.when(F.col("_asof_left") == 1, own).otherwise(every))
-    )
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return same
+
+
+def _joined(df: DataFrame, other: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on equal (or both NULL) keys; the adaptive planner broadcasts ``other`` where it is small,
+    which it is but for tiny limits."""
+    probe = other.select(*[F.col(c).alias(f"_j{c}") if c in keys else F.col(c) for c in other.columns])
+    return df.join(probe, _same(keys, "_j"), how).drop(*[f"_j{c}" for c in keys])

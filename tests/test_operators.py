@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from statelake.functions import floor_to, whole_minutes
 from statelake.operators import asof_join, keep_one, latest_rows, rolling_volatility, threshold_runs, top_k_sum, with_fallback, with_leader_spread
+from statelake.operators.asof import split_bins
 
 
-@pytest.mark.parametrize("chunk_seconds,max_rows", [(86400, None), (86400, 4_000_000), (3600, 1), (60, 2), (10**9, 3)])
+@pytest.mark.parametrize("chunk_seconds,max_rows", [(86400, None), (86400, 4_000_000), (3600, 1), (60, 2), (10**9, 3), (10**9, 40)])
 def test_asof_equals_brute_force(spark, chunk_seconds, max_rows):
     rng = random.Random(5)
     start = datetime(2026, 1, 1)
@@ -38,6 +39,32 @@ def test_asof_equals_brute_force(spark, chunk_seconds, max_rows):
     assert {r["i"]: r["hit"] for r in got} == want
 
 
+def test_a_hot_key_is_split_in_time_on_both_sides(spark):
+    rng = random.Random(7)
+    day = datetime(2026, 1, 1)
+    left = [("hot", day + timedelta(seconds=rng.randrange(86_400)), i) for i in range(1500)] + [("hot", day + timedelta(hours=5), i) for i in range(900)]
+    right = [("hot", day + timedelta(seconds=23 * i), float(i)) for i in range(3000)] + [("cold", day, 1.0)]
+    keyed = spark.createDataFrame(left, "k string, ts timestamp, i int").select("k", F.unix_micros("ts").alias("_asof_t"))
+    samples = spark.createDataFrame(right, "k string, ts timestamp, v double").select(
+        "k", F.unix_micros("ts").alias("_asof_t"), F.struct("v").alias("_asof_v"), F.struct(F.lit(0)).alias("_asof_rank"))
+    width, limit = 86_400_000_000, 300
+    keyed, samples = (df.withColumn("_asof_chunk", F.floor(F.col("_asof_t") / F.lit(width))) for df in (keyed, samples))
+    group = ["k", "_asof_chunk"]
+    groups = keyed.groupBy(*group).agg(F.count("*").alias("_asof_n")).withColumn("_asof_v", F.lit(None).cast("struct<v:double>"))
+    bins = split_bins(keyed, samples, groups, group, width, limit).collect()
+    fullest = max(b["_n"] - b["_n_left"] for b in bins)
+    parts = {}
+    for b in bins:
+        parts.setdefault(b["_asof_part"], []).append(b)
+    assert len(parts) >= 12
+    for part in parts.values():
+        # A part ends with the bin that fills it; only the bin of one instant's copies is dealt by hash.
+        assert sum(b["_n"] for b in part[:-1]) <= limit or any(b["_n_left"] > limit for b in part)
+        assert sum(b["_n"] - b["_n_left"] for b in part) <= limit + fullest
+        assert (part[0]["_asof_shares"] > 1) == any(b["_n_left"] > limit for b in part)
+    assert sum(part[0]["_asof_shares"] > 1 for part in parts.values()) == 1
+
+
 def test_asof_tie_break_and_empty_right(spark):
     left = spark.createDataFrame([(1, "k", T0)], "i int, k string, ts timestamp")
     right = spark.createDataFrame([("k", T0, 1, "x"), ("k", T0, 2, "y"), ("k", T0, 0, "z")], "k string, ts timestamp, n int, v string")
