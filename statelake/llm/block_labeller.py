@@ -7,8 +7,12 @@ every block, main text or not. It is trained here, on a bounded sample of pages,
 a structural teacher; copies with anonymous tags and with planted comments, notices and
 sidebars make it use words and context besides the tags.
 
+Reading is linear in the page: tags are found without going back, a stray closing tag is
+passed over at once, and a block's features are carried down from its parent.
+
 Defined results: null or blank html gives an empty text; an unclosed tag ends with what
-contains it, an unclosed script or style with the page; repeated rows give repeated
+contains it, an unclosed script or style with the page; a quote that nothing closes is an
+ordinary character; no-break spaces are no white space and stay as they are; repeated rows give repeated
 results; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -17,6 +21,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +34,12 @@ from .common import Memo, bounded_sample, small_batches
 #: Pages the labeller is trained on (about so many, never over twice), taken by the hash of their html.
 SAMPLE = 300
 PATH_DIMS, WORD_DIMS, HIDDEN, EPOCHS = 48, 32, 16, 10
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
+OPENS = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
+# Elements whose content is no text, and where each ends.
+DROPPED = re.compile(r"<(script|style|noscript|template)\b", re.I)
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template")}
+# The end of a tag, or the quote that begins a value.
+STOP = re.compile(r">|=[\x20\x09-\x0D]*([\"'])")
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 # HTML elements that stand in a line of text, and those without content.
@@ -48,34 +58,129 @@ PLANTED = [
 ]
 
 
-def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
-    """(tag path tokens, text, characters in links) of each leaf block."""
-    found: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    path: tuple[str, ...] = ()
+class Path:
+    """An element's place: its tokens (tag, classes, id, role) behind those of its ancestors.
+
+    Children are kept by tokens, and what the features need of all ancestors is carried from
+    parent to child, so a block costs the same at any depth.
+    """
+
+    __slots__ = ("parent", "tokens", "tail", "aside", "body", "children", "sums")
+
+    def __init__(self, parent: Path | None = None, tokens: tuple[str, ...] = ()):
+        self.parent, self.tokens = parent, tokens
+        above = parent or self
+        self.tail = ((above.tail if parent else ()) + tokens)[-2:]
+        self.aside = bool(parent and parent.aside) or not ASIDE.isdisjoint(tokens)
+        self.body = bool(parent and parent.body) or not BODY.isdisjoint(tokens)
+        self.children: dict[tuple[str, ...], Path] = {}
+        self.sums: np.ndarray | None = None
+
+    def child(self, tokens: tuple[str, ...]) -> Path:
+        if tokens not in self.children:
+            self.children[tokens] = Path(self, tokens)
+        return self.children[tokens]
+
+    def vector(self) -> np.ndarray:
+        """Half a count of every token, and a whole one of the last two."""
+        waiting, node = [], self
+        while node.sums is None:
+            waiting.append(node)
+            if node.parent is None:
+                break
+            node = node.parent
+        for node in reversed(waiting):
+            node.sums = np.zeros(PATH_DIMS) if node.parent is None else node.parent.sums.copy()
+            for token in node.tokens:
+                node.sums[_place(token, PATH_DIMS)] += 0.5
+        out = self.sums.copy()
+        for token in self.tail:
+            out[_place(token, PATH_DIMS)] += 0.5
+        return out
+
+    def __iter__(self) -> Iterator[str]:
+        nodes, node = [], self
+        while node is not None:
+            nodes.append(node)
+            node = node.parent
+        return (token for node in reversed(nodes) for token in node.tokens)
+
+
+def pieces(page: str) -> Iterator[tuple[str, re.Match | None]]:
+    """A page's texts, and its tags with the attributes' text; every character is looked at a bounded number of times.
+
+    A quote begins a value only behind an equals sign. One that nothing closes is an ordinary
+    character; where all ends of tags are in quotes, quotes count no more from there on.
+    """
+    at, size, last_end = 0, len(page), page.rfind(">")
+    absent: set[str] = set()
+    quoted = True
+
+    def end_of(start: int) -> int:
+        nonlocal quoted
+        to = start
+        while quoted and (m := STOP.search(page, to)):
+            if m[1] is None:
+                return m.start()
+            close = -1 if m[1] in absent else page.find(m[1], m.end())
+            if close < 0:
+                absent.add(m[1])
+            to = max(m.end(), close + 1)
+        quoted = False
+        return page.find(">", start)
+
+    while at < size:
+        if page[at] != "<":
+            to = page.find("<", at)
+            to = size if to < 0 else to
+            yield page[at:to], None
+            at = to
+        elif page.startswith("<!--", at):
+            to = page.find("-->", at + 4)
+            at = size if to < 0 else to + 3
+        elif dropped := DROPPED.match(page, at):
+            end = ENDS[dropped[1].lower()].search(page, dropped.end())
+            at = size if end is None else end.end()
+        elif at < last_end and (tag := OPENS.match(page, at)):
+            to = end_of(tag.end())
+            yield page[tag.end():to], tag
+            at = to + 1
+        elif at < last_end and page[at + 1] in "!?":
+            at = page.find(">", at) + 1
+        else:
+            yield "<", None
+            at += 1
+
+
+def blocks(page: str | None) -> list[tuple[Path, str, int]]:
+    """(tag path, text, characters in links) of each leaf block."""
+    found: list[tuple[Path, str, int]] = []
+    root = Path()
+    stack: list[tuple[str, Path]] = [("", root)]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked = in_link = 0
 
     def close() -> None:
         nonlocal linked
-        joined = SPACE.sub(" ", html.unescape("".join(text))).strip(" ")
+        joined = SPACE.sub(" ", html.unescape("".join(text))).strip(" ") if text else ""
         if joined:
-            found.append((path, joined, linked))
+            found.append((stack[-1][1], joined, linked))
         text.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page or ""):
-        tag = m[3]
-        if tag is None:
-            part = m[0]
-            if part[0] != "<" or part == "<":
-                text.append(part)
-                if in_link:
-                    linked += len(part)
+    def leave() -> None:
+        opened[stack.pop()[0]] -= 1
+
+    for part, m in pieces(page or ""):
+        if m is None:
+            text.append(part)
+            if in_link:
+                linked += len(part)
             continue
-        tag = tag.lower()
+        tag = m[2].lower()
         if tag == "a":
-            in_link = 0 if m[2] else 1
+            in_link = 0 if m[1] else 1
         if tag in INLINE:
             continue
         if tag in VOID:
@@ -85,26 +190,27 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
                 text.append(" ")
             continue
         close()
-        if m[2]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if at is None:
-                continue
-            del stack[at:]
+        if m[1]:
+            # A closing tag ends everything inside its element; one without an element is passed over.
+            if opened[tag]:
+                while stack[-1][0] != tag:
+                    leave()
+                leave()
         else:
-            if stack and stack[-1][0] == "p" or stack and stack[-1][0] == tag == "li":
-                stack.pop()
-            names = [w.lower() for g in NAMED.findall(m[4]) for w in re.split(r"[^a-zA-Z]+", "".join(g)) if w] if m[4] else []
-            stack.append((tag, (tag, *names)))
-        path = tuple(t for _, tokens in stack for t in tokens)
+            if stack[-1][0] == "p" or stack[-1][0] == tag == "li":
+                leave()
+            names = [w.lower() for g in NAMED.findall(part) for w in re.split(r"[^a-zA-Z]+", "".join(g)) if w] if part else []
+            stack.append((tag, stack[-1][1].child((tag, *names))))
+            opened[tag] += 1
     close()
     return found
 
 
-def teacher(path: tuple[str, ...], text: str, linked: int, has_body: bool) -> int:
-    if ASIDE & set(path):
+def teacher(path: Path, text: str, linked: int, has_body: bool) -> int:
+    if path.aside:
         return 0
     if has_body:
-        return int(bool(BODY & set(path)))
+        return int(path.body)
     return int(len(text.split()) >= 15 and 3 * linked < len(text))
 
 
@@ -114,17 +220,9 @@ def _place(token: str, dims: int) -> int:
 
 class Features:
     def __init__(self) -> None:
-        self.paths = Memo(self._path, 20_000)
         self.words = Memo(lambda w: _place(w.lower(), WORD_DIMS), 200_000)
 
-    @staticmethod
-    def _path(path: tuple[str, ...]) -> np.ndarray:
-        v = np.zeros(PATH_DIMS)
-        for depth, token in enumerate(reversed(path)):
-            v[_place(token, PATH_DIMS)] += 1.0 if depth < 2 else 0.5
-        return v
-
-    def __call__(self, leaves: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
+    def __call__(self, leaves: list[tuple[Path, str, int]]) -> np.ndarray:
         n = len(leaves)
         split = [text.split() for _, text, _ in leaves]
         counts = np.array([len(w) for w in split])
@@ -136,7 +234,7 @@ class Features:
             np.log1p(sizes) / 5, np.minimum(1, np.array([linked for *_, linked in leaves]) / sizes), np.log1p(counts) / 4,
             np.array([text[-1] in ".!?:;\"'" for _, text, _ in leaves], float), np.arange(n) / max(1, n - 1), np.arange(n) == 0, np.arange(n) == n - 1,
         ], 1)
-        return np.concatenate([np.array([self.paths[path] for path, *_ in leaves]), 2 * words, measures], 1)
+        return np.concatenate([np.array([path.vector() for path, *_ in leaves]), 2 * words, measures], 1)
 
 
 INPUT = PATH_DIMS + WORD_DIMS + MEASURES
@@ -219,18 +317,18 @@ def train(pages: list[str], epochs: int = EPOCHS) -> Network:
         leaves = blocks(page)
         if not leaves:
             continue
-        has_body = any(BODY & set(path) for path, *_ in leaves)
+        has_body = any(path.body for path, *_ in leaves)
         y = [teacher(*leaf, has_body) for leaf in leaves]
         rows.append((features(leaves), np.array(y, float)))
-        bare = [(tuple(ANONYMOUS.get(t, t) for t in path), *rest) for path, *rest in leaves]
+        bare = [(Path(Path(), tuple(ANONYMOUS.get(t, t) for t in path)), *rest) for path, *rest in leaves]
         if draw.random() < 0.3:
             rows.append((features(bare), np.array(y, float)))
         mixed, labels = list(leaves), list(y)
         for _ in range(int(draw.integers(1, 4))):
             at, kind = int(draw.integers(0, len(mixed) + 1)), PLANTED[int(draw.integers(0, len(PLANTED)))]
-            base = mixed[min(at, len(mixed) - 1)][0][:-1] if draw.random() < 0.5 else ("html", "body")
+            base = tuple(mixed[min(at, len(mixed) - 1)][0])[:-1] if draw.random() < 0.5 else ("html", "body")
             for _ in range(int(draw.integers(1, 4))):
-                mixed.insert(at, ((*base, *kind), texts[int(draw.integers(0, len(texts)))], 0))
+                mixed.insert(at, (Path(Path(), (*base, *kind)), texts[int(draw.integers(0, len(texts)))], 0))
                 labels.insert(at, 0)
         rows.append((features(mixed), np.array(labels, float)))
     net, rate, step = Network(), 0.01, 0

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import math
 import random
+import time
 
 import numpy as np
 import pytest
 from llm_cases import prose
 
-from statelake.llm.block_labeller import HIDDEN, INPUT, Network, blocks, extract, padded
+from statelake.llm.block_labeller import HIDDEN, INPUT, PATH_DIMS, Features, Network, Path, _place, blocks, extract, padded
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -40,11 +42,65 @@ def test_pages_without_their_frame(spark):
 def test_blocks():
     assert [(t, k) for _, t, k in blocks("<p>a &amp; b\n c<br>d<p>e</p><a href='x'>f</a> g")] == [("a & b c d", 0), ("e", 0), ("f g", 1)]
     assert blocks("<script>x<p>y") == [] and blocks("<!-- <p>a") == []
-    assert blocks('<div class="x y" title=">">a</div>')[0][0] == ("div", "x", "y")
-    assert [p for p, *_ in blocks("<ul><li>a<li>b</ul></p></div>c")] == [("ul", "li"), ("ul", "li"), ()]
+    assert tuple(blocks('<div class="x y" title=">">a</div>')[0][0]) == ("div", "x", "y")
+    assert [tuple(p) for p, *_ in blocks("<ul><li>a<li>b</ul></p></div>c")] == [("ul", "li"), ("ul", "li"), ()]
+    # A value that is not closed ends at the next quote, as in a browser.
+    assert [t for _, t, _ in blocks('<p title="a>b</p>c<i x=">">d')] == ['">d']
+    assert [t for _, t, _ in blocks('<p title="a>b</p>c')] == ["b", "c"] == [t for _, t, _ in blocks("<p title='a>b</p>c")]
+    assert [t for _, t, _ in blocks("<p it's>b</p>1 < 2 <")] == ["b", "1 < 2 <"]
     assert blocks("a" * 100_000)[0][1] == "a" * 100_000 and len(blocks("<p>b</p>" * 3000)) == 3000
 
 
+def test_paths_carry_the_counts_of_their_tokens():
+    rnd = random.Random(3)
+    for _ in range(50):
+        node, tokens = Path(), []
+        for _ in range(rnd.randint(0, 9)):
+            more = tuple(rnd.choice(["div", "p", "nav", "article", "x", "comment"]) for _ in range(rnd.randint(1, 3)))
+            node, tokens = node.child(more), [*tokens, *more]
+        expected = np.zeros(PATH_DIMS)
+        for depth, token in enumerate(reversed(tokens)):
+            expected[_place(token, PATH_DIMS)] += 1.0 if depth < 2 else 0.5
+        assert list(node) == tokens and np.array_equal(node.vector(), expected)
+        assert node.aside == bool({"nav", "comment"} & set(tokens)) and node.body == ("article" in tokens)
+
+
+ODD = {
+    "quotes": '<b "' * 100_000, "values": '<b a="' * 99_999 + ">x", "quoted ends": '<x a=">"' * 100_000, "nested": "<div>" * 100_000 + "x", "texts": "<div>x" * 50_000,
+    "stray": "<div>" * 50_000 + "</p>" * 50_000 + "y", "opened": "<" * 300_000, "comments": "<!--" * 100_000, "marks": "<!a " * 100_000, "scripts": "<script " * 50_000,
+    "ends": "<div><p>" * 50_000 + "</div>" * 50_000, "equals": "<a " + "= " * 200_000, "references": "&amp" * 100_000,
+}
+
+
+@pytest.mark.parametrize("kind", ODD)
+def test_odd_pages_take_seconds(kind):
+    began = time.perf_counter()
+    leaves = blocks(ODD[kind])
+    if leaves:
+        Features()(leaves)
+    assert time.perf_counter() - began < 10
+
+
+def test_forward_pass_by_plain_loops():
+    draw = np.random.default_rng(4)
+    rows = [draw.normal(0, 1, (n, INPUT)) for n in (3, 1, 5)]
+    net = Network()
+    got = net.forward(*padded(rows))[0]
+    squash = lambda v: 1 / (1 + math.exp(-v))
+    for j, row in enumerate(rows):
+        seen = {}
+        for d, order in (("f", range(len(row))), ("b", range(len(row) - 1, -1, -1))):
+            h, c = [0.0] * HIDDEN, [0.0] * HIDDEN
+            for t in order:
+                z = [sum(row[t][i] * net.w[f"x{d}"][i][k] for i in range(INPUT)) + sum(h[i] * net.w[f"h{d}"][i][k] for i in range(HIDDEN)) + net.w[f"b{d}"][k] for k in range(4 * HIDDEN)]
+                c = [squash(z[HIDDEN + k]) * c[k] + squash(z[k]) * math.tanh(z[3 * HIDDEN + k]) for k in range(HIDDEN)]
+                h = [squash(z[2 * HIDDEN + k]) * math.tanh(c[k]) for k in range(HIDDEN)]
+                seen[d, t] = h
+        for t in range(len(row)):
+            out = sum(a * b for a, b in zip([*seen["f", t], *seen["b", t]], net.w["o"], strict=True)) + net.w["c"][0]
+            assert got[t, j] == pytest.approx(squash(out), abs=1e-9)
+
+
 def test_gradients_against_differences():
     draw = np.random.default_rng(0)
     x, mask = padded([draw.normal(0, 1, (n, INPUT)) for n in (4, 2, 6)])
