@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR  folder of the tables (default /root/testdata/sf0.1)
     BENCH_CPUS    local cores (default 8)
-    BENCH_RUNS    timed runs per query after one warm-up (default 1)
+    BENCH_RUNS    timed runs per query after one warm-up (default 3)
 
 The number of a query is the median of its timed runs, planning included; the
 value is their sum. ``duckdb`` holds the same for the SQL twin, where the module
@@ -43,7 +43,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_RUNS", "1"))
+    repeats = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="statelake-bench")
     try:
         from workload.compare import connect

@@ -94,24 +94,12 @@ def asof_join(
         .withColumn("_asof_v", F.last("_asof_v", ignorenulls=True).over(earlier))
         .where("_asof_n is not null")
     )
-    tagged = rows.unionByName(samples, allowMissingColumns=True)
-    opened = [*group, "_asof_v", "_asof_t"]
-    openings = groups.withColumn("_asof_t", F.col("_asof_chunk") * F.lit(width) - 1)
-    if max_rows is None:
-        tagged = tagged.unionByName(openings.where("_asof_v is not null").select(*opened), allowMissingColumns=True)
-    else:
-        large = F.col("_asof_n") + F.coalesce("_asof_m", F.lit(0)) > max_rows
-        bins = split_bins(counted, samples, groups.where(large), group, width, max_rows)
-        placed = _joined(tagged.withColumn("_asof_bin", bin_of(width)), bins.select(*group, "_asof_bin", "_asof_part", "_asof_shares"), [*group, "_asof_bin"])
-        first = bins.where("_asof_is_first").withColumn("_asof_t", F.col("_asof_first") - 1).select(*opened, "_asof_part", "_asof_shares")
-        openings = openings.where(~large).select(*opened).unionByName(first, allowMissingColumns=True).where("_asof_v is not null")
-        shares = F.coalesce("_asof_shares", F.lit(1))
-        own = F.array(F.pmod(F.xxhash64(*(list(identity) or left.columns)), shares).cast("int"))
-        tagged = (
-            placed.drop("_asof_bin").unionByName(openings, allowMissingColumns=True)
-            .withColumn("_asof_part", F.coalesce("_asof_part", F.lit(0)))
-            .withColumn("_asof_share", F.explode(F.when(F.col("_asof_left") == 1, own).otherwise(F.sequence(F.lit(0), shares - 1))))
-        )
+    openings = groups.select(*group, "_asof_v", (F.col("_asof_chunk") * F.lit(width) - 1).alias("_asof_t"), F.lit(True).alias("_asof_opens"))
+    tagged = rows.unionByName(samples, allowMissingColumns=True).unionByName(openings, allowMissingColumns=True)
+    if max_rows is not None:
+        large = groups.where(F.col("_asof_n") + F.coalesce("_asof_m", F.lit(0)) > max_rows)
+        cuts = part_cuts(counted, samples, large, group, width, max_rows)
+        tagged = _placed(_joined(tagged, _few(cuts, max_rows), group), tagged.columns, list(identity) or left.columns, width)
         group = [*group, "_asof_part", "_asof_share"]
 
     scan = (
@@ -135,7 +123,7 @@ def split_bins(left: DataFrame, right: DataFrame, large: DataFrame, group: list[
     """Bins of the ``large`` groups: the part a bin belongs to and whether it is the part's first, into how many
     shares the part's left rows are dealt, the bin's first instant, and the newest right value before it."""
     rows = left.select(*group, "_asof_t", F.lit(1).alias("_asof_left")).unionByName(right.select(*group, "_asof_t", "_asof_v", "_asof_rank"), allowMissingColumns=True)
-    rows = _joined(rows, large.select(*group, F.col("_asof_v").alias("_opening")), group, "inner").withColumn("_asof_bin", bin_of(width))
+    rows = _joined(rows, _few(large.select(*group, F.col("_asof_v").alias("_opening")), max_rows), group, "inner").withColumn("_asof_bin", bin_of(width))
     bins = rows.groupBy(*group, "_asof_bin").agg(
         F.count(F.lit(1)).alias("_n"), F.count("_asof_left").alias("_n_left"), F.min("_asof_t").alias("_asof_first"), F.first("_opening").alias("_opening"),
         F.max_by("_asof_v", F.when(F.col("_asof_left").isNull(), F.struct("_asof_t", "_asof_rank"))).alias("_last"))
@@ -150,6 +138,41 @@ def split_bins(left: DataFrame, right: DataFrame, large: DataFrame, group: list[
     )
 
 
+def part_cuts(left: DataFrame, right: DataFrame, large: DataFrame, group: list[str], width: int, max_rows: int) -> DataFrame:
+    """(group, _asof_cuts): the first bin of each part of a large group, in order, with the part's opening."""
+    cut = F.struct(
+        F.col("_asof_bin").alias("bin"), F.col("_asof_part").alias("part"), F.col("_asof_shares").alias("shares"), (F.col("_asof_first") - 1).alias("t"),
+        F.col("_asof_v").alias("v"))
+    firsts = split_bins(left, right, large, group, width, max_rows).where("_asof_is_first")
+    # Ordered by bin alone: values need not be comparable.
+    in_order = lambda a, b: F.when(a["bin"] < b["bin"], -1).when(a["bin"] > b["bin"], 1).otherwise(0)
+    return firsts.groupBy(*group).agg(F.array_sort(F.collect_list(cut), in_order).alias("_asof_cuts"))
+
+
+def _placed(tagged: DataFrame, columns: list[str], content: list[str], width: int) -> DataFrame:
+    """Rows of large groups in their parts and shares, the opening of such a group in all of them; others in part 0."""
+    place = lambda part, share, t, v: F.struct(part.alias("_asof_part"), share.alias("_asof_share"), t.alias("_asof_t"), v.alias("_asof_v"))
+    cuts, t, v = F.col("_asof_cuts"), F.col("_asof_t"), F.col("_asof_v")
+    # A row is in the last part that begins at or before its bin.
+    own = F.element_at(F.filter(cuts, lambda c: c["bin"] <= bin_of(width)), -1)
+    shares = lambda c: F.sequence(F.lit(0), c["shares"] - 1)
+    everywhere = F.flatten(F.transform(cuts, lambda c: F.transform(shares(c), lambda s: place(c["part"], s, c["t"], F.coalesce(c["v"], v)))))
+    places = (
+        F.when(cuts.isNull(), F.array(place(F.lit(0), F.lit(0), t, v)))
+        .when(F.col("_asof_left") == 1, F.array(place(own["part"], F.pmod(F.xxhash64(*content), own["shares"]).cast("int"), t, v)))
+        .when(F.col("_asof_opens"), everywhere)
+        .otherwise(F.transform(shares(own), lambda s: place(own["part"], s, t, v)))
+    )
+    return tagged.select(*[c for c in columns if c not in ("_asof_t", "_asof_v")], F.inline(places))
+
+
+def _few(df: DataFrame, max_rows: int) -> DataFrame:
+    """What has a row, or a cut, for each ``max_rows`` rows of input at most: of 10 ** 12 rows and a limit of four
+    million, 250,000 groups and twice as many cuts. It is broadcast, so that the rows themselves stay where they
+    are; only a limit of under a million rows, as in tests, leaves the choice to the planner."""
+    return F.broadcast(df) if max_rows >= 1_000_000 else df
+
+
 def _same(keys: Sequence[str], prefix: str) -> Column:
     same = F.lit(True)
     for c in keys:
@@ -158,7 +181,6 @@ def _same(keys: Sequence[str], prefix: str) -> Column:
 
 
 def _joined(df: DataFrame, other: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join on equal (or both NULL) keys; the adaptive planner broadcasts ``other`` where it is small,
-    which it is but for tiny limits."""
+    """Join on equal (or both NULL) keys."""
     probe = other.select(*[F.col(c).alias(f"_j{c}") if c in keys else F.col(c) for c in other.columns])
     return df.join(probe, _same(keys, "_j"), how).drop(*[f"_j{c}" for c in keys])

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from statelake.functions import floor_to
+from statelake.operators.coverage import coverage, gaps, holes
 
 # Checked tables, their entity columns, bucket length in seconds,
 # and how many entities the report lists.
@@ -38,34 +38,26 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 def bucket_gaps(df: DataFrame, entity: Sequence[str], bucket_seconds: int) -> DataFrame:
     """Entities with fewer buckets than their first and last sample span."""
-    bucket = F.unix_seconds(floor_to("ts", bucket_seconds))
-    per_bucket = df.select(*entity, "ts", bucket.alias("_b")).groupBy(*entity, "_b").agg(
-        F.min("ts").alias("_first"), F.max("ts").alias("_last")
-    )
-    gaps = per_bucket.groupBy(*entity).agg(
-        F.date_format(F.min("_first"), "yyyy-MM-dd").alias("first_ts"),
-        F.date_format(F.max("_last"), "yyyy-MM-dd").alias("last_ts"),
-        (F.floor((F.max("_b") - F.min("_b")) / F.lit(bucket_seconds)) + 1).alias("expected"),
-        F.count("_b").alias("actual"),
-    )
-    return gaps.where("expected > actual").orderBy((F.col("expected") - F.col("actual")).desc(), *entity)
+    return day_names(gaps(coverage(df, entity, bucket_seconds), entity, bucket_seconds))
 
 
-def missing_buckets(df: DataFrame, entity: Sequence[str], bucket_seconds: int) -> DataFrame:
-    """The absent buckets themselves: each hole between two neighbouring buckets
-    is expanded, so the work grows with what is missing and not with the span."""
-    from pyspark.sql.window import Window
+def day_names(found: DataFrame) -> DataFrame:
+    """Holes with their first and last day as text."""
+    return found.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if c in ("first_ts", "last_ts") else c for c in found.columns])
 
-    present = df.select(*entity, floor_to("ts", bucket_seconds).alias("_b")).distinct()
-    after = F.lead("_b").over(Window.partitionBy(*entity).orderBy("_b"))
-    step = F.make_dt_interval(secs=F.lit(bucket_seconds))
-    holes = present.withColumn("_next", after).where(F.col("_next") > F.col("_b") + step)
-    return holes.select(*entity, F.explode(F.sequence(F.col("_b") + step, F.col("_next") - step, step)).alias("ts"))
+
+def missing_buckets(df: DataFrame, entity: Sequence[str], bucket_seconds: int) -> DataFrame:
+    """The absent buckets themselves."""
+    return holes(coverage(df, entity, bucket_seconds), entity, bucket_seconds)
 
 
-def largest(gaps: DataFrame) -> DataFrame:
-    """The first REPORT_ROWS of the rows of ``bucket_gaps``, which come in order."""
-    return gaps.limit(REPORT_ROWS)
+def largest(gaps: DataFrame, entity: Sequence[str]) -> tuple[int, list[Row]]:
+    """Number of entities with holes and the REPORT_ROWS with the largest, in one run of the plan:
+    the rows are counted on their way to the bounded top."""
+    counted = Observation()
+    rows = gaps.observe(counted, F.count(F.lit(1)).alias("n"))
+    first = rows.orderBy((F.col("expected") - F.col("actual")).desc(), *entity).limit(REPORT_ROWS).collect()
+    return counted.get.get("n", 0), first
 
 
 def report(tables: Mapping[str, DataFrame]) -> str:
@@ -82,8 +74,7 @@ def report(tables: Mapping[str, DataFrame]) -> str:
     for name, entity, seconds in GAP_CHECKS:
         if name not in tables:
             continue
-        gaps = bucket_gaps(tables[name], entity, seconds)
-        first, total = largest(gaps).collect(), gaps.count()
+        total, first = largest(bucket_gaps(tables[name], entity, seconds), entity)
         parts.append(f"## {name}: holes of {seconds} s buckets in {total} entities\n")
         parts += [f"* {', '.join(str(r[c]) for c in entity)}: {r['actual']} of {r['expected']} buckets between {r['first_ts']} and {r['last_ts']}" for r in first]
         parts += [f"* and {total - len(first)} others" for _ in [0] if total > len(first)] + [""]

@@ -198,7 +198,7 @@ class Lake:
             laid_out.write.mode("append").partitionBy(spec.partition_column, "batch").parquet(self.path(spec))
         except PySparkException as exc:
             raise _rejected(exc) from exc
-        count = written.get["n"]
+        count = written.get.get("n", 0)
         if count:
             version = before.after(batch, versions.days_of(batch, spec.partition_column), replaces)
             versions.publish(self._with_newest(spec, version, batch) if spec.partitioned else version)

@@ -49,6 +49,8 @@ _TYPES = {
     "exact": T.DecimalType(38, 0),
     "real": T.DoubleType(),
     "flag": T.BooleanType(),
+    "long": T.LongType(),
+    "bytes": T.BinaryType(),
 }
 
 # Table names, column names, column types, column order and keys.

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statelake.plans import book_views, market_views, vault_views
+from statelake.operators.coverage import gaps, holes
+from statelake.plans import book_views, market_views, quality, vault_views
 from statelake.plans.reader import Reader
 from statelake.sources import Lake, resume_from
+from statelake.sources.covered import cover, coverage_table
 from statelake.tables import MARKET_FLOWS, TABLES
 
 from .adapters import Given
@@ -44,7 +46,19 @@ def resumed(g: Given) -> DataFrame:
     return resume_from(flows, lake.newest(MARKET_FLOWS), first_since="2024-01-25 00:00:00").select("tx_hash", "log_index", "ts", "chain_id")
 
 
+def covered(g: Given, name: str, entity: list[str]) -> DataFrame:
+    """Coverage of a table whose rows came in three batches, the last of which repeats some."""
+    lake, spec, df = fresh_lake(g), TABLES[name], g.table(name)
+    for condition in ("day(ts) < 12", "day(ts) >= 20", "day(ts) >= 10 and day(ts) < 22"):
+        cover(lake, spec, df.where(condition), entity, 3600)
+    return lake.scan(coverage_table(spec, entity))
+
+
 STORED_QUERIES = [
+    _like("quality_gaps_merged", "quality_gaps",
+          lambda g: quality.day_names(gaps(covered(g, "market_state", ["chain_id", "market_id"]), ["chain_id", "market_id"], 3600))),
+    _like("quality_missing_merged", "quality_missing_buckets",
+          lambda g: holes(covered(g, "prices", ["chain_id", "token_address"]), ["chain_id", "token_address"], 3600)),
     _like("stored_position_risk", "v_position_risk", lambda g: book_views.v_position_risk(stored(g, "positions", "markets").tables())),
     _like("stored_supplier_concentration", "v_supplier_concentration",
           lambda g: book_views.v_supplier_concentration(stored(g, "supplier_positions", "markets").tables())),
