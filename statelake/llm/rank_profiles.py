@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import Memo, small_batches, text_of
 
 NONE = "und"
+# Different n-grams that a worker keeps numbers of, and words whose n-grams are counted at once.
+MET, TOGETHER = 300_000, 20_000
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -87,29 +89,56 @@ class Ranker:
         for row, p in enumerate(profiles.values()):
             for rank, g in enumerate(p):
                 self.ranks[row, self.ids[g]] = rank
-        self.words = Memo(grams, 200_000)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start anew with the n-grams met so far, their places in string order and columns in ``ranks``."""
+        self.met: dict[str, int] = {}
+        self.words = Memo(self._ids, 200_000)
+        self.order = self.columns = np.zeros(0, np.int64)
+
+    def _ids(self, word: str) -> np.ndarray:
+        return np.array([self.met.setdefault(g, len(self.met)) for g in grams(word)], np.int32)
+
+    def _known(self) -> None:
+        if len(self.order) < len(self.met):
+            names = np.array(list(self.met))
+            self.order = np.empty(len(names), np.int64)
+            self.order[np.argsort(names, kind="stable")] = np.arange(len(names))
+            self.columns = np.array([self.ids.get(g, -1) for g in self.met])
+
+    def many(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        if len(self.met) > MET:
+            self._forget()
+        found = [self._counted(letters(t or "")) if self.langs else None for t in texts]
+        self._known()
+        return [(NONE, 0.0) if f is None else self._nearest(*f) for f in found]
+
+    def _counted(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """n-grams of a text and how often each is there."""
+        if not words:
+            return None
+        total = np.zeros(0, np.int64)
+        for at in range(0, len(words), TOGETHER):
+            part = np.bincount(np.concatenate(list(map(self.words.__getitem__, words[at:at + TOGETHER]))), minlength=len(total))
+            part[:len(total)] += total
+            total = part
+        there = np.flatnonzero(total)
+        return there, total[there]
+
+    def _nearest(self, there: np.ndarray, counts: np.ndarray) -> tuple[str, float]:
+        if len(there) > self.top:
+            least = np.partition(counts, len(counts) - self.top)[len(counts) - self.top]
+            there, counts = there[counts >= least], counts[counts >= least]
+        there = there[np.lexsort((self.order[there], -counts))][:self.top]
+        ranks = self.ranks[:, self.columns[there]]
+        away = np.where(ranks >= 0, np.abs(ranks - np.arange(len(there))), self.top).sum(1)
+        best = int(np.argmin(away))
+        return self.langs[best], 1.0 - float(away[best]) / (self.top * len(there))
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        words = Counter(letters(text or ""))
-        if not words or not self.langs:
-            return NONE, 0.0
-        total: dict[str, int] = {}
-        get = total.get
-        for word, n in words.items():
-            for g in self.words[word]:
-                total[g] = get(g, 0) + n
-        rows = list(total.items())
-        if len(rows) > self.top:
-            counts = np.fromiter(total.values(), np.int64, len(rows))
-            least = np.partition(counts, len(rows) - self.top)[len(rows) - self.top]
-            rows = [r for r in rows if r[1] >= least]
-        rows.sort(key=lambda r: (-r[1], r[0]))
-        rows = rows[:self.top]
-        ids = np.array([self.ids.get(g, -1) for g, _ in rows])
-        ranks = self.ranks[:, ids]
-        away = np.where(ranks >= 0, np.abs(ranks - np.arange(len(rows))), self.top).sum(1)
-        best = int(np.argmin(away))
-        return self.langs[best], 1.0 - float(away[best]) / (self.top * len(rows))
+        return self.many([text])[0]
 
 
 ANSWER = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -121,7 +150,7 @@ def identify(documents: DataFrame, profiles: dict[str, list[str]], top: int = 40
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles, top)
         for batch in batches:
-            found = [ranker(t) for t in batch.column("text").to_pylist()]
+            found = ranker.many(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"])

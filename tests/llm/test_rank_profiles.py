@@ -5,6 +5,7 @@ import zlib
 
 from llm_cases import SCHEMA
 
+from statelake.llm import rank_profiles
 from statelake.llm.rank_profiles import NONE, Ranker, grams, languages, letters
 
 
@@ -32,6 +33,18 @@ def test_held_out_accuracy_and_odd_rows(spark, nothing):
     assert {r.lang_pred for r in languages(frame.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")).collect()} == {NONE}
 
 
+def test_long_texts_and_forgotten_grams(monkeypatch):
+    rnd = random.Random(5)
+    profiles = {k: list(dict.fromkeys(g for w in speech(rnd, s, 60).split() for g in grams(w)))[:50] for k, s in TONGUES.items()}
+    texts = [speech(rnd, TONGUES[k], n) for k, n in (("xa", 30_000), ("xb", 7), ("xc", 400), ("xa", 1))] + ["漢字 " * 500, None, "1 2", "ÀÉ ß İ"]
+    expected = Ranker(profiles, 50).many(texts)
+    assert [x[0] for x in expected[:3]] == ["xa", "xb", "xc"] and expected[5] == expected[6] == (NONE, 0.0)
+    monkeypatch.setattr(rank_profiles, "TOGETHER", 11)
+    monkeypatch.setattr(rank_profiles, "MET", 20)
+    again = Ranker(profiles, 50)
+    assert [again(t) for t in texts] == expected and Ranker({}, 50).many(texts[:2]) == [(NONE, 0.0)] * 2
+
+
 def test_distance_against_the_definition():
     rnd = random.Random(4)
     profiles = {k: list(dict.fromkeys(g for w in speech(rnd, s, 60).split() for g in grams(w)))[:50] for k, s in TONGUES.items()}
