@@ -16,18 +16,19 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, small_batches, text_of
+from .common import small_batches, text_of
 
 NONE = "und"
-# Different n-grams that a worker keeps numbers of, and words whose n-grams are counted at once.
-MET, TOGETHER = 300_000, 20_000
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Different words that a worker keeps the n-grams of, and words that are counted at once.
+WORDS, TOGETHER = 200_000, 200_000
+LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
 def grams(word: str) -> list[str]:
@@ -37,7 +38,7 @@ def grams(word: str) -> list[str]:
 
 
 def letters(text: str) -> list[str]:
-    return NOT_LETTERS.sub(" ", text.lower()).split()
+    return LETTERS(text.lower())
 
 
 COUNTED = "lang string, gram string, n long"
@@ -78,6 +79,14 @@ def learn(labelled: DataFrame, top: int = 400) -> dict[str, list[str]]:
     return {lang: [g for _, g in sorted(rows)] for lang, rows in sorted(found.items())}
 
 
+class Numbers(dict):
+    """Numbers of words, in the order they are met."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Ranker:
     def __init__(self, profiles: dict[str, list[str]], top: int):
         self.langs = list(profiles)
@@ -92,15 +101,20 @@ class Ranker:
         self._forget()
 
     def _forget(self) -> None:
-        """Start anew with the n-grams met so far, their places in string order and columns in ``ranks``."""
+        """Start anew: no words, no n-grams."""
+        # n-grams met so far, their places in string order and columns in ``ranks``.
         self.met: dict[str, int] = {}
-        self.words = Memo(self._ids, 200_000)
         self.order = self.columns = np.zeros(0, np.int64)
-
-    def _ids(self, word: str) -> np.ndarray:
-        return np.array([self.met.setdefault(g, len(self.met)) for g in grams(word)], np.int32)
+        # Words met so far; the n-grams of word w are ``flat[starts[w]:starts[w + 1]]``.
+        self.words = Numbers()
+        self.flat, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _known(self) -> None:
+        """Take in the n-grams of new words."""
+        new = [[self.met.setdefault(g, len(self.met)) for g in grams(w)] for w in islice(self.words, len(self.starts) - 1, None)]
+        if new:
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(new), np.int32)])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(n) for n in new])])
         if len(self.order) < len(self.met):
             names = np.array(list(self.met))
             self.order = np.empty(len(names), np.int64)
@@ -109,23 +123,39 @@ class Ranker:
 
     def many(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score of each text."""
-        if len(self.met) > MET:
+        out: list[tuple[str, float]] = []
+        held: list[list[str]] = []
+        count = 0
+        for text in texts:
+            held.append(letters(text or ""))
+            count += len(held[-1])
+            if count >= TOGETHER:
+                out += self._ranked(held)
+                held, count = [], 0
+        return [*out, *self._ranked(held)]
+
+    def _ranked(self, held: list[list[str]]) -> Iterator[tuple[str, float]]:
+        """Answers to texts given as words, all of whose n-grams are counted at once."""
+        if len(self.words) > WORDS:
             self._forget()
-        found = [self._counted(letters(t or "")) if self.langs else None for t in texts]
+        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(held)), np.int64)
         self._known()
-        return [(NONE, 0.0) if f is None else self._nearest(*f) for f in found]
-
-    def _counted(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """n-grams of a text and how often each is there."""
-        if not words:
-            return None
-        total = np.zeros(0, np.int64)
-        for at in range(0, len(words), TOGETHER):
-            part = np.bincount(np.concatenate(list(map(self.words.__getitem__, words[at:at + TOGETHER]))), minlength=len(total))
-            part[:len(total)] += total
-            total = part
-        there = np.flatnonzero(total)
-        return there, total[there]
+        span = max(1, len(self.words))
+        text = np.repeat(np.arange(len(held)), [len(w) for w in held])
+        found, often = np.unique(text * span + word, return_counts=True)
+        text, word = found // span, found % span
+        sizes = self.starts[word + 1] - self.starts[word]
+        ends = np.cumsum(sizes)
+        gram = self.flat[np.repeat(self.starts[word] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        often = np.repeat(often.astype(float), sizes)
+        bounds = np.concatenate([[0], ends])[np.searchsorted(text, np.arange(len(held) + 1))]
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if low == high or not self.langs:
+                yield NONE, 0.0
+                continue
+            total = np.bincount(gram[low:high], often[low:high])
+            there = np.flatnonzero(total)
+            yield self._nearest(there, total[there].astype(np.int64))
 
     def _nearest(self, there: np.ndarray, counts: np.ndarray) -> tuple[str, float]:
         if len(there) > self.top:

@@ -40,7 +40,7 @@ def test_long_texts_and_forgotten_grams(monkeypatch):
     expected = Ranker(profiles, 50).many(texts)
     assert [x[0] for x in expected[:3]] == ["xa", "xb", "xc"] and expected[5] == expected[6] == (NONE, 0.0)
     monkeypatch.setattr(rank_profiles, "TOGETHER", 11)
-    monkeypatch.setattr(rank_profiles, "MET", 20)
+    monkeypatch.setattr(rank_profiles, "WORDS", 20)
     again = Ranker(profiles, 50)
     assert [again(t) for t in texts] == expected and Ranker({}, 50).many(texts[:2]) == [(NONE, 0.0)] * 2
 
