@@ -2,15 +2,20 @@
 
 1. Each task computes the signatures of the lines it sees first and deals their band
    values, packed, to ranges. A range's owner keeps band values that two or more
-   different lines share.
+   different lines share; of bands with the same lines one is kept.
 2. Candidates' texts are fetched; a bitmap of fixed size keeps other lines from being shuffled.
 3. Candidates of a band are verified by exact Jaccard similarity and joined to
    components (``linking``, ``components``: union-find inside tasks, star rounds across).
-   Sizes and sketches, which bound the similarity from above, settle most unlike pairs
-   before their texts are fetched.
-4. Of each component one line stays: the first by document and place.
+   The line that occurs most often is a band's first hub, as its variants are closer to it
+   than to one another. Sizes and sketches, which bound the similarity from above, settle
+   most unlike pairs before their texts are fetched.
+4. Of each component one line stays: the first by document and place. Where lines occur is
+   written once as keys; only lines that occur twice or have a link meet again.
 
-Defined results: null text is empty; lines without a word are never removed; rows of the
+A signature is made by one-permutation hashing: a shingle's hash tells its bin, a bin keeps
+its least hash, an empty bin takes the one of the first filled bin in an order of its own.
+
+Defined results: similarity ignores case and runs of white space; null text is empty; lines without a word are never removed; rows of the
 same ``doc_id`` and text are the same document and keep the same lines; a null ``doc_id``
 comes after every other; other columns are passed on; an empty table gives an empty result.
 """
@@ -32,14 +37,16 @@ from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits
 
 WIDTH = 5
 PERCENT = 80
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 16, 6
+PASSES, BINS = 3, 32
 BITMAP_BITS = 24
 CHUNK = 1 << 16
 SKETCH = [f"s{i}" for i in range(8)]
 SKETCH_BITS = 64 * len(SKETCH)
-# Lists up to this length go without hubs.
-SHORT = 16
-MULTIPLIERS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+MULTIPLIERS = mixed(np.arange(1, PASSES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+# The order in which an empty bin asks the others.
+DONORS = np.argsort(mixed(np.arange(1, BINS * BINS + 1, dtype=np.uint64)).reshape(BINS, BINS), axis=1)
 
 
 def normal(line: str) -> str:
@@ -76,16 +83,36 @@ def hashed(lines: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         at = to
 
 
+def filled(low: np.ndarray) -> np.ndarray:
+    """``low`` (lines by bins) with a filled bin's value in every empty one."""
+    out = low.copy()
+    line, place = np.nonzero(low == EMPTY)
+    for turn in range(BINS):
+        if not len(line):
+            break
+        value = low[line, DONORS[place, turn]]
+        found = value != EMPTY
+        out[line[found], place[found]] = value[found]
+        line, place = line[~found], place[~found]
+    return out
+
+
 def bands(lines: list[str]) -> np.ndarray:
     """Band values of each line (lines by bands), minima over all its shingles."""
     out = np.empty((len(lines), BANDS), np.uint64)
     for at, h, counts in hashed(lines):
-        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        first = np.repeat(np.arange(len(counts)) * BINS, counts)
+        signature = []
+        for multiplier in MULTIPLIERS:
+            value = h * multiplier
+            low = np.full(len(counts) * BINS, EMPTY)
+            np.minimum.at(low, first + (value >> np.uint64(32)).astype(np.int64) % BINS, value)
+            signature.append(filled(low.reshape(-1, BINS)))
+        signature = np.concatenate(signature, axis=1)
         for band in range(BANDS):
             value = np.full(len(counts), band + 1, np.uint64)
             for row in range(ROWS):
-                low = np.minimum.reduceat((h * MULTIPLIERS[band * ROWS + row]) >> np.uint64(32), starts)
-                value = mixed(value ^ low) + np.uint64(row)
+                value = mixed(value ^ signature[:, band * ROWS + row]) + np.uint64(row)
             out[at:at + len(counts), band] = mixed(value)
     return out
 
@@ -203,22 +230,33 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
 
+def _different(lists: DataFrame) -> DataFrame:
+    """One of all lists with the same entries."""
+    sets = lists.groupBy("feature").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("gid")).alias("u"), F.bit_xor(F.xxhash64("gid", F.lit(1))).alias("v"))
+    return lists.join(sets.groupBy("n", "u", "v").agg(F.min("feature").alias("feature")).select("feature"), "feature")
+
+
 def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_key, gone (places of the lines that go): one row for each document that loses any."""
     spark = documents.sparkSession
     small_batches(spark)
     bits = range_bits(partitions(spark))
-    text = text_of(documents)
+    # The text's key is taken before its lines are told apart, else every line would take it anew.
+    keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text_of(documents)).alias("text_key"), F.split(text_of(documents), "\n").alias("lines"))
     lines = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
+        keyed.select("doc_id", "text_key", F.posexplode("lines").alias("place", "line"))
         .where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("key", text_key(F.col("line")))
     )
-    seen = first_seen(lines.select("key", "line"))
-    dealt = seen.mapInArrow(lambda b: _deal(b, bits), DEALT)
-    lists = written(dealt.groupBy("range").applyInArrow(lambda t: _shared(t, bits), "feature long, gid long"), "bands")
-    nodes = lists.select("gid").distinct()
+    places = written(lines.select("doc_id", "text_key", "place", "key"), "places")
+    dealt = first_seen(lines.select("key", "line")).mapInArrow(lambda b: _deal(b, bits), DEALT)
+    shared = written(dealt.groupBy("range").applyInArrow(lambda t: _shared(t, bits), "feature long, gid long"), "bands")
+    counted = written(
+        places.groupBy("key").agg(F.count("*").alias("times")).join(shared.select("gid").distinct(), F.col("key") == F.col("gid"), "left")
+        .where("times > 1 OR gid IS NOT NULL"), "counts")
+    nodes = counted.where("gid IS NOT NULL").select("gid")
+    lists = written(_different(shared).join(counted.select("gid", (-F.col("times")).alias("weight")), "gid"), "lists")
 
-    marks = spark.sparkContext.broadcast(bitmap(lists))
+    marks = spark.sparkContext.broadcast(bitmap(nodes))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,15 +275,13 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = pairs.join(x, "a").join(y, "b").where(may_link("x", "y", percent)).select("a", "b")
         return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(lambda t: _verify(t, percent), "a long, b long")
 
-    labels = families(
-        lists.withColumn("weight", F.lit(0)), nodes.withColumn("node", F.col("gid")), lambda x, y: may_link(x, y, percent), verified, traits, SHORT)
+    labels = families(lists, nodes.withColumn("node", F.col("gid")), lambda x, y: may_link(x, y, percent), verified, traits)
 
+    wanted = counted.join(labels, F.col("key") == F.col("node"), "left").where("times > 1 OR component IS NOT NULL")
+    wanted = wanted.select("key", F.coalesce("component", "key").alias("label"))
+    met = written(places.join(wanted, "key").drop("key"), "met")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "place")
-    firsts = lines.groupBy("key").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-    placed = firsts.join(labels, firsts["key"] == labels["node"], "left").where("component IS NOT NULL OR first != last")
-    placed = placed.select("key", "first", F.coalesce("component", "key").alias("label"))
-    stays = placed.groupBy("label").agg(F.min("first").alias("stays"))
-    gone = lines.select("key", "doc_id", "text_key", "place").join(placed.select("key", "label").join(stays, "label"), "key").where(rank != F.col("stays"))
+    gone = met.join(met.groupBy("label").agg(F.min(rank).alias("stays")), "label").where(rank != F.col("stays"))
     return gone.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("gone"))
 
 
