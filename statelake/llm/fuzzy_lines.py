@@ -39,6 +39,7 @@ WIDTH = 5
 PERCENT = 80
 BANDS, ROWS = 16, 6
 PASSES, BINS = 3, 32
+HUBS = 2
 BITMAP_BITS = 24
 CHUNK = 1 << 16
 SKETCH = [f"s{i}" for i in range(8)]
@@ -72,14 +73,12 @@ def hashed(lines: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         code = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         h = code[:len(code) - WIDTH + 1].copy()
         for i in range(1, WIDTH):
-            h = h * np.uint64(0x100000001B3) + code[i:len(code) - WIDTH + 1 + i]
-        h = mixed(h)
-        ends = np.cumsum(counts)
+            h *= np.uint64(0x100000001B3)
+            h += code[i:len(code) - WIDTH + 1 + i]
         # The last WIDTH - 1 places of a line start no shingle of its own.
         own = np.ones(len(code), bool)
-        for i in range(1, WIDTH):
-            own[ends - i] = False
-        yield at, h[own[:len(h)]], counts - WIDTH + 1
+        own[(np.cumsum(counts)[:, None] - np.arange(1, WIDTH)).ravel()] = False
+        yield at, mixed(h[own[:len(h)]]), counts - WIDTH + 1
         at = to
 
 
@@ -106,14 +105,13 @@ def bands(lines: list[str]) -> np.ndarray:
         for multiplier in MULTIPLIERS:
             value = h * multiplier
             low = np.full(len(counts) * BINS, EMPTY)
-            np.minimum.at(low, first + (value >> np.uint64(32)).astype(np.int64) % BINS, value)
+            np.minimum.at(low, first + ((value >> np.uint64(32)).view(np.int64) & (BINS - 1)), value)
             signature.append(filled(low.reshape(-1, BINS)))
-        signature = np.concatenate(signature, axis=1)
-        for band in range(BANDS):
-            value = np.full(len(counts), band + 1, np.uint64)
-            for row in range(ROWS):
-                value = mixed(value ^ signature[:, band * ROWS + row]) + np.uint64(row)
-            out[at:at + len(counts), band] = mixed(value)
+        rows = np.concatenate(signature, axis=1).reshape(-1, BANDS, ROWS)
+        value = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(counts), 1))
+        for row in range(ROWS):
+            value = mixed(value ^ rows[:, :, row]) + np.uint64(row)
+        out[at:at + len(counts)] = mixed(value)
     return out
 
 
@@ -275,7 +273,7 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = pairs.join(x, "a").join(y, "b").where(may_link("x", "y", percent)).select("a", "b")
         return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(lambda t: _verify(t, percent), "a long, b long")
 
-    labels = families(lists, nodes.withColumn("node", F.col("gid")), lambda x, y: may_link(x, y, percent), verified, traits)
+    labels = families(lists, nodes.withColumn("node", F.col("gid")), lambda x, y: may_link(x, y, percent), verified, traits, HUBS)
 
     wanted = counted.join(labels, F.col("key") == F.col("node"), "left").where("times > 1 OR component IS NOT NULL")
     wanted = wanted.select("key", F.coalesce("component", "key").alias("label"))

@@ -20,18 +20,18 @@ from .components import connected, prepare
 HUBS = 4
 
 
-def _chosen(entries: DataFrame, keys: list[str], seed: int, short: int) -> DataFrame:
-    """For each entry, the hubs of its largest list of over ``short`` entries: its lightest entry and some by hash."""
-    orders = [F.col("weight").cast("long") if seed + s == 0 else F.xxhash64("gid", F.lit(seed + s)) for s in range(HUBS)]
+def _chosen(entries: DataFrame, keys: list[str], seed: int, count: int) -> DataFrame:
+    """For each entry, the hubs of its largest list: its lightest entry and some by hash."""
+    orders = [F.col("weight").cast("long") if seed + s == 0 else F.xxhash64("gid", F.lit(seed + s)) for s in range(count)]
     hubs = entries.groupBy("feature").agg(
-        F.count("*").alias("entries"), F.array(*[F.min(F.struct(o.alias("o"), *keys)) for o in orders]).alias("hubs")).where(F.col("entries") > short)
+        F.count("*").alias("entries"), F.array(*[F.min(F.struct(o.alias("o"), *keys)) for o in orders]).alias("hubs"))
     best = F.max(F.struct("entries", F.transform("hubs", lambda h: F.struct(*[h[k].alias(k) for k in keys])).alias("hubs")))
     found = entries.join(hubs, "feature").groupBy(*keys).agg(best.alias("best")).select(*keys, F.explode("best.hubs").alias("hub"))
     return found.select(*keys, *[F.col("hub")[k].alias(f"hub_{k}") for k in keys])
 
 
 def families(lists: DataFrame, members: DataFrame, may_link: Callable, verified: Callable[[DataFrame], DataFrame],
-             traits: DataFrame | None = None, short: int = 0) -> DataFrame:
+             traits: DataFrame | None = None, hubs: int = HUBS) -> DataFrame:
     """(node, component) of all nodes with a link.
 
     ``lists``    feature, gid, weight, and the columns ``may_link`` reads; one row for each feature of a group
@@ -39,12 +39,12 @@ def families(lists: DataFrame, members: DataFrame, may_link: Callable, verified:
     ``may_link`` Column over the aliases ``x`` and ``y`` of two list rows; false only where no member can link
     ``verified`` keeps those (a, b) pairs that link
     ``traits``   gid and more columns that ``may_link`` reads
-    ``short``    lists of so many entries have no hubs: all their pairs are left to the last step
+    ``hubs``     hubs of a list in each of the two rounds
     """
     prepare(lists.sparkSession)
     faces = members.groupBy("gid").agg(F.min("node").alias("face"))
     stars = (
-        members.join(_chosen(lists, ["gid"], 0, short), "gid").join(faces.select(F.col("gid").alias("hub_gid"), "face"), "hub_gid")
+        members.join(_chosen(lists, ["gid"], 0, hubs), "gid").join(faces.select(F.col("gid").alias("hub_gid"), "face"), "hub_gid")
         .where("node != face").select(F.least("face", "node").alias("a"), F.greatest("face", "node").alias("b")).distinct()
     )
     links = verified(stars).select("a", "b").checkpoint()
@@ -60,7 +60,7 @@ def families(lists: DataFrame, members: DataFrame, may_link: Callable, verified:
     placed, entries = placed_by(links)
     faces = placed.groupBy("gid", "label").agg(F.min("node").alias("face"))
     again = (
-        _chosen(entries, ["gid", "label"], HUBS, short).where("label != hub_label")
+        _chosen(entries, ["gid", "label"], hubs, hubs).where("label != hub_label")
         .join(faces.withColumnRenamed("face", "a"), ["gid", "label"])
         .join(faces.select(F.col("gid").alias("hub_gid"), F.col("label").alias("hub_label"), F.col("face").alias("b")), ["hub_gid", "hub_label"])
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

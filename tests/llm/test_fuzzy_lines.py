@@ -95,3 +95,29 @@ def test_sizes_and_sketches_never_part_similar_lines(spark):
     alike = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if 100 * len(x & y) >= 80 * len(x | y)}
     assert alike <= kept and len(kept) < 2 * len(alike) and len(alike) > 2 * len(lines)
     assert bits.shape == (len(lines), len(SKETCH))
+
+
+def test_recall_of_short_lines():
+    draw = np.random.default_rng(6)
+    hit = total = 0
+    for _ in range(400):
+        words = [f"w{draw.integers(0, 10**4)}" for _ in range(9)]
+        other = list(words)
+        other[0 if draw.random() < 0.5 else -1] = f"v{draw.integers(0, 10**4)}"
+        a, b = " ".join(words), " ".join(other)
+        if len(shingles(a) & shingles(b)) >= 0.8 * len(shingles(a) | shingles(b)):
+            total += 1
+            hit += bool((bands([a])[0] == bands([b])[0]).any())
+    assert total > 100 and hit >= 0.95 * total
+
+
+def test_variants_of_one_line_and_lists_of_unlike_lines(spark):
+    """Variants that are like the frequent line and not like one another, in lists of over 16."""
+    words = [f"word{i}" for i in range(24)]
+    variants = [" ".join(f"other{i}{j}" if j in (i, (i + 7) % 24) else w for j, w in enumerate(words)) for i in range(24)]
+    middle = " ".join(words)
+    assert all(len(shingles(v) & shingles(middle)) < len(shingles(v) | shingles(middle)) for v in variants)
+    rows = [(100 + i, middle) for i in range(5)] + [(i, v) for i, v in enumerate(variants)]
+    out = {(r.doc_id, r.text) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute(rows)
+    assert out == {(d, "\n".join(t.split("\n")[i] for i in want[d, t])) for d, t in rows}
