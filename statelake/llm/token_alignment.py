@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Lately, lasting, small_batches, written
-from .units import ByteLevel, Pieces, joined, units
+from .units import ByteLevel, Pieces, units
 
 # A block ends with the text that brings its links to so many.
 BLOCK = 2_000_000
@@ -65,7 +65,7 @@ class Aligner:
 
     def encode(self, texts: list[str]) -> list[list[tuple[bytes, bytes]]]:
         """Ids on both sides, a long text's in parts that end between units; none for texts that they do not spell."""
-        split = [units(" " + t) if t and not joined(" " + t) else None for t in texts]
+        split = [units(" " + t) if t and not self.b.joined(" " + t) else None for t in texts]
         self.known.provide({u for parts in split if parts for u in parts}, self._new)
         apart = [i for i, parts in enumerate(split) if parts is None and texts[i]]
         whole = [texts[i] for i in apart]

@@ -2,8 +2,9 @@
 
 A byte-level pattern never joins a character with the white space before it, but for one
 space, nor with the white space behind it; ``units`` cuts there. A piece vocabulary cuts at
-the same places, as a space only begins a piece and control characters stand alone, unless
-spaces stand side by side or the text holds other white space (``joined``).
+the same places, as a space only begins a piece and most control characters stand alone, unless
+spaces stand side by side, the text holds other white space or white space that the vocabulary
+has in longer pieces, as a carriage return behind punctuation (``Pieces.joined``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from array import array
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # A word with the space before it; all white space but the last before a word; the last.
 units = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]").findall
-joined = re.compile(f"  |\u2581|[{WHITE[6:]}]").search
 
 
 class ByteLevel:
@@ -57,6 +57,9 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        longer = set("".join(p for p in map(self.model.id_to_piece, range(self.model.get_piece_size())) if len(p) > 1))
+        # Whether a text has white space that a piece may hold beside other characters.
+        self.joined = re.compile(f"  |\u2581|[{WHITE[6:]}{''.join(c for c in WHITE[:5] if c in longer)}]").search
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]

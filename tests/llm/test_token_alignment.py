@@ -90,6 +90,13 @@ def test_units_give_the_ids_of_the_whole(aligner, library, text):
         assert np.frombuffer(b"".join(p[side] for p in parts), "<u4").tolist() == [i for i, _ in tokens]
 
 
+@pytest.mark.parametrize("text", ["\r0", "end.\r\nnext", "a();\r\n}\r\n", "a \r b", "x\r\r\ny"])
+def test_carriage_returns_in_pieces(aligner, library, text):
+    parts = aligner.encode([text])[0]
+    for side, tokens in enumerate(library(text)):
+        assert np.frombuffer(b"".join(p[side] for p in parts), "<u4").tolist() == [i for i, _ in tokens]
+
+
 def test_long_texts_in_parts(aligner, monkeypatch):
     rnd = random.Random(6)
     texts = [prose(rnd, 300), "", prose(rnd, 2000), None or "", prose(rnd, 5)]
