@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statelake.operators import newest
@@ -42,29 +42,60 @@ LIQUIDATIONS = (
     "ts: string, market_id: string, loan_symbol: string, collateral_symbol: string, tx_hash: string, borrower: string, liquidator: string, "
     "repaid_assets: double, seized_assets: double, bad_debt_assets: double, repaid_usd: double, seized_usd: double"
 )
-FLOW_DOCUMENT = f"{HEADER}, data_through string, synced boolean, markets array<struct<{FLOW_MARKETS}>>, whale_flows array<struct<{WHALES}>>, liquidations array<struct<{LIQUIDATIONS}>>"
+FLOW_HEADER_KIND = f"{HEADER}, data_through string, synced boolean"
+FLOW_LISTS = {"markets": f"struct<{FLOW_MARKETS}>", "whale_flows": f"struct<{WHALES}>", "liquidations": f"struct<{LIQUIDATIONS}>"}
 SPELL = "market_id: string, threshold: double, start_ts: string, end_ts: string, duration_min: bigint"
 
 
-def read_back(g: Given, tables: dict[str, DataFrame], table: str, name: str, schema: str) -> DataFrame:
-    """A document of the given tables, as of the newest row of one of them."""
+def lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """block, id and value of each line of a text file that several tasks read: blocks by their
+    first byte, within a block the ids follow the lines."""
+    text = spark.read.option("lineSep", "\n").text(path)
+    return text.select(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+
+
+def elements_of(spark: SparkSession, path: str, header: str, name: str, kind: str) -> DataFrame:
+    """The header's fields, ``place`` from 1 and ``e`` of each element of a document's list.
+
+    A document has its header, each mark and each element on a line of its own, so its lines are
+    parsed apart from each other. A line's number is its place in its block plus the lines of
+    the blocks before it; the table of blocks has a row for every split of the file.
+    """
+    lines = lines_of(spark, path)
+    ids_of = lambda mark: F.array_sort(F.collect_list(F.when(F.col("value") == mark, F.col("id"))))
+    blocks = lines.groupBy("block").agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.min_by("value", "id").alias("head"),
+        ids_of(f',"{name}":[').alias("opened"), ids_of("]").alias("closed"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    everywhere = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    numbers = lambda ids: F.flatten(F.collect_list(F.transform(ids, lambda i: i + F.col("shift"))).over(everywhere))
+    strict = {"mode": "FAILFAST"}
+    blocks = blocks.withColumn("shift", shift).select(
+        "block", "shift", F.from_json(F.concat(F.first("head").over(everywhere), F.lit("}")), header, strict).alias("h"),
+        F.array_min(numbers("opened")).alias("opened"), numbers("closed").alias("closed"),
+    ).withColumn("closed", F.array_min(F.filter("closed", lambda i: i > F.col("opened"))))
+    inside = lines.join(F.broadcast(blocks), "block").withColumn("row", F.col("id") + F.col("shift")).where("row > opened AND row < closed")
+    return inside.select("h.*", (F.col("row") - F.col("opened")).alias("place"), F.from_json(F.ltrim("value", F.lit(",")), kind, strict).alias("e"))
+
+
+def read_back(g: Given, tables: dict[str, DataFrame], table: str, name: str, header: str, elements: str, kind: str) -> DataFrame:
+    """A list of a document of the given tables, as of the newest row of one of them."""
     folder = f"{shared_dir(g.spark)}/documents-{uuid.uuid4().hex}"
     as_of = tables[table].select(newest(tables[table])).first()[0]
     run_export(g.spark, tables, folder, as_of, only=[name])
-    return g.spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(f"{folder}/{name}")
+    return elements_of(g.spark, f"{folder}/{name}", header, elements, kind)
 
 
-def flattened(df: DataFrame, elements: str, *header: str) -> DataFrame:
+def flattened(df: DataFrame, *header: str) -> DataFrame:
     """One row per element: the header's fields, the element's place from 1 and its fields, blocks' fields beside them."""
-    listed = df.select("schema_version", "generated_at", F.col("chain_id").alias("header_chain"), *header, F.posexplode(elements).alias("place", "e"))
-    kinds = listed.schema["e"].dataType
     fields: list[Column] = []
-    for f in kinds:
+    for f in df.schema["e"].dataType:
         if f.dataType.typeName() == "struct":
             fields += [F.col(f"e.{f.name}.{inner}").alias(inner) for inner in f.dataType.fieldNames()]
         else:
             fields.append(F.col(f"e.{f.name}").alias(f.name))
-    return listed.select(*[c for c in listed.columns if c not in ("place", "e")], (F.col("place") + 1).cast("bigint").alias("place"), *fields)
+    return df.select("schema_version", "generated_at", F.col("chain_id").alias("header_chain"), *header, F.col("place").cast("bigint").alias("place"), *fields)
 
 
 def points(df: DataFrame, history: str) -> DataFrame:
@@ -76,18 +107,19 @@ def points(df: DataFrame, history: str) -> DataFrame:
 
 def health_document(g: Given) -> DataFrame:
     t = g.tables("market_state", "markets", "prices", "positions", "supplier_positions")
-    document = read_back(g, t, "market_state", "market_health.json", f"{HEADER}, markets array<struct<{HEALTH}>>")
-    return points(flattened(document, "markets"), "history")
+    document = read_back(g, t, "market_state", "market_health.json", HEADER, "markets", f"struct<{HEALTH}>")
+    return points(flattened(document), "history")
 
 
-def flow_document(g: Given) -> DataFrame:
-    return read_back(g, flow_tables(g), "market_flows", "market_flows.json", FLOW_DOCUMENT)
+def flow_document(g: Given, elements: str) -> DataFrame:
+    document = read_back(g, flow_tables(g), "market_flows", "market_flows.json", FLOW_HEADER_KIND, elements, FLOW_LISTS[elements])
+    return flattened(document, "data_through", "synced")
 
 
 def spell_document(g: Given, name: str, *numbers: str) -> DataFrame:
     kind = f"{SPELL}, {', '.join(f'{n}: double' for n in numbers)}, open: boolean"
     t = dense(g)
-    return flattened(read_back(g, t, "market_state", name, f"{HEADER}, spells array<struct<{kind}>>"), "spells")
+    return flattened(read_back(g, t, "market_state", name, HEADER, "spells", f"struct<{kind}>"))
 
 
 def header_sql(as_of: str, chains: str, more: str = "") -> str:
@@ -136,7 +168,7 @@ DOCUMENT_QUERIES = [
         {**_SQL["export_latest_panel"].digits, **SIX("min_hf", "pct_debt_hf_lt_105", "top3_debt_pct", "top1_supply_pct", "top3_supply_pct", "point_supply_apy", "point_u")},
     ),
     Query(
-        "document_market_flows", lambda g: points(flattened(flow_document(g), "markets", "data_through", "synced"), "flow_history"),
+        "document_market_flows", lambda g: points(flow_document(g, "markets"), "flow_history"),
         with_tables(f"""
             SELECT {FLOW_HEADER}, s.* EXCLUDE (chain_id), strftime(h.ts, {ISO}) AS point_ts, h.net_supply_flow AS point_net_supply_flow,
                    h.net_borrow_flow AS point_net_borrow_flow
@@ -145,14 +177,14 @@ DOCUMENT_QUERIES = [
         {**{c: 4 for c in FLOW_NUMBERS}, "point_net_supply_flow": 4, "point_net_borrow_flow": 4},
     ),
     Query(
-        "document_whale_flows", lambda g: flattened(flow_document(g), "whale_flows", "data_through", "synced"),
+        "document_whale_flows", lambda g: flow_document(g, "whale_flows"),
         with_tables(f"""SELECT {FLOW_HEADER}, {FEED}, w.* EXCLUDE (chain_id, ts), strftime(ts, {ISO}) AS ts FROM whales w""",
                     *FM, "market_state", flows=FLOWS, summary=SUMMARY,
                     whales=_body("export_whale_feed", "SELECT ts, chain_id, market_id, loan_symbol, tx_hash")),
         SIX("flow", "pct_of_supply"),
     ),
     Query(
-        "document_liquidations", lambda g: flattened(flow_document(g), "liquidations", "data_through", "synced"),
+        "document_liquidations", lambda g: flow_document(g, "liquidations"),
         with_tables(f"""SELECT {FLOW_HEADER}, {FEED}, w.* EXCLUDE (chain_id, ts), strftime(ts, {ISO}) AS ts FROM feed w""",
                     *FM, "prices", flows=FLOWS, summary=SUMMARY,
                     feed=_body("export_liquidation_feed", "SELECT f.ts, f.chain_id")),
