@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, text_of
 
 NONE = "und"
-# Different words that a worker keeps the n-grams of, and words that are counted at once.
-WORDS, TOGETHER = 200_000, 200_000
+# Different words that a worker keeps the n-grams of, words that are counted and words that are cut at once.
+WORDS, TOGETHER, PART = 200_000, 200_000, 50_000
 LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -37,6 +37,41 @@ def grams(word: str) -> list[str]:
     return list(word) + [padded[i:i + n] for n in (2, 3) for i in range(len(padded) - n + 1)]
 
 
+def cut(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``grams`` of words, one word's after the other's, and how many each has.
+
+    An n-gram is a number: three code points of 21 bits, raised by one, 0 behind a short
+    n-gram's end. Numbers are in the order of the strings.
+    """
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    code = np.frombuffer(f" {'  '.join(words)} ".encode("utf-32-le"), "<u4").astype(np.int64) + 1 if words else np.zeros(0, np.int64)
+    ends = np.cumsum(sizes + 2)
+    inside = np.ones((len(code), 3), bool)
+    inside[ends - 1] = False
+    inside[ends - 2, 2] = False
+    inside[ends - sizes - 2, 0] = False
+    found = np.empty((len(code), 3), np.int64)
+    found[:, 0] = code << 42
+    found[:, 1] = found[:, 0]
+    found[:-1, 1] |= code[1:] << 21
+    found[:, 2] = found[:, 1]
+    found[:-2, 2] |= code[2:]
+    return found[inside], 3 * sizes + 1
+
+
+def spelled(numbers: np.ndarray) -> list[str]:
+    """The strings of n-grams."""
+    codes = np.stack([numbers >> 42, numbers >> 21 & 0x1FFFFF, numbers & 0x1FFFFF], 1)
+    return np.maximum(codes - 1, 0).astype("<u4").view("<U3").ravel().tolist()
+
+
+def numbered(names: list[str]) -> np.ndarray:
+    """The numbers of n-grams."""
+    codes = np.array(names, "<U3").view("<u4").reshape(-1, 3).astype(np.int64)
+    codes += codes > 0
+    return codes[:, 0] << 42 | codes[:, 1] << 21 | codes[:, 2]
+
+
 def letters(text: str) -> list[str]:
     return LETTERS(text.lower())
 
@@ -50,12 +85,13 @@ def _count(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, counts in words.items():
-            total: Counter = Counter()
-            for word, n in counts.items():
-                for g in grams(word):
-                    total[g] += n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(total), pa.string()), pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["lang", "gram", "n"])
+            known = iter(counts)
+            while part := list(islice(known, PART)):
+                gram, sizes = cut(part)
+                found, which = np.unique(gram, return_inverse=True)
+                often = np.repeat(np.fromiter(map(counts.__getitem__, part), float), sizes)
+                n = np.bincount(which, often).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(spelled(found), pa.string()), pa.array(n)], names=["lang", "gram", "n"])
         words.clear()
 
     for batch in batches:
@@ -91,35 +127,44 @@ class Ranker:
     def __init__(self, profiles: dict[str, list[str]], top: int):
         self.langs = list(profiles)
         self.top = top
-        known = sorted({g for p in profiles.values() for g in p})
-        self.ids = {g: i for i, g in enumerate(known)}
+        self.known = np.unique(numbered([g for p in profiles.values() for g in p]))
         # rank in each profile by n-gram; unknown n-grams share the last column.
-        self.ranks = np.full((len(self.langs), len(known) + 1), -1, np.int64)
+        self.ranks = np.full((len(self.langs), len(self.known) + 1), -1, np.int64)
         for row, p in enumerate(profiles.values()):
-            for rank, g in enumerate(p):
-                self.ranks[row, self.ids[g]] = rank
+            self.ranks[row, np.searchsorted(self.known, numbered(p))] = np.arange(len(p))
         self._forget()
 
     def _forget(self) -> None:
         """Start anew: no words, no n-grams."""
-        # n-grams met so far, their places in string order and columns in ``ranks``.
-        self.met: dict[str, int] = {}
-        self.order = self.columns = np.zeros(0, np.int64)
+        # n-grams met so far and their columns in ``ranks``; the same n-grams sorted, and where they were met.
+        self.met = self.columns = self.sorted = self.at = np.zeros(0, np.int64)
         # Words met so far; the n-grams of word w are ``flat[starts[w]:starts[w + 1]]``.
         self.words = Numbers()
         self.flat, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _known(self) -> None:
         """Take in the n-grams of new words."""
-        new = [[self.met.setdefault(g, len(self.met)) for g in grams(w)] for w in islice(self.words, len(self.starts) - 1, None)]
-        if new:
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(new), np.int32)])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(n) for n in new])])
-        if len(self.order) < len(self.met):
-            names = np.array(list(self.met))
-            self.order = np.empty(len(names), np.int64)
-            self.order[np.argsort(names, kind="stable")] = np.arange(len(names))
-            self.columns = np.array([self.ids.get(g, -1) for g in self.met])
+        new = islice(self.words, len(self.starts) - 1, None)
+        while part := list(islice(new, PART)):
+            gram, sizes = cut(part)
+            found, which = np.unique(gram, return_inverse=True)
+            at = np.searchsorted(self.sorted, found)
+            there = at < len(self.sorted)
+            there[there] = self.sorted[at[there]] == found[there]
+            ids = np.empty(len(found), np.int64)
+            ids[there] = self.at[at[there]]
+            ids[~there] = len(self.met) + np.arange(len(found) - there.sum())
+            self._meet(found[~there], at[~there], ids[~there])
+            self.flat = np.concatenate([self.flat, ids[which].astype(np.int32)])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def _meet(self, fresh: np.ndarray, at: np.ndarray, ids: np.ndarray) -> None:
+        """New n-grams, sorted, with their places among the sorted ones."""
+        self.met = np.concatenate([self.met, fresh])
+        self.sorted, self.at = np.insert(self.sorted, at, fresh), np.insert(self.at, at, ids)
+        column = np.searchsorted(self.known, fresh)
+        named = np.append(self.known, -1)[column] == fresh
+        self.columns = np.concatenate([self.columns, np.where(named, column, -1)])
 
     def many(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score of each text."""
@@ -161,7 +206,7 @@ class Ranker:
         if len(there) > self.top:
             least = np.partition(counts, len(counts) - self.top)[len(counts) - self.top]
             there, counts = there[counts >= least], counts[counts >= least]
-        there = there[np.lexsort((self.order[there], -counts))][:self.top]
+        there = there[np.lexsort((self.met[there], -counts))][:self.top]
         ranks = self.ranks[:, self.columns[there]]
         away = np.where(ranks >= 0, np.abs(ranks - np.arange(len(there))), self.top).sum(1)
         best = int(np.argmin(away))

@@ -6,7 +6,7 @@ import zlib
 from llm_cases import SCHEMA
 
 from statelake.llm import rank_profiles
-from statelake.llm.rank_profiles import NONE, Ranker, grams, languages, letters
+from statelake.llm.rank_profiles import NONE, Ranker, cut, grams, languages, letters, numbered, spelled
 
 
 def speech(rnd, syllables, n):
@@ -57,3 +57,21 @@ def test_distance_against_the_definition():
     away = {k: sum(abs(p.index(g) - i) if g in p else 50 for i, g in enumerate(ranked)) for k, p in profiles.items()}
     best = min(away, key=lambda k: (away[k], k))
     assert Ranker(profiles, 50)(text) == (best, 1 - away[best] / (50 * len(ranked)))
+
+
+def test_words_are_cut_at_once():
+    words = ["a", "éa", "über", "漢字", "\U00020000x", "the", "z" * 40]
+    numbers, sizes = cut(words)
+    ends = sizes.cumsum().tolist()
+    for word, lo, hi in zip(words, [0, *ends], ends, strict=False):
+        assert sorted(spelled(numbers[lo:hi])) == sorted(grams(word))
+    names = sorted({g for w in words for g in grams(w)})
+    assert numbered(names).tolist() == sorted(set(numbers.tolist())) and spelled(numbered(names)) == names
+    assert [len(x) for x in cut([])] == [0, 0]
+
+
+def test_new_words_cost_no_loop_over_their_grams(monkeypatch):
+    monkeypatch.setattr(rank_profiles, "grams", None)
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("abcdefghij") for _ in range(9)) for _ in range(50)]
+    assert [lang for lang, _ in Ranker({"x": ["a", "ab", " c"], "y": ["zz"]}, 5).many(texts)] == ["x"] * 50
