@@ -156,7 +156,7 @@ class Lately(dict):
             new = set(keys)
         known = new & self.before.keys()
         self.update((k, self.before[k]) for k in known)
-        new = sorted(new - known)
+        new = list(new - known)
         for at in range(0, len(new), 5000):
             part = new[at:at + 5000]
             self.update(zip(part, make(part), strict=True))

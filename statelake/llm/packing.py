@@ -22,6 +22,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,8 +65,11 @@ class Encoder:
     def words(self, texts: list[str]) -> list[bytes]:
         """Ids of parts that begin with a space and hold no other: one call for all, cut where
         the tokens' bytes fill a part."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(t.encode()) for t in texts])) + 1
+        line = "".join(texts)
+        ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+        line_bytes = np.frombuffer(line.encode(), np.uint8)
+        bounds = np.append(np.flatnonzero(line_bytes == 32)[1:], len(line_bytes))
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), bounds) + 1
         data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
         return [data[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
 
@@ -77,9 +81,12 @@ class Encoder:
             return []
         # The tokenizer's pattern cuts before every space that stands alone between two other
         # characters, so units that end there are tokenized apart from each other.
-        if len(" ".join(text.split())) != len(text):
+        found = text.split()
+        line = " ".join(found)
+        if len(line) != len(text):
             return [" " + part for part in re.split(r"(?<=\S)(?= \S)", text)]
-        found = text.split(" ")
+        if line != text:
+            found = text.split(" ")
         found[0] = " " + found[0]
         return found
 
@@ -89,29 +96,30 @@ class Encoder:
         return unit[:-1] if unit[-1] in MARKS and unit[-2:-1].isalpha() else unit
 
     def _new(self, units: list[str]) -> list[bytes]:
-        bare = {self.bare(u) for u in units}
-        made = {b: ids for b in bare if (ids := self.known.get(b) or self.known.before.get(b)) is not None}
-        bare -= made.keys()
-        # Parts with white space in them, or at the head of a text, are tokenized one by one.
-        alone = sorted(b for b in bare if len(b.split()) != 1 or len(b.split()[0]) != len(b))
+        bares = [self.bare(u) for u in units]
+        made: dict[str, bytes] = {}
+        alone, words = [], []
+        for b in set(bares):
+            ids = self.known.get(b) or self.known.before.get(b)
+            if ids is not None:
+                made[b] = ids
+            # Parts with white space in them, or at the head of a text, are tokenized one by one.
+            elif b.split() != [b]:
+                alone.append(b)
+            else:
+                words.append(b)
         made.update(zip(alone, self.whole([b[1:] if b[0] == " " else " " + b for b in alone]), strict=True))
-        words = sorted(bare - set(alone))
         if words:
             made.update(zip(words, self.words([" " + b for b in words]), strict=True))
-        return [made[b] + (self.marks[u[-1]] if len(b) < len(u) else b"") for u in units for b in [self.bare(u)]]
+        return [made[b] + self.marks[u[-1]] if len(b) < len(u) else made[b] for u, b in zip(units, bares, strict=True)]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         apart = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
         whole = dict(zip(apart, self.whole([texts[i] for i in apart]), strict=True))
         split = [[] if i in whole else self.units(t) for i, t in enumerate(texts)]
-        found = [list(map(self.known.get, units)) for units in split]
-        missing = {u for units, ids in zip(split, found, strict=True) if None in ids for u, i in zip(units, ids, strict=True) if i is None}
-        if missing:
-            self.known.provide(missing, self._new)
-        for at, (units, ids) in enumerate(zip(split, found, strict=True)):
-            if None in ids:
-                ids = [self.known[u] if i is None else i for u, i in zip(units, ids, strict=True)]
-            yield whole[at] if at in whole else b"".join(ids)
+        self.known.provide(set(chain.from_iterable(split)), self._new)
+        for at, units in enumerate(split):
+            yield whole[at] if at in whole else b"".join(map(self.known.__getitem__, units))
 
 
 def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:

@@ -90,3 +90,14 @@ def test_exact_complements_come_first():
     assert plan({6: 1, 4: 1, 3: 1, 1: 1}, 10) == [((6, 4), 1), ((3, 1), 1)]
     assert plan({6: 1, 3: 1, 1: 1}, 10) == [((6, 3, 1), 1)]
     assert plan({5: 1, 2: 2, 1: 1}, 10) == [((5, 2, 2, 1), 1)]
+
+
+def test_a_unit_is_looked_up_once_a_batch(monkeypatch):
+    encode = Encoder(PATH)
+    text = "one two. é漢 x\ny  z " * 50
+    (expected,) = encode([text])
+    assert expected == encode.whole([text])[0]
+    asked = []
+    monkeypatch.setattr(encode, "known", type("Asked", (type(encode.known),), {"get": lambda self, *a: asked.append(a) or dict.get(self, *a)})(encode.known.most))
+    assert list(encode([text, text])) == [expected] * 2
+    assert len(asked) == len({encode.bare(u) for u in encode.units(text)})
