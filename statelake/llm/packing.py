@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,24 +27,38 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Lately, lasting, small_batches, text_of, written
+from .common import Lately, Memo, lasting, small_batches, text_of, written
+from .units import WHITE
 
 SIZE = 2048
 END = 0
-MARKS = ".,!?;:"
+MARKS = string.punctuation
 SLICES = 64
+# Bytes of text that are looked up together.
+TOGETHER = 4 << 20
+
+# White space as the tokenizer's pattern has it, and the empty end of a text.
+BLANK = {"", *re.findall(f"[{WHITE}]", "".join(map(chr, range(0x3001))))}
+cut_units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts as little-endian unsigned 32-bit bytes.
+
+    Texts are cut into units that are tokenized apart from each other: the tokenizer's pattern
+    cuts before all white space that follows another character, so a unit is white space and
+    the characters up to the next. A unit that begins with neither stands for itself after a
+    space; a text that begins with none is read after a line feed, whose one id is taken off.
+    """
 
-    def __init__(self, path: str, most_units: int = 300_000):
+    def __init__(self, path: str, most_units: int = 600_000):
         from tokenizers import Tokenizer
 
         # Spark runs one task for each core.
@@ -51,49 +66,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # The literals of these tokens have their own ids and cut a text wherever they stand.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Texts that are not words with one space or one line feed between them.
+        white = f"[{WHITE}]"
+        self.odd = "|".join([r"\A\z", rf"\A{white}", rf"{white}\z", white * 2, f"[{WHITE.translate({10: None, 32: None})}]", *map(re.escape, self.added)])
         self.known = Lately(most_units)
         # A token's text has one character for each of its bytes.
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)
-        self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
+        self.marks = Memo(lambda run: self.whole([run])[0])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, texts: list[str]) -> list[bytes]:
-        """Ids of parts that begin with a space and hold no other: one call for all, cut where
+        """Ids of parts that begin, and do not end, with white space: one call for all, cut where
         the tokens' bytes fill a part."""
-        line = "".join(texts)
-        ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-        line_bytes = np.frombuffer(line.encode(), np.uint8)
-        bounds = np.append(np.flatnonzero(line_bytes == 32)[1:], len(line_bytes))
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        bounds = np.cumsum(pc.binary_length(pa.array(texts, pa.string())).to_numpy())
         ends = np.searchsorted(np.cumsum(self.sizes[ids]), bounds) + 1
         data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
         return [data[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
 
     @staticmethod
     def units(text: str) -> list[str]:
-        """Parts of a text that are tokenized apart from each other. A part without a space
-        stands for itself after a space; one that begins with a space for what follows it."""
-        if not text:
-            return []
-        # The tokenizer's pattern cuts before every space that stands alone between two other
-        # characters, so units that end there are tokenized apart from each other.
-        found = text.split()
-        line = " ".join(found)
-        if len(line) != len(text):
-            return [" " + part for part in re.split(r"(?<=\S)(?= \S)", text)]
-        if line != text:
-            found = text.split(" ")
-        found[0] = " " + found[0]
-        return found
+        """The units of a text, or of a line feed and the text if it does not begin with white space."""
+        if text and text[0] not in BLANK:
+            text = "\n" + text
+        return [u[1:] if u[0] == " " and u[1:2] not in BLANK else u for u in cut_units(text)]
 
     @staticmethod
     def bare(unit: str) -> str:
-        """A unit without the mark that follows its last letter; the tokenizer's pattern cuts there."""
-        return unit[:-1] if unit[-1] in MARKS and unit[-2:-1].isalpha() else unit
+        """A unit without the marks that follow its last letter; the tokenizer's pattern cuts there."""
+        bare = unit.rstrip(MARKS)
+        return bare if bare[-1:].isalpha() else unit
 
     def _new(self, units: list[str]) -> list[bytes]:
         bares = [self.bare(u) for u in units]
@@ -103,23 +110,47 @@ class Encoder:
             ids = self.known.get(b) or self.known.before.get(b)
             if ids is not None:
                 made[b] = ids
-            # Parts with white space in them, or at the head of a text, are tokenized one by one.
-            elif b.split() != [b]:
+            elif b[-1] in BLANK:
                 alone.append(b)
             else:
                 words.append(b)
-        made.update(zip(alone, self.whole([b[1:] if b[0] == " " else " " + b for b in alone]), strict=True))
+        made.update(zip(alone, self.whole(alone), strict=True))
         if words:
-            made.update(zip(words, self.words([" " + b for b in words]), strict=True))
-        return [made[b] + self.marks[u[-1]] if len(b) < len(u) else made[b] for u, b in zip(units, bares, strict=True)]
+            made.update(zip(words, self.words([b if b[0] in BLANK else " " + b for b in words]), strict=True))
+        return [made[b] + self.marks[u[len(b):]] if len(b) < len(u) else made[b] for u, b in zip(units, bares, strict=True)]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        apart = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
-        whole = dict(zip(apart, self.whole([texts[i] for i in apart]), strict=True))
-        split = [[] if i in whole else self.units(t) for i, t in enumerate(texts)]
-        self.known.provide(set(chain.from_iterable(split)), self._new)
-        for at, units in enumerate(split):
-            yield whole[at] if at in whole else b"".join(map(self.known.__getitem__, units))
+        return self.encoded(pa.array(texts, pa.large_string()))
+
+    def encoded(self, texts: pa.LargeStringArray) -> Iterator[bytes]:
+        is_odd = pc.match_substring_regex(texts, self.odd)
+        odd = texts.filter(is_odd).to_pylist()
+        apart = [i for i, t in enumerate(odd) if any(a in t for a in self.added)]
+        whole = dict(zip(apart, self.whole([odd[i] for i in apart]), strict=True))
+        split = [[] if i in whole else self.units(t) for i, t in enumerate(odd)]
+
+        # The other texts are cut at their spaces, column-wise.
+        text = pa.large_string()
+        lines = pc.replace_substring(texts.filter(pc.invert(is_odd)), "\n", " \n")
+        lines = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", text), lines, pa.scalar("", text)), " ")
+        places = lines.flatten().dictionary_encode()
+        different = places.dictionary.to_pylist()
+        self.known.provide({*different, *chain.from_iterable(split)}, self._new)
+        found = pa.array(map(self.known.__getitem__, different), pa.large_binary()).take(places.indices)
+        _, offsets, data = found.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[lines.offsets.to_numpy()].tolist() if len(lines) else [0]
+        straight = zip(bounds[:-1], bounds[1:], strict=True)
+
+        at = 0
+        for odd_one in is_odd.to_pylist():
+            if odd_one:
+                ids = whole[at] if at in whole else b"".join(map(self.known.__getitem__, split[at]))
+                headed = at not in whole and odd[at][:1] not in BLANK
+                at += 1
+                yield ids[4:] if headed else ids
+            else:
+                lo, hi = next(straight)
+                yield data[lo + 4:hi].to_pybytes()
 
 
 def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:
@@ -129,12 +160,25 @@ def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:
     return [(lo, hi - lo, zlib.crc32(ids[4 * lo:4 * hi])) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+def _together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they have so many bytes (the last may be smaller)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
     encode, close = lasting(f"encoder {path}", lambda: Encoder(path)), np.array([END], "<u4").tobytes()
-    for batch in batches:
+    wide = pa.schema([("doc_id", pa.int64()), ("text", pa.large_string())])
+    for batch in _together((b.cast(wide) for b in batches), TOGETHER):
         rows = [
             (doc, i, *part)
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True)
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.encoded(batch.column("text")), strict=True)
             for i, part in enumerate(cut(ids + close, size))
         ]
         if rows:

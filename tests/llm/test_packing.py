@@ -101,3 +101,47 @@ def test_a_unit_is_looked_up_once_a_batch(monkeypatch):
     monkeypatch.setattr(encode, "known", type("Asked", (type(encode.known),), {"get": lambda self, *a: asked.append(a) or dict.get(self, *a)})(encode.known.most))
     assert list(encode([text, text])) == [expected] * 2
     assert len(asked) == len({encode.bare(u) for u in encode.units(text)})
+
+
+def library(texts):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(PATH)
+    return [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_any_white_space_and_marks():
+    rnd = random.Random(3)
+    alphabet = [*"abist.'s \n\t\r\x1c\x85\xa0　é漢<|>0_#́😀", "'ll", " ", "\n", "\n\n", "the", " of", "!!", "<|endoftext|>"]
+    texts = ["".join(rnd.choices(alphabet, k=rnd.randint(0, 14))) for _ in range(3000)]
+    encode = Encoder(PATH, most_units=500)
+    for at in range(0, len(texts), 300):
+        part = texts[at:at + 300]
+        assert list(encode(part)) == library(part)
+
+
+def test_a_word_is_tokenized_once_beside_line_feeds_and_marks(monkeypatch):
+    words = [f"{a}{b}o" for a in "bdfglm" for b in "aeiou"]
+    texts = ["".join(f"{a}\n{b} {b}### {a}{mark} " for b in words for mark in (".", "%%", "!?"))[:-1] for a in words]
+    encode, handed = Encoder(PATH), []
+    whole, joined = encode.whole, encode.words
+    monkeypatch.setattr(encode, "whole", lambda texts: handed.extend(texts) or whole(texts))
+    monkeypatch.setattr(encode, "words", lambda texts: handed.extend(texts) or joined(texts))
+    assert list(encode(texts)) == library(texts)
+    assert len(handed) < 3 * len(words)
+
+
+def test_small_batches_are_looked_up_together(monkeypatch):
+    import pyarrow as pa
+
+    from statelake.llm import packing
+
+    texts = ["one two", "", "three\nfour", "two  one ", "x<|endoftext|>y"] * 40
+    batches = [pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([t])], names=["doc_id", "text"]) for i, t in enumerate(texts)]
+    encode, asked = Encoder(PATH), []
+    provide = encode.known.provide
+    monkeypatch.setattr(encode.known, "provide", lambda *a: asked.append(a) or provide(*a))
+    monkeypatch.setattr(packing, "lasting", lambda name, make: encode)
+    rows = [r for b in packing._pieces(iter(batches), PATH, 2048) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["ids_crc32"]) for r in rows] == [(i, zlib.crc32(ids + bytes(4))) for i, ids in enumerate(library(texts))]
+    assert len(asked) == 1
