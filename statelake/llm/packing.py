@@ -163,11 +163,13 @@ def cut(ids: bytes, size: int) -> list[tuple[int, int, int]]:
 def _together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Batches joined until they have so many bytes (the last may be smaller)."""
     held: list[pa.RecordBatch] = []
+    count = 0
     for batch in batches:
         held.append(batch)
-        if sum(b.nbytes for b in held) >= size:
+        count += batch.nbytes
+        if count >= size:
             yield pa.concat_batches(held)
-            held = []
+            held, count = [], 0
     if held:
         yield pa.concat_batches(held)
 
