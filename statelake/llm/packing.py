@@ -134,7 +134,7 @@ class Encoder:
         lines = pc.replace_substring(texts.filter(pc.invert(is_odd)), "\n", " \n")
         lines = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", text), lines, pa.scalar("", text)), " ")
         places = lines.flatten().dictionary_encode()
-        different = places.dictionary.to_pylist()
+        different = places.dictionary.to_numpy(zero_copy_only=False).tolist()
         self.known.provide({*different, *chain.from_iterable(split)}, self._new)
         found = pa.array(map(self.known.__getitem__, different), pa.large_binary()).take(places.indices)
         _, offsets, data = found.buffers()
