@@ -49,20 +49,10 @@ def connected(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
 
     ``edges`` has columns a, b (long). Loops and repeated edges are allowed, nulls are dropped.
     """
-    prepare(edges.sparkSession)
-    edges = local_forest(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")).distinct().checkpoint()
+    edges = _forest(edges)
     before = _sum_of(edges)
     for _ in range(most_rounds):
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        # Large star: every larger neighbour hangs onto the smallest one.
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        # Small star: the smaller neighbours, and the node itself, hang onto the smallest.
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        edges = (
-            large.join(small, "a").select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b"))
-            .where("a != b").distinct().checkpoint()
-        )
+        edges = _stars(edges)
         after = _sum_of(edges)
         if after == before:
             break
@@ -73,6 +63,34 @@ def connected(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def partly_connected(edges: DataFrame, rounds: int = 2) -> DataFrame:
+    """(node, component) after so many rounds: nodes of one component are connected, but not all that are connected need have one."""
+    edges = _forest(edges)
+    for _ in range(rounds):
+        edges = _stars(edges)
+    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b"))
+    return nodes.groupBy("node").agg(F.min("component").alias("component"))
+
+
+def _forest(edges: DataFrame) -> DataFrame:
+    prepare(edges.sparkSession)
+    return local_forest(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")).distinct().checkpoint()
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """One round over edges (larger node, smaller node)."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+    # Large star: every larger neighbour hangs onto the smallest one.
+    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+    # Small star: the smaller neighbours, and the node itself, hang onto the smallest.
+    small = large.groupBy("a").agg(F.min("b").alias("m"))
+    return (
+        large.join(small, "a").select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b"))
+        .where("a != b").distinct().checkpoint()
+    )
+
+
 def _sum_of(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return tuple(row)

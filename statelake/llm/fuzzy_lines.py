@@ -4,11 +4,11 @@
    values, packed, to ranges. A range's owner keeps band values that two or more
    different lines share; of bands with the same lines one is kept.
 2. Candidates' texts are fetched; a bitmap of fixed size keeps other lines from being shuffled.
-3. Candidates of a band are verified by exact Jaccard similarity and joined to
+3. Candidates of a band are verified by their Jaccard similarity and joined to
    components (``linking``, ``components``: union-find inside tasks, star rounds across).
    The line that occurs most often is a band's first hub, as its variants are closer to it
    than to one another. Sizes and sketches, which bound the similarity from above, settle
-   most unlike pairs before their texts are fetched.
+   most unlike pairs before their texts are fetched; a pair is met in one of its bands only.
 4. Of each component one line stays: the first by document and place. Where lines occur is
    written once as keys; only lines that occur twice or have a link meet again.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from hashlib import sha256
 from operator import add
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import first_of_runs, first_seen, partitions, plain, small_batches, text_key, text_of, written
+from .common import first_of_runs, partitions, plain, small_batches, text_key, text_of, written
 from .linking import families
 from .prefix_join import FLUSH, STORED_BITS, from_six, joined, mixed, range_bits, shared_values, six_bytes
 
@@ -50,8 +51,15 @@ EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 DONORS = np.argsort(mixed(np.arange(1, BINS * BINS + 1, dtype=np.uint64)).reshape(BINS, BINS), axis=1)
 
 
+SPACES = " \t\n\x0b\x0c\r"
+
+
 def normal(line: str) -> str:
-    return " ".join(line.lower().split())
+    line = line.lower()
+    # The only printable white space is the plain space.
+    if line.isprintable() and "  " not in line and line[:1] != " " and line[-1:] != " ":
+        return line
+    return " ".join(line.split())
 
 
 def shingles(line: str) -> set[str]:
@@ -101,11 +109,15 @@ def bands(lines: list[str]) -> np.ndarray:
     out = np.empty((len(lines), BANDS), np.uint64)
     for at, h, counts in hashed(lines):
         first = np.repeat(np.arange(len(counts)) * BINS, counts)
+        value, place = np.empty_like(h), np.empty_like(first)
         signature = []
         for multiplier in MULTIPLIERS:
-            value = h * multiplier
+            np.multiply(h, multiplier, out=value)
             low = np.full(len(counts) * BINS, EMPTY)
-            np.minimum.at(low, first + ((value >> np.uint64(32)).view(np.int64) & (BINS - 1)), value)
+            np.right_shift(value.view(np.int64), 32, out=place)
+            place &= BINS - 1
+            place += first
+            np.minimum.at(low, place, value)
             signature.append(filled(low.reshape(-1, BINS)))
         rows = np.concatenate(signature, axis=1).reshape(-1, BANDS, ROWS)
         value = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(counts), 1))
@@ -156,7 +168,46 @@ DEALT = "range int, keys binary, values binary"
 DEALT_ARROW = pa.schema([("range", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])
 
 
+def _worded(batch: pa.RecordBatch) -> tuple[list[int], list[int], list[bytes], np.ndarray]:
+    """Row, place, bytes and key (64 bits of the SHA-256) of every line with a word."""
+    rows, places, lines = [], [], []
+    for row, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+        for place, line in enumerate(text.split(b"\n")):
+            if line.strip(SPACES.encode()):
+                rows.append(row)
+                places.append(place)
+                lines.append(line)
+    return rows, places, lines, np.frombuffer(b"".join([sha256(x).digest()[:8] for x in lines]), "<i8")
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, places, _, keys = _worded(batch)
+        row = pa.array(rows, pa.int64())
+        arrays = [batch.column("doc_id").take(row), batch.column("text_key").take(row), pa.array(places, pa.int32()), pa.array(keys)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "place", "key"])
+
+
+def _fresh(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Keys and lines that the task has not passed on yet; with ``marks``, of those marked there."""
+    seen: set[int] = set()
+    for batch in batches:
+        _, _, lines, keys = _worded(batch)
+        wanted = np.arange(len(keys))
+        if marks is not None:
+            place = keys & ((1 << BITMAP_BITS) - 1)
+            wanted = np.flatnonzero((marks[place >> 6] >> (place & 63)) & 1)
+        fresh = []
+        for i, k in zip(wanted.tolist(), keys[wanted].tolist(), strict=True):
+            if k not in seen:
+                seen.add(k)
+                fresh.append(i)
+        if fresh:
+            yield keys[fresh], [lines[i].decode("utf-8", "replace") for i in fresh]
+
+
 def _deal(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Band values of the lines that a task sees first, by range."""
     shift = np.uint64(64 - STORED_BITS - bits)
     keys: list[np.ndarray] = []
     found: list[np.ndarray] = []
@@ -172,11 +223,9 @@ def _deal(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
         rows = [(int(part[lo]), key[lo:hi].tobytes(), six_bytes(value[lo:hi])) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(DEALT_ARROW)], schema=DEALT_ARROW)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys.append(batch.column("key").to_numpy())
-        found.append(bands(batch.column("line").to_pylist()).ravel() >> shift)
+    for key, lines in _fresh(batches):
+        keys.append(key)
+        found.append(bands(lines).ravel() >> shift)
         total += len(found[-1])
         if total > FLUSH:
             yield flush()
@@ -202,29 +251,48 @@ def bitmap(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def shingle_sets(lines: list[str]) -> Iterator[np.ndarray]:
+    """Sorted hashes of the different shingles of each line."""
+    for _, h, counts in hashed(lines):
+        for part in np.split(h, np.cumsum(counts)[:-1]):
+            part = np.sort(part)
+            yield part[first_of_runs(part)]
+
+
 class Sets(dict):
-    """Shingle sets of the last lines, as many as hold a million characters."""
+    """Shingle sets of the last lines; once they hold a million characters, only of those asked for."""
 
     chars = 0
 
-    def __missing__(self, line: str) -> set[str]:
+    def provide(self, lines: set[str]) -> None:
         if self.chars > 1_000_000:
+            kept = {line: self[line] for line in lines & self.keys()}
             self.clear()
-            self.chars = 0
-        self.chars += len(line)
-        found = self[line] = shingles(line)
-        return found
+            self.update(kept)
+            self.chars = sum(map(len, kept))
+        new = list(lines - self.keys())
+        self.update(zip(new, shingle_sets(new), strict=True))
+        self.chars += sum(map(len, new))
+
+
+def _alike(x: str, y: str, sets: Sets, percent: int) -> bool:
+    a, b = sets[x], sets[y]
+    if len(a) == 1 or len(b) == 1:
+        # A line shorter than a shingle is filled up before it is hashed.
+        a, b = shingles(x), shingles(y)
+        both = len(a & b)
+    else:
+        together = np.sort(np.concatenate((a, b)))
+        both = int(np.count_nonzero(together[1:] == together[:-1]))
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     sets = Sets()
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            x, y = sets[x], sets[y]
-            both = len(x & y)
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        kept = batch.filter(pa.array(keep, pa.bool_()))
+        x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+        sets.provide({*x, *y})
+        kept = batch.filter(pa.array([_alike(p, q, sets, percent) for p, q in zip(x, y, strict=True)], pa.bool_()))
         yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
 
@@ -239,14 +307,10 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = documents.sparkSession
     small_batches(spark)
     bits = range_bits(partitions(spark))
-    # The text's key is taken before its lines are told apart, else every line would take it anew.
-    keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text_of(documents)).alias("text_key"), F.split(text_of(documents), "\n").alias("lines"))
-    lines = (
-        keyed.select("doc_id", "text_key", F.posexplode("lines").alias("place", "line"))
-        .where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("key", text_key(F.col("line")))
-    )
-    places = written(lines.select("doc_id", "text_key", "place", "key"), "places")
-    dealt = first_seen(lines.select("key", "line")).mapInArrow(lambda b: _deal(b, bits), DEALT)
+    texts = documents.select(text_of(documents).alias("text"))
+    keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text_of(documents)).alias("text_key"), text_of(documents).alias("text"))
+    places = written(keyed.mapInArrow(_places, "doc_id long, text_key long, place int, key long"), "places")
+    dealt = texts.mapInArrow(lambda b: _deal(b, bits), DEALT)
     shared = written(dealt.groupBy("range").applyInArrow(lambda t: _shared(t, bits), "feature long, gid long"), "bands")
     counted = written(
         places.groupBy("key").agg(F.count("*").alias("times")).join(shared.select("gid").distinct(), F.col("key") == F.col("gid"), "left")
@@ -257,23 +321,27 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     marks = spark.sparkContext.broadcast(bitmap(nodes))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = batch.column("key").to_numpy() & ((1 << BITMAP_BITS) - 1)
-            yield batch.filter(pa.array((marks.value[place >> 6] >> (place & 63)) & 1 > 0))
+        for key, lines in _fresh(batches, marks.value):
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lines, pa.string())], names=["key", "line"])
 
-    texts = written(
-        first_seen(lines.select("key", "line")).mapInArrow(marked, "key long, line string")
+    found = written(
+        texts.mapInArrow(marked, "key long, line string")
         .join(nodes.withColumnRenamed("gid", "key"), "key").dropDuplicates(["key"])
         .mapInArrow(_with_sketches, f"key long, line string, {TRAITS}"), "lines")
-    traits = texts.select(F.col("key").alias("gid"), "n", *SKETCH)
+    traits = found.select(F.col("key").alias("gid"), "n", *SKETCH)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        a, b = texts.select(F.col("key").alias("a"), F.col("line").alias("x")), texts.select(F.col("key").alias("b"), F.col("line").alias("y"))
+        a, b = found.select(F.col("key").alias("a"), F.col("line").alias("x")), found.select(F.col("key").alias("b"), F.col("line").alias("y"))
         x, y = traits.withColumnRenamed("gid", "a").alias("x"), traits.withColumnRenamed("gid", "b").alias("y")
         pairs = pairs.join(x, "a").join(y, "b").where(may_link("x", "y", percent)).select("a", "b")
         return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(lambda t: _verify(t, percent), "a long, b long")
 
-    labels = families(lists, nodes.withColumn("node", F.col("gid")), lambda x, y: may_link(x, y, percent), verified, traits, HUBS)
+    def met_here(x: str, y: str) -> Column:
+        """Of the bands that two lines share, only the least pairs them."""
+        return may_link(x, y, percent) & (F.array_min(F.array_intersect(f"{x}.features", f"{y}.features")) == F.col(f"{x}.feature"))
+
+    features = lists.groupBy("gid").agg(F.collect_set("feature").alias("features"))
+    labels = families(lists, nodes.withColumn("node", F.col("gid")), met_here, verified, traits.join(features, "gid"), HUBS)
 
     wanted = counted.join(labels, F.col("key") == F.col("node"), "left").where("times > 1 OR component IS NOT NULL")
     wanted = wanted.select("key", F.coalesce("component", "key").alias("label"))
@@ -284,15 +352,20 @@ def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The lines that stay in ``column``; n_lines is counted before."""
     for batch in batches:
-        texts = []
+        texts, counts = [], []
         for text, gone in zip(batch.column(column).to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            lines = (text or "").split("\n")
+            counts.append(sum(1 for line in lines if line.strip(SPACES)))
             if gone:
                 gone = set(gone)
-                text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+                text = "\n".join(line for i, line in enumerate(lines) if i not in gone)
             texts.append(text)
-        at = batch.schema.get_field_index(column)
-        yield batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.string()))
+        for name, array in ((column, pa.array(texts, pa.string())), ("n_lines", pa.array(counts, pa.int32()))):
+            at = batch.schema.get_field_index(name)
+            batch = batch.set_column(at, batch.schema.field(at), array)
+        yield batch
 
 
 def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -305,9 +378,8 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows, names = plain(documents)
     doc, text = names["doc_id"], names["text"]
     rows = rows.withColumn("key", text_key(F.coalesce(text, F.lit(""))))
-    words = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     found = rows.join(gone, rows[doc].cast("long").eqNullSafe(F.col("gone_doc")) & (F.col("key") == F.col("text_key")), "left")
-    out = found.select(*names.values(), "gone", words.alias("n_lines"))
+    out = found.select(*names.values(), "gone", F.lit(0).alias("n_lines"))
     rebuilt = out.mapInArrow(lambda b: _rebuild(b, text), out.schema)
     return rebuilt.select(
         *[F.col(new).alias(old) for old, new in names.items()], F.col("n_lines").alias("_n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("_n_removed"))

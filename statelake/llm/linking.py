@@ -3,7 +3,7 @@
 A list gathers entries that share one feature (a prefix token, a band). First every
 entry is verified against a few hubs of its largest list, in two rounds, which is linear
 in the list and joins a large family of near copies; in the second round a component
-stands for all its members. Then exactly the pairs of a list that are still in
+stands for all its members, as far as a few rounds have found it. Then exactly the pairs of a list that are still in
 different components are verified, so no link between components is missed; pairs
 inside a component can't change the result and are left out.
 """
@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected, prepare
+from .components import connected, partly_connected, prepare
 
 HUBS = 4
 
@@ -51,7 +51,7 @@ def families(lists: DataFrame, members: DataFrame, may_link: Callable, verified:
 
     def placed_by(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members with their component, and the lists that hold more than one, by group and component."""
-        labels = connected(links).withColumnRenamed("component", "label")
+        labels = partly_connected(links).withColumnRenamed("component", "label")
         placed = members.join(labels, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label")).checkpoint()
         entries = lists.join(placed.select("gid", "label").distinct(), "gid")
         mixed = entries.groupBy("feature").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("feature")

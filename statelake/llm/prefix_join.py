@@ -40,9 +40,15 @@ PACKED_ARROW = pa.schema([("range", pa.int32()), ("keys", pa.binary()), ("counts
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * MIX1
-    h = (h ^ (h >> np.uint64(27))) * MIX2
-    return h ^ (h >> np.uint64(31))
+    out = h >> np.uint64(30)
+    out ^= h
+    out *= MIX1
+    part = out >> np.uint64(27)
+    out ^= part
+    out *= MIX2
+    np.right_shift(out, np.uint64(31), out=part)
+    out ^= part
+    return out
 
 
 def word_hashes(most: int = 100_000) -> Memo:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from statelake.llm import fuzzy_lines
 from statelake.llm.fuzzy_lines import BANDS, SKETCH, TRAITS, bands, dedup_lines, may_link, shingles, sketches
 
 
@@ -121,3 +123,41 @@ def test_variants_of_one_line_and_lists_of_unlike_lines(spark):
     out = {(r.doc_id, r.text) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     want = brute(rows)
     assert out == {(d, "\n".join(t.split("\n")[i] for i in want[d, t])) for d, t in rows}
+
+
+def family():
+    words = [f"word{i}" for i in range(40)]
+    return [(i, " ".join(f"other{i}" if j in (i, 39 - i) else w for j, w in enumerate(words))) for i in range(12)]
+
+
+def test_a_pair_of_lines_is_met_in_one_of_its_bands(spark, monkeypatch):
+    met = []
+
+    def watched(lists, members, may_link, verified, traits, hubs, families=fuzzy_lines.families):
+        entries = lists.join(traits, "gid")
+        same = (F.col("x.feature") == F.col("y.feature")) & (F.col("x.gid") < F.col("y.gid"))
+        met.append([(r.feature, r.a, r.b) for r in entries.alias("x").join(entries.alias("y"), same).select("x.feature", F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).collect()])
+        met.append([(r.a, r.b) for r in entries.alias("x").join(entries.alias("y"), same & may_link("x", "y")).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).collect()])
+        return families(lists, members, may_link, verified, traits, hubs)
+
+    monkeypatch.setattr(fuzzy_lines, "families", watched)
+    rows = family()
+    out = {(r.doc_id, r.text) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute(rows)
+    assert out == {(d, "\n".join(t.split("\n")[i] for i in want[d, t])) for d, t in rows}
+    shared, pairs = met
+    assert len(shared) > len({(a, b) for _, a, b in shared}) >= len(pairs) > 0
+    assert len(pairs) == len(set(pairs))
+
+
+def test_a_task_that_cuts_lines_has_one_python_worker(spark, monkeypatch):
+    """Cutting, telling lines apart and hashing them were steps with a worker each, which counts where memory is short."""
+    steps = {}
+
+    def watched(df, name, write=fuzzy_lines.written):
+        steps[name] = df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+        return write(df, name)
+
+    monkeypatch.setattr(fuzzy_lines, "written", watched)
+    dedup_lines(spark.createDataFrame(family(), "doc_id long, text string"))
+    assert steps["places"] == 1 and steps["bands"] == 1 and steps["lines"] == 2
