@@ -1,8 +1,9 @@
 """Growing log files as a streaming source: every complete line once, from the byte where the last batch ended.
 
 Offsets are a byte per file, always behind a newline, so a last line that is still being
-written waits for a later batch. A batch's stretch of a file is read in parallel chunks; a
-chunk has the lines that begin in it. Line numbers need the lines before the stretch, which
+written waits for a later batch. A batch's stretch of a file is cut into chunks; a chunk has
+the lines that begin in it. A task reads many small chunks, so that the number of tasks
+follows neither the chunks nor the files. Line numbers need the lines before the stretch, which
 ``LOG_PROGRESS`` keeps per file with the bytes they end at, for the last batch and the one
 before it: a batch that is run again finds the state it started from.
 """
@@ -15,6 +16,7 @@ import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
@@ -32,7 +34,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "log_tail"
 CHUNK_BYTES = 64 << 20
-BATCH_LINES = 10_000
+# A batch is shared out among so many tasks, unless a task would have less than the least or more than a chunk of the usual size.
+TASKS = 256
+TASK_BYTES = 4 << 20
+# Bytes of whole lines that become one Arrow batch.
+BLOCK = 2 << 20
 # Bytes read at once when the end of a file is searched for its last newline.
 BACK = 1 << 16
 
@@ -45,8 +51,8 @@ LOG_PROGRESS = TableSpec(
 
 
 @dataclass
-class Chunk(InputPartition):
-    """Lines of a file that begin in [low, high); the batch's stretch of the file is [began, end)."""
+class Span:
+    """Chunks of a file, side by side: its lines that begin in [low, high); the batch's stretch of the file is [began, end)."""
 
     name: str
     began: int
@@ -55,6 +61,13 @@ class Chunk(InputPartition):
     end: int
 
 
+@dataclass
+class Share(InputPartition):
+    """What one task reads."""
+
+    spans: list[Span]
+
+
 def opened(folder: str) -> tuple[fs.FileSystem, str]:
     """The store that holds a folder, and the folder's path there."""
     return (fs.LocalFileSystem(), folder) if folder.startswith("/") else fs.FileSystem.from_uri(folder)
@@ -79,40 +92,64 @@ class TailReader(DataSourceStreamReader):
                     found[info.base_name] = end
         return found
 
-    def partitions(self, start: dict, end: dict) -> list[Chunk]:
+    def partitions(self, start: dict, end: dict) -> list[Share]:
         step = self.chunk_bytes
-        return [
-            Chunk(name, start.get(name, 0), low, min(low + step, to), to)
-            for name, to in sorted(end.items()) for low in range(start.get(name, 0), to, step)
-        ]
-
-    def read(self, partition: Chunk) -> Iterator[pa.RecordBatch]:
+        grown = [(name, start.get(name, 0), to) for name, to in sorted(end.items()) if start.get(name, 0) < to]
+        most = max(step, min(CHUNK_BYTES, max(TASK_BYTES, sum(to - began for _, began, to in grown) // TASKS)))
+        shares, room = [], 0
+        for name, began, to in grown:
+            low = began
+            while low < to:
+                if room <= 0:
+                    shares.append(Share([]))
+                    room = most
+                high = min(to, low + -(-room // step) * step)
+                shares[-1].spans.append(Span(name, began, low, high, to))
+                room -= high - low
+                low = high
+        return shares
+
+    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
         store, root = opened(self.folder)
-        p = partition
-        with store.open_input_file(f"{root}/{p.name}") as raw:
-            file = io.BufferedReader(raw, 1 << 20)
-            at = p.low
-            if p.low > p.began:
-                # The line around the border belongs to the chunk before.
-                file.seek(p.low - 1)
-                at = p.low - 1 + len(file.readline())
-            else:
-                file.seek(p.low)
-            nth, rows = 0, []
-            while at < p.high:
-                line = file.readline(p.end - at)
-                at += len(line)
-                rows.append((p.name, p.began, p.low, nth, at, line[:-1].decode("utf-8", "replace")))
-                nth += 1
-                if len(rows) == BATCH_LINES:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), TAIL_ARROW, strict=True)], schema=TAIL_ARROW)
+        for span in partition.spans:
+            with store.open_input_file(f"{root}/{span.name}") as raw:
+                yield from _read(io.BufferedReader(raw, 1 << 20), span, self.chunk_bytes)
+
+
+def _read(file: io.BufferedReader, span: Span, step: int) -> Iterator[pa.RecordBatch]:
+    at = span.low
+    if at > span.began:
+        # The line around the border belongs to the chunk before.
+        file.seek(at - 1)
+        at = at - 1 + len(file.readline())
+    else:
+        file.seek(at)
+    # The last line's chunk, and the lines of that chunk so far.
+    last, so_far = -1, 0
+    while at < span.high:
+        block = file.read(min(BLOCK, span.high - at))
+        if not block.endswith(b"\n"):
+            block += file.readline(span.end - at - len(block))
+        if not block.endswith(b"\n"):
+            raise EOFError(f"{span.name} has lost bytes it had: it ends at {at + len(block)}, before {span.end}")
+        lines = block[:-1].split(b"\n")
+        text = pa.array(lines, pa.binary())
+        ended = at + np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1)
+        began = np.concatenate(([at], ended[:-1]))
+        chunk = span.low + (began - span.low) // step * step
+        place = np.arange(len(lines)) - np.searchsorted(chunk, chunk)
+        nth = np.where(chunk == last, place + so_far, place)
+        last, so_far, at = chunk[-1], nth[-1] + 1, int(ended[-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(span.name, len(lines)), pa.repeat(pa.scalar(span.began, pa.int64()), len(lines)), pa.array(chunk), pa.array(nth), pa.array(ended), _text(text)],
+            schema=TAIL_ARROW)
+
+
+def _text(lines: pa.Array) -> pa.Array:
+    try:
+        return lines.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are not UTF-8
+        return pa.array([line.decode("utf-8", "replace") for line in lines.to_pylist()], pa.string())
 
 
 def complete(store: fs.FileSystem, path: str, size: int) -> int:

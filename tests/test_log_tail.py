@@ -5,8 +5,8 @@ import json
 import pytest
 from helpers import rows
 
-from statelake.sources import Lake
-from statelake.sources.log_tail import LOG_PROGRESS, TailReader
+from statelake.sources import Lake, log_tail
+from statelake.sources.log_tail import LOG_PROGRESS, TASKS, TailReader
 from statelake.streaming import ingest_growing_logs
 from statelake.tables import BOT_EVENTS, BOT_SCORES
 
@@ -36,6 +36,52 @@ def test_chunks_have_every_line_once(tmp_path, step):
     assert reader.partitions(first, first) == [] and TailReader(f"{tmp_path}/none", "*", 9).latestOffset() == {}
 
 
+def test_tasks_do_not_follow_small_chunks():
+    """A task for each chunk of 64 KB made 58,000 tasks of 3.6 GB, each with a Python worker's start."""
+    step, sizes = 1 << 16, {f"events-{n:02}.jsonl": (120 << 20) + n for n in range(30)}
+    begun = {"events-07.jsonl": 1000, "events-08.jsonl": sizes["events-08.jsonl"]}
+    tasks = TailReader("/none", "*", step).partitions(begun, sizes)
+    assert len(tasks) <= TASKS + 1
+    for name, to in sizes.items():
+        at = begun.get(name, 0)
+        for span in (s for t in tasks for s in t.spans if s.name == name):
+            assert (span.began, span.low, span.end) == (begun.get(name, 0), at, to) and (span.low - span.began) % step == 0
+            at = span.high
+        assert at == to
+    # Small files share a task, large chunks do not.
+    assert len(TailReader("/none", "*", step).partitions({}, {f"events-{n}.jsonl": 99 for n in range(5000)})) == 1
+    assert len(TailReader("/none", "*", 64 << 20).partitions({}, {"events-a.jsonl": 300 << 20})) == 5
+
+
+@pytest.mark.parametrize(("step", "block"), [(1, 1), (5, 3), (16, 1 << 20), (33, 40), (1 << 20, 64)])
+def test_lines_are_numbered_by_chunk(tmp_path, monkeypatch, step, block):
+    monkeypatch.setattr(log_tail, "BLOCK", block)
+    texts = {"events-a.jsonl": [b"x" * (7 * n % 23) for n in range(60)], "events-b.jsonl": [b"", b"\r", b"a\xff\xe2\x82", "é\u2028é".encode(), b""]}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(b"".join(t + b"\n" for t in text))
+    expected, skipped = [], len(texts["events-b.jsonl"][0]) + 1
+    for name, began in (("events-a.jsonl", 0), ("events-b.jsonl", skipped)):
+        at, seen = 0, {}
+        for text in texts[name]:
+            if at >= began:
+                chunk = began + (at - began) // step * step
+                expected.append((name, began, chunk, seen.setdefault(chunk, 0), at + len(text) + 1, text.decode("utf-8", "replace")))
+                seen[chunk] += 1
+            at += len(text) + 1
+    reader = TailReader(str(tmp_path), "events-*.jsonl", step)
+    parts = reader.partitions({"events-b.jsonl": skipped}, reader.latestOffset())
+    assert [tuple(r.values()) for p in parts for b in reader.read(p) for r in b.to_pylist()] == expected
+
+
+def test_a_file_that_lost_bytes_is_an_error(tmp_path):
+    (tmp_path / "events-a.jsonl").write_text("one\ntwo\n")
+    reader = TailReader(str(tmp_path), "events-*.jsonl", 100)
+    parts = reader.partitions({}, reader.latestOffset())
+    (tmp_path / "events-a.jsonl").write_text("one\ntw")
+    with pytest.raises(EOFError, match="events-a.jsonl"):
+        [b for p in parts for b in reader.read(p)]
+
+
 def test_last_newline_far_from_the_end(tmp_path):
     (tmp_path / "events-a.jsonl").write_text("a\n" + "x" * 200_000)
     assert TailReader(str(tmp_path), "events-*.jsonl", 100).latestOffset() == {"events-a.jsonl": 2}
