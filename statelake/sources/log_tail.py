@@ -39,6 +39,8 @@ TASKS = 256
 TASK_BYTES = 4 << 20
 # Bytes of whole lines that become one Arrow batch.
 BLOCK = 2 << 20
+# So many chunks' offsets go to every executor (some 20 MB), and the lines stay where they were read; beyond, both are dealt by chunk.
+FEW_CHUNKS = 200_000
 # Bytes read at once when the end of a file is searched for its last newline.
 BACK = 1 << 16
 
@@ -200,7 +202,7 @@ def stretches(batch: DataFrame, progress: DataFrame) -> DataFrame:
     """(source_file, chunk, offset) and the batch's new progress: one row per chunk of a batch."""
     chunks = batch.groupBy("source_file", "began", "chunk").agg(F.count(F.lit(1)).alias("_n"), F.max("ended").alias("_ended"))
     known, count = lines_before(progress)
-    # A row per chunk of 64 MB: short windows.
+    # A row per chunk: short windows.
     whole = Window.partitionBy("source_file")
     before = whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     placed = chunks.join(known, F.col("source_file") == F.col("_p_source_file"), "left").withColumn("lines_before", count)
@@ -211,6 +213,8 @@ def stretches(batch: DataFrame, progress: DataFrame) -> DataFrame:
 
 
 def numbered(batch: DataFrame, placed: DataFrame) -> DataFrame:
-    """(source_file, seq, line) with the line's index in its file."""
+    """(source_file, seq, line) with the line's index in its file; ``placed``, best persisted, is counted first."""
     offsets = placed.select("source_file", "chunk", "offset")
+    if placed.count() <= FEW_CHUNKS:
+        offsets = F.broadcast(offsets)
     return batch.join(offsets, ["source_file", "chunk"]).select("source_file", (F.col("offset") + F.col("nth")).cast("int").alias("seq"), "line")

@@ -54,16 +54,16 @@ def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFr
     return df.join(probe, same, "left_anti")
 
 
-def merge_rows(current: DataFrame, batch: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """Upsert as a relation: batch rows replace equal keys, the batch's last row wins."""
+def merge_rows(current: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """Upsert as a relation: batch rows replace equal keys, the batch's last row wins. No ``current``: nothing is stored."""
     winners = keep_one(batch.withColumn("_o", order), keys, F.col("_o"), last=True).drop("_o")
-    return without_keys(current, winners, keys).unionByName(winners)
+    return winners if current is None else without_keys(current, winners, keys).unionByName(winners)
 
 
-def missing_rows(current: DataFrame, batch: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+def missing_rows(current: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     """Insert-missing as a relation: the batch rows whose key is absent, first row wins."""
     winners = keep_one(batch.withColumn("_o", order), keys, F.col("_o"), last=False).drop("_o")
-    return without_keys(winners, current, keys)
+    return winners if current is None else without_keys(winners, current, keys)
 
 
 class Stored(dict):
@@ -179,11 +179,13 @@ class Lake:
             raise _rejected(exc) from exc
         return rows, [r[0] for r in days], sum(r["n"] for r in days)
 
-    def _current(self, spec: TableSpec, version: Version, touched: list, rows: DataFrame) -> DataFrame:
-        """Stored rows of the touched partitions, in the columns of the batch's ``rows``."""
+    def _current(self, spec: TableSpec, version: Version, touched: list, rows: DataFrame) -> DataFrame | None:
+        """Stored rows of the touched partitions, in the columns of the batch's ``rows``; None where nothing is stored."""
         touched = {str(day) for day in touched}
-        stored = self._folders(spec, {day: batches for day, batches in version.folders.items() if day in touched})
-        return stored.withColumn("_order", F.lit(None).cast(rows.schema["_order"].dataType))
+        folders = {day: batches for day, batches in version.folders.items() if day in touched}
+        if not folders:
+            return None
+        return self._folders(spec, folders).withColumn("_order", F.lit(None).cast(rows.schema["_order"].dataType))
 
     def _write(self, spec: TableSpec, df: DataFrame, before: Version, replaces: bool) -> int:
         """Write the rows of a batch and publish the version that has them; returns how many were written."""

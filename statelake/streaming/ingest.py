@@ -41,7 +41,7 @@ def start_merge(stream: DataFrame, lake: Lake, spec: TableSpec, checkpoint: str,
 
 def _store_lines(lines: DataFrame, lake: Lake, rejected: str, source: tuple[str, int]) -> None:
     """Numbered lines to the score and event tables, unreadable ones to a side folder."""
-    split = split_lines(lines).persist()
+    split = _needed(split_lines(lines)).persist()
     place = F.struct("source_file", "seq")
     try:
         lake.upsert(BOT_SCORES, score_rows(split), place, source)
@@ -52,6 +52,12 @@ def _store_lines(lines: DataFrame, lake: Lake, rejected: str, source: tuple[str,
         split.unpersist()
 
 
+def _needed(split: DataFrame) -> DataFrame:
+    """Split lines without what no later step reads: the text of good lines, the fields of scores and of unreadable lines."""
+    is_event = F.col("ok") & (F.col("event.type") != "scores")
+    return split.withColumn("line", F.when(~F.col("ok"), F.col("line"))).withColumn("fields", F.when(is_event, F.col("fields")))
+
+
 def ingest_logs(spark: SparkSession, folder: str, lake: Lake, rejected: str, checkpoint: str) -> StreamingQuery:
     """Sealed log files to the score and event tables, unreadable lines to a side folder.
 
@@ -81,12 +87,13 @@ def ingest_growing_logs(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        placed = stretches(batch, lake.scan(LOG_PROGRESS)).persist()  # read for the numbers and, thrice, for the progress
         try:
-            placed = stretches(batch, lake.scan(LOG_PROGRESS))
             _store_lines(numbered(batch, placed), lake, rejected, (checkpoint, batch_id))
             progress = placed.select(*LOG_PROGRESS.columns).distinct()
             lake.upsert(LOG_PROGRESS, progress, F.col("reached"), (checkpoint, batch_id))
         finally:
+            placed.unpersist()
             batch.unpersist()
 
     return (

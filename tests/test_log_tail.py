@@ -1,13 +1,16 @@
 """Log files that grow between two runs."""
 
 import json
+from decimal import Decimal
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
-from statelake.sources import Lake, log_tail
+from statelake.sources import Lake, log_tail, store
+from statelake.sources.event_log import split_lines
 from statelake.sources.log_tail import LOG_PROGRESS, TASKS, TailReader
-from statelake.streaming import ingest_growing_logs
+from statelake.streaming import ingest, ingest_growing_logs
 from statelake.tables import BOT_EVENTS, BOT_SCORES
 
 
@@ -82,6 +85,34 @@ def test_a_file_that_lost_bytes_is_an_error(tmp_path):
         [b for p in parts for b in reader.read(p)]
 
 
+def test_lines_stay_where_they_were_read(spark, monkeypatch):
+    """Few offsets are broadcast; many are met by an exchange, with the same numbers."""
+    batch = spark.createDataFrame(
+        [("events-a.jsonl", 0, chunk, nth, chunk + nth + 1, f"{chunk} {nth}") for chunk in (0, 100, 200) for nth in range(3)]
+        + [("events-b.jsonl", 7, 7, 0, 9, "b")], log_tail.TAIL)
+    progress = spark.createDataFrame([("events-b.jsonl", Decimal(0), Decimal(0), Decimal(7), Decimal(5))], LOG_PROGRESS.schema)
+    placed = log_tail.stretches(batch, progress)
+    expected = [("events-a.jsonl", n, f"{100 * (n // 3)} {n % 3}") for n in range(9)] + [("events-b.jsonl", 5, "b")]
+    for few, hinted in ((4, True), (3, False)):
+        monkeypatch.setattr(log_tail, "FEW_CHUNKS", few)
+        df = log_tail.numbered(batch, placed)
+        assert ("strategy=broadcast" in df._jdf.queryExecution().toString()) == hinted
+        assert sorted(map(tuple, df.collect())) == expected
+
+
+def test_a_first_merge_joins_nothing(spark, tmp_path, monkeypatch):
+    lake, joined = Lake(spark, str(tmp_path / "lake")), []
+    without = store.without_keys
+    monkeypatch.setattr(store, "without_keys", lambda *a: joined.append(1) or without(*a))
+    batch = spark.createDataFrame([("2025-11-03 04:17:31", "t0", 0), ("2025-11-03 04:17:31", "t0", 0), ("2025-11-04 00:00:00", None, 1)], "ts string, tick_id string, seq int")
+    assert lake.upsert(BOT_EVENTS, batch, F.col("seq")) == 3 and not joined
+    assert lake.upsert(BOT_EVENTS, batch.where("seq = 1"), F.col("seq")) == 1 and joined
+    assert [(r["tick_id"], r["seq"]) for r in rows(lake.scan(BOT_EVENTS), "seq")] == [("t0", 0), (None, 1)]
+    # Days that hold nothing yet are not joined either.
+    joined.clear()
+    assert lake.insert_missing(BOT_EVENTS, batch.withColumn("ts", F.lit("2025-11-05 00:00:00")), F.col("seq")) == 2 and not joined
+
+
 def test_last_newline_far_from_the_end(tmp_path):
     (tmp_path / "events-a.jsonl").write_text("a\n" + "x" * 200_000)
     assert TailReader(str(tmp_path), "events-*.jsonl", 100).latestOffset() == {"events-a.jsonl": 2}
@@ -145,3 +176,11 @@ def test_a_batch_that_failed_is_run_again_with_the_same_numbers(spark, tmp_path,
         f.write(line(4))
     run()
     assert [(r["seq"], r["tick_id"]) for r in rows(lake.scan(BOT_EVENTS), "seq")] == [(n, f"t{n}") for n in range(5)]
+
+
+def test_lines_are_kept_without_what_nobody_reads(spark):
+    texts = [line(0), line(1, "scores", vault="0xV", scores=[]), line(2, "mystery"), "junk\n"]
+    lines = spark.createDataFrame([("events-a.jsonl", n, text[:-1]) for n, text in enumerate(texts)], "source_file string, seq int, line string")
+    kept = ingest._needed(split_lines(lines)).selectExpr("seq", "ok", "line", "event.tickId AS tick", "fields IS NOT NULL AS fields").orderBy("seq").collect()
+    assert [tuple(r) for r in kept[:3]] == [(0, True, None, "t0", True), (1, True, None, "t1", False), (2, False, texts[2][:-1], "t2", False)]
+    assert (kept[3]["ok"], kept[3]["line"], kept[3]["fields"]) == (False, "junk", False)
