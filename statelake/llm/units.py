@@ -17,6 +17,9 @@ from array import array
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # A word with the space before it; all white space but the last before a word; the last.
 units = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]").findall
+# White space that is not cut at in a piece vocabulary: spaces side by side, a piece's own mark, white space beyond ASCII.
+JOINED = f"  |\u2581|[{WHITE[6:]}]"
+joined = re.compile(JOINED).search
 
 
 class ByteLevel:
@@ -59,7 +62,7 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         longer = set("".join(p for p in map(self.model.id_to_piece, range(self.model.get_piece_size())) if len(p) > 1))
         # Whether a text has white space that a piece may hold beside other characters.
-        self.joined = re.compile(f"  |\u2581|[{WHITE[6:]}{''.join(c for c in WHITE[:5] if c in longer)}]").search
+        self.joined = re.compile("|".join([JOINED, *(c for c in WHITE[:5] if c in longer)])).search
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
